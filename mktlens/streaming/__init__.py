@@ -1,0 +1,8 @@
+"""Streaming layer.
+
+The analytics this package reproduces are batch only: there is no stream
+source, watermark, windowed aggregate or stateful operator to rebuild, so
+this package is intentionally empty. All plans in ``mktlens.plans`` are
+batch DataFrame functions; a caller who wants incremental refresh can run
+them inside ``foreachBatch`` unchanged.
+"""
