@@ -350,3 +350,335 @@ def q_fanout_summary(spark, sf):
 @register("kpi_summary", O.with_views(("final_kpi_validation",), SUMMARY_SQL.format(v="final_kpi_validation")))
 def q_kpi_summary(spark, sf):
     return kpi_summary(wh(spark, sf).final_kpi_validation)
+
+
+# ------------------------------------------------------------- profiling
+
+from mktlens.plans import kpi, profiling  # noqa: E402
+
+
+def _raw(spark, sf):
+    return wh(spark, sf).raw
+
+
+@register("orders_grain", O.with_views(("raw_orders",), "SELECT count(*) AS total_rows, count(DISTINCT order_id) AS unique_order_ids FROM raw_orders"))
+def q_orders_grain(spark, sf):
+    return profiling.orders_grain(_raw(spark, sf)["orders"])
+
+
+@register(
+    "orders_missing_fields",
+    O.with_views(
+        ("raw_orders",),
+        "SELECT count_if(order_id IS NULL) AS missing_order_id, count_if(customer_id IS NULL) AS missing_customer_id, "
+        "count_if(order_purchase_timestamp IS NULL) AS missing_purchase_timestamp FROM raw_orders",
+    ),
+)
+def q_orders_missing_fields(spark, sf):
+    return profiling.orders_missing_fields(_raw(spark, sf)["orders"])
+
+
+@register(
+    "duplicate_order_items",
+    O.with_views(
+        ("raw_order_items",),
+        "SELECT order_id, order_item_id, count(*) AS row_count FROM raw_order_items "
+        "GROUP BY order_id, order_item_id HAVING count(*) > 1",
+    ),
+)
+def q_duplicate_order_items(spark, sf):
+    return profiling.duplicate_order_items(_raw(spark, sf)["order_items"])
+
+
+@register(
+    "duplicated_review_ids",
+    O.with_views(
+        ("raw_order_reviews",),
+        "SELECT count(*) AS duplicated_review_ids FROM "
+        "(SELECT review_id FROM raw_order_reviews GROUP BY review_id HAVING count(*) > 1)",
+    ),
+)
+def q_duplicated_review_ids(spark, sf):
+    return profiling.duplicated_review_ids(_raw(spark, sf)["order_reviews"])
+
+
+@register(
+    "duplicate_review_detail",
+    O.with_views(
+        ("raw_order_reviews",),
+        "SELECT review_id, count(*) AS row_count, count(DISTINCT order_id) AS order_count, "
+        "count(DISTINCT review_score) AS score_count FROM raw_order_reviews GROUP BY review_id "
+        "HAVING count(*) > 1 ORDER BY row_count DESC, review_id LIMIT 20",
+    ),
+)
+def q_duplicate_review_detail(spark, sf):
+    return profiling.duplicate_review_detail(_raw(spark, sf)["order_reviews"])
+
+
+@register(
+    "orders_with_multiple_reviews",
+    O.with_views(
+        ("raw_order_reviews",),
+        "SELECT count(*) AS orders_with_multiple_reviews FROM "
+        "(SELECT order_id FROM raw_order_reviews GROUP BY order_id HAVING count(*) > 1)",
+    ),
+)
+def q_orders_with_multiple_reviews(spark, sf):
+    return profiling.orders_with_multiple_reviews(_raw(spark, sf)["order_reviews"])
+
+
+@register("raw_profile", O.raw_profile_sql())
+def q_raw_profile(spark, sf):
+    return profiling.raw_profile(_raw(spark, sf))
+
+
+@register("null_counts", O.raw_null_counts_sql())
+def q_null_counts(spark, sf):
+    return profiling.raw_null_counts(_raw(spark, sf))
+
+
+@register("coverage_report", O.coverage_sql())
+def q_coverage_report(spark, sf):
+    return profiling.coverage_report(_raw(spark, sf))
+
+
+@register(
+    "duplicate_key_rows",
+    O.with_views(
+        ("raw_order_reviews",),
+        "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_key_rows "
+        "FROM (SELECT count(*) AS n FROM raw_order_reviews GROUP BY review_id)",
+    ),
+)
+def q_duplicate_key_rows(spark, sf):
+    from mktlens.operators import duplicate_key_rows
+
+    return duplicate_key_rows(_raw(spark, sf)["order_reviews"], ["review_id"])
+
+
+@register(
+    "activation_summary",
+    O.with_views(
+        ("profiler_deal_activity",),
+        "SELECT count(*) AS closed_deals, count_if(has_order) AS closed_sellers_with_any_order, "
+        "count_if(first_post_win_day IS NOT NULL) AS post_win_activated_sellers, "
+        "count_if(has_pre_win_order) AS sellers_with_pre_win_orders, "
+        "CAST(median(date_diff('day', won_day, first_post_win_day)) AS DOUBLE) AS median_days_to_first_post_win_sale, "
+        "CAST(min(date_diff('day', won_day, first_post_win_day)) AS BIGINT) AS minimum_days_to_first_post_win_sale, "
+        "CAST(max(date_diff('day', won_day, first_post_win_day)) AS BIGINT) AS maximum_days_to_first_post_win_sale "
+        "FROM profiler_deal_activity",
+    ),
+)
+def q_activation_summary(spark, sf):
+    r = _raw(spark, sf)
+    return profiling.activation_summary(r["marketing_qualified_leads"], r["closed_deals"], r["order_items"], r["orders"])
+
+
+@register(
+    "activation_by_origin",
+    O.with_views(
+        ("profiler_deal_activity", "raw_marketing_qualified_leads"),
+        f"""SELECT m.origin, m.mqls, coalesce(a.closed_deals, 0) AS closed_deals,
+  coalesce(a.with_order, 0) AS closed_sellers_with_any_order, coalesce(a.activated, 0) AS post_win_activated_sellers,
+  {O.rq('coalesce(a.closed_deals, 0)', 'm.mqls', 6)} AS mql_to_close_rate,
+  {O.rq('coalesce(a.activated, 0)', 'coalesce(a.closed_deals, 0)', 6)} AS closed_to_activation_rate
+FROM (SELECT CASE WHEN origin IS NULL OR origin = '' THEN 'unknown' ELSE origin END AS origin, count(*) AS mqls
+      FROM raw_marketing_qualified_leads GROUP BY 1) AS m
+LEFT JOIN (SELECT origin, count(*) AS closed_deals, count_if(has_order) AS with_order,
+                  count_if(first_post_win_day IS NOT NULL) AS activated
+           FROM profiler_deal_activity GROUP BY origin) AS a ON m.origin = a.origin
+ORDER BY m.origin""",
+    ),
+)
+def q_activation_by_origin(spark, sf):
+    r = _raw(spark, sf)
+    return profiling.activation_by_origin(r["marketing_qualified_leads"], r["closed_deals"], r["order_items"], r["orders"])
+
+
+@register(
+    "closed_seller_orders",
+    O.with_views(
+        ("raw_closed_deals", "raw_order_items", "raw_orders"),
+        "SELECT order_id, CAST(order_purchase_timestamp AS DATE) AS order_day FROM raw_orders WHERE order_id IN "
+        "(SELECT order_id FROM raw_order_items WHERE seller_id IN (SELECT seller_id FROM raw_closed_deals WHERE seller_id IS NOT NULL))",
+    ),
+)
+def q_closed_seller_orders(spark, sf):
+    r = _raw(spark, sf)
+    return profiling.closed_seller_orders(r["closed_deals"], r["order_items"], r["orders"])
+
+
+@register(
+    "join_lead_deal",
+    O.with_views(
+        ("raw_marketing_qualified_leads", "raw_closed_deals"),
+        "SELECT mql.mql_id, mql.origin, deal.seller_id, deal.won_date FROM raw_marketing_qualified_leads AS mql "
+        "LEFT JOIN raw_closed_deals AS deal ON mql.mql_id = deal.mql_id",
+    ),
+)
+def q_join_lead_deal(spark, sf):
+    r = _raw(spark, sf)
+    m, d = r["marketing_qualified_leads"].alias("m"), r["closed_deals"].alias("d")
+    return m.join(d, F.col("m.mql_id") == F.col("d.mql_id"), "left").select(
+        F.col("m.mql_id").alias("mql_id"), F.col("m.origin").alias("origin"), "d.seller_id", "d.won_date"
+    )
+
+
+# ------------------------------------------------------------- KPI layer
+
+
+@register(
+    "kpi_monthly",
+    O.with_views(
+        ("mart_orders", "review_summary_raw", "stg_order_items", "stg_orders"),
+        f"""WITH base AS (
+  SELECT o.*, r.average_review_score AS order_review_score FROM mart_orders AS o
+  LEFT JOIN review_summary_raw AS r ON o.order_id = r.order_id
+), monthly AS (
+  SELECT purchase_month, count(*) AS order_count, count_if(item_count > 0) AS orders_with_items,
+    CAST(sum(product_value) AS DOUBLE) AS product_gmv,
+    {O.rq('CAST(round(sum(product_value) * 100) AS BIGINT)', '(count_if(item_count > 0) * 100)')} AS aov,
+    count_if(delivery_status <> 'not_delivered') AS delivered_orders,
+    count_if(delivery_status = 'on_time') AS on_time_orders, count_if(delivery_status = 'late') AS late_orders,
+    {O.pct("count_if(delivery_status = 'on_time')", "count_if(delivery_status = 'on_time') + count_if(delivery_status = 'late')")} AS on_time_rate_pct,
+    count_if(order_review_score IS NOT NULL) AS reviewed_orders,
+    {O.round_d('avg(order_review_score)')} AS average_review_score
+  FROM base GROUP BY purchase_month
+), sellers AS (
+  SELECT o.purchase_month, count(DISTINCT i.seller_id) AS active_sellers
+  FROM stg_order_items AS i JOIN stg_orders AS o ON i.order_id = o.order_id GROUP BY o.purchase_month
+)
+SELECT m.purchase_month, m.order_count, m.orders_with_items, m.product_gmv, m.aov,
+  coalesce(s.active_sellers, 0) AS active_sellers, m.delivered_orders, m.on_time_orders, m.late_orders,
+  m.on_time_rate_pct, m.reviewed_orders, m.average_review_score
+FROM monthly AS m LEFT JOIN sellers AS s ON m.purchase_month = s.purchase_month""",
+    ),
+)
+def q_kpi_monthly(spark, sf):
+    w = wh(spark, sf)
+    return kpi.kpi_monthly(w.mart_orders, w.stg_order_items, w.stg_orders, w.raw["order_reviews"])
+
+
+@register(
+    "kpi_channel",
+    O.with_views(
+        ("stg_marketing_funnel", "mart_seller_lifecycle"),
+        f"""SELECT l.origin, l.leads, l.won_leads, coalesce(a.activated_sellers, 0) AS activated_sellers,
+  {O.pct('l.won_leads', 'l.leads')} AS lead_to_close_rate_pct,
+  {O.pct('coalesce(a.activated_sellers, 0)', 'l.won_leads')} AS closed_to_activation_rate_pct
+FROM (SELECT origin, count(*) AS leads, count_if(is_won) AS won_leads FROM stg_marketing_funnel GROUP BY origin) AS l
+LEFT JOIN (SELECT origin, count_if(is_activated) AS activated_sellers FROM mart_seller_lifecycle GROUP BY origin) AS a
+  ON l.origin = a.origin""",
+    ),
+)
+def q_kpi_channel(spark, sf):
+    w = wh(spark, sf)
+    return kpi.kpi_channel(w.stg_marketing_funnel, w.mart_seller_lifecycle)
+
+
+@register(
+    "kpi_fulfilment",
+    O.with_views(
+        ("mart_orders", "review_summary_raw"),
+        f"""SELECT o.delivery_status, count(*) AS order_count, {O.avg_r('o.delivery_days')} AS average_delivery_days,
+  CAST(sum(o.freight_value) AS DOUBLE) AS freight_value,
+  {O.rq('CAST(round(sum(o.freight_value) * 100) AS BIGINT)', '(count(*) * 100)')} AS average_freight_per_order,
+  count_if(r.average_review_score IS NOT NULL) AS reviewed_orders,
+  {O.round_d('avg(r.average_review_score)')} AS average_review_score,
+  {O.pct('count_if(r.average_review_score <= 2)', 'count_if(r.average_review_score IS NOT NULL)')} AS low_review_rate_pct
+FROM mart_orders AS o LEFT JOIN review_summary_raw AS r ON o.order_id = r.order_id
+GROUP BY o.delivery_status""",
+    ),
+)
+def q_kpi_fulfilment(spark, sf):
+    w = wh(spark, sf)
+    return kpi.kpi_fulfilment(w.mart_orders, w.raw["order_reviews"])
+
+
+@register(
+    "kpi_seller",
+    O.with_views(
+        ("mart_order_seller",),
+        f"""SELECT seller_id, seller_city, seller_state, count(*) AS order_count,
+  CAST(sum(item_count) AS BIGINT) AS item_count, CAST(sum(product_value) AS DOUBLE) AS product_gmv,
+  CAST(sum(freight_value) AS DOUBLE) AS freight_value,
+  count_if(delivery_status = 'on_time') AS on_time_orders, count_if(delivery_status = 'late') AS late_orders,
+  {O.pct("count_if(delivery_status = 'on_time')", "count_if(delivery_status = 'on_time') + count_if(delivery_status = 'late')")} AS on_time_rate_pct,
+  count(average_review_score) AS reviewed_orders, {O.avg_h('average_review_score')} AS average_review_score
+FROM mart_order_seller GROUP BY seller_id, seller_city, seller_state""",
+    ),
+)
+def q_kpi_seller(spark, sf):
+    return kpi.kpi_seller(wh(spark, sf).mart_order_seller)
+
+
+@register(
+    "post_win_sales",
+    O.with_views(
+        ("stg_marketing_funnel", "mart_order_seller"),
+        f"""SELECT f.origin, {O.month('m.purchase_date')} AS purchase_month, count(DISTINCT f.mql_id || '|' || m.order_id) AS post_win_orders,
+  CAST(sum(m.item_count) AS BIGINT) AS post_win_items, CAST(sum(m.product_value) AS DOUBLE) AS post_win_product_value
+FROM stg_marketing_funnel AS f
+JOIN mart_order_seller AS m ON f.seller_id = m.seller_id AND m.purchase_date >= CAST(f.won_date AS DATE)
+WHERE f.is_won GROUP BY 1, 2""",
+    ),
+)
+def q_post_win_sales(spark, sf):
+    w = wh(spark, sf)
+    return kpi.post_win_sales(w.stg_marketing_funnel, w.mart_order_seller)
+
+
+@register(
+    "seller_detail",
+    O.with_views(
+        ("mart_order_seller",),
+        "SELECT * REPLACE (CAST(product_value AS DOUBLE) AS product_value, CAST(freight_value AS DOUBLE) AS freight_value, "
+        "CAST(item_total_value AS DOUBLE) AS item_total_value) FROM mart_order_seller WHERE seller_id = "
+        "(SELECT seller_id FROM mart_order_seller GROUP BY seller_id ORDER BY count(*) DESC, seller_id LIMIT 1)",
+    ),
+)
+def q_seller_detail(spark, sf):
+    return kpi.seller_detail(wh(spark, sf).mart_order_seller)
+
+
+@register(
+    "dim_date",
+    O.with_views(
+        ("stg_orders", "stg_marketing_funnel"),
+        """WITH b AS (
+  SELECT min(d) AS lo, max(d) AS hi FROM (
+    SELECT purchase_date AS d FROM stg_orders UNION ALL SELECT first_contact_date FROM stg_marketing_funnel
+    UNION ALL SELECT CAST(won_date AS DATE) FROM stg_marketing_funnel)
+), days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM b WHERE lo IS NOT NULL)
+SELECT date, CAST(year(date) AS BIGINT) AS year, CAST(quarter(date) AS BIGINT) AS quarter,
+  CAST(month(date) AS BIGINT) AS month, CAST(date_trunc('month', date) AS DATE) AS month_start,
+  CAST(isodow(date) AS BIGINT) AS iso_day_of_week, CAST(weekofyear(date) AS BIGINT) AS iso_week FROM days""",
+    ),
+)
+def q_dim_date(spark, sf):
+    w = wh(spark, sf)
+    return kpi.dim_date(w.stg_orders, w.stg_marketing_funnel)
+
+
+@register(
+    "dim_seller",
+    O.with_views(
+        ("raw_sellers", "raw_closed_deals", "stg_order_items"),
+        f"""SELECT s.seller_id, s.seller_zip_code_prefix, {O.clean('s.seller_city')} AS seller_city, s.seller_state,
+  coalesce(w.won_leads, 0) AS won_leads, coalesce(o.has_orders, false) AS has_orders
+FROM raw_sellers AS s
+LEFT JOIN (SELECT seller_id, count(*) AS won_leads FROM raw_closed_deals GROUP BY seller_id) AS w ON s.seller_id = w.seller_id
+LEFT JOIN (SELECT DISTINCT seller_id, true AS has_orders FROM stg_order_items) AS o ON s.seller_id = o.seller_id""",
+    ),
+)
+def q_dim_seller(spark, sf):
+    w = wh(spark, sf)
+    return kpi.dim_seller(w.raw["sellers"], w.raw["closed_deals"], w.stg_order_items)
+
+
+@register(
+    "dim_origin",
+    O.with_views(("stg_marketing_funnel",), "SELECT origin, count(*) AS lead_count FROM stg_marketing_funnel GROUP BY origin"),
+)
+def q_dim_origin(spark, sf):
+    return kpi.dim_origin(wh(spark, sf).stg_marketing_funnel)
