@@ -682,3 +682,69 @@ def q_dim_seller(spark, sf):
 )
 def q_dim_origin(spark, sf):
     return kpi.dim_origin(wh(spark, sf).stg_marketing_funnel)
+
+
+# ------------------------------------------------------------- sources and sinks
+
+from mktlens import sources as S  # noqa: E402
+
+# The table files of the test data directory.
+TEST_TABLE_FILES = tuple(
+    f"{t}.parquet"
+    for t in (
+        "benchmark",
+        "conversations",
+        "customer",
+        "documents",
+        "embeddings",
+        "events",
+        "labels",
+        "lineitem",
+        "nation",
+        "orders",
+        "pages",
+        "part",
+        "region",
+        "supplier",
+    )
+)
+
+
+def _csv_roundtrip(spark, sf, table: str) -> DataFrame:
+    raw = _raw(spark, sf)[table]
+    path = S.scratch_path(spark, f"csv-{table}")
+    S.write_csv(raw, path)
+    return S.read_csv(spark, path, S.RAW_SCHEMAS[table])
+
+
+@register("csv_scan", O.select_view("raw_order_reviews"))
+def q_csv_scan(spark, sf):
+    return _csv_roundtrip(spark, sf, "order_reviews")
+
+
+@register("csv_scan_deals", O.select_view("raw_closed_deals"))
+def q_csv_scan_deals(spark, sf):
+    return _csv_roundtrip(spark, sf, "closed_deals")
+
+
+@register("source_files")
+def q_source_files(spark, sf):
+    return S.list_files(spark, sf, "*.parquet")
+
+
+@register("file_set_diff")
+def q_file_set_diff(spark, sf):
+    return S.file_set_diff(S.list_files(spark, sf, "*.parquet"), TEST_TABLE_FILES)
+
+
+@register("table_inventory")
+def q_table_inventory(spark, sf):
+    return S.table_inventory(spark, sf, [n.removesuffix(".parquet") for n in TEST_TABLE_FILES])
+
+
+@register("profile_sink", O.raw_profile_sql())
+def q_profile_sink(spark, sf):
+    report = profiling.raw_profile(_raw(spark, sf))
+    path = S.scratch_path(spark, "profile")
+    S.write_profile(report, path)
+    return spark.read.schema(report.schema).json(path).select(*report.columns)

@@ -9,6 +9,7 @@ from mktlens.sources.raw import (
     read_csv,
     scan_table,
     table_inventory,
+    write_csv,
 )
 from mktlens.sources.schemas import KEY_FIELDS, RAW_SCHEMAS, RAW_TABLES, RELATIONSHIPS
 from mktlens.sources.sinks import ensure_layer, materialize, register, scratch_path, shared_dir, write_profile
@@ -31,5 +32,6 @@ __all__ = [
     "scratch_path",
     "shared_dir",
     "table_inventory",
+    "write_csv",
     "write_profile",
 ]

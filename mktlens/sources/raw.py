@@ -65,26 +65,39 @@ def scan_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     )
 
 
+# CSV dialect of the raw exports: header row, optional UTF-8 BOM, quoted
+# fields that may hold line breaks, doubled quotes inside quotes, and
+# whitespace kept verbatim (cleaning is the staging layer's job).
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "dateFormat": "yyyy-MM-dd",
+}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header row, optional UTF-8 BOM, quoted fields that may hold
-    line breaks, and doubled quotes inside quotes.
+    """Read raw CSV exports.
 
-    ``multiLine`` keeps a quoted line break inside its field; the header is
-    matched by name so a reordered file still binds columns correctly.
+    ``multiLine`` keeps a quoted line break inside its field (the file is then
+    split per file, not per block); the header is matched by name so a
+    reordered file still binds columns correctly.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .option("enforceSchema", False)
-    )
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", True).option("enforceSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write ``df`` in the same CSV dialect ``read_csv`` reads."""
+    df.write.options(**CSV_OPTIONS).mode("errorifexists").csv(path)
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Recursive listing of ``root`` as (path, name, size_bytes); contents are
     never read because only metadata columns are selected."""
