@@ -18,6 +18,7 @@ from mktlens.functions import (
 )
 from mktlens.operators import attach_ranks, rank_table
 from mktlens.plans.marts import review_summary
+from mktlens.sources.sinks import cut_lineage
 
 
 def acquisition_channel_quality(m3: DataFrame, m4: DataFrame) -> DataFrame:
@@ -83,6 +84,10 @@ def seller_activation_performance(m4: DataFrame) -> DataFrame:
         "average_review_score",
         "on_time_delivery_rate_pct",
     )
+    # four consumers (the rows and three rank tables) read the same base:
+    # write it once to the shared folder instead of re-running the lifecycle
+    # mart four times
+    base = cut_lineage(base, "activated_sellers")
     pv, n = "post_win_product_value", "post_win_order_count"
     r = attach_ranks(
         base,

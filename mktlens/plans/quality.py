@@ -13,19 +13,34 @@ FANOUT_TYPE = "decimal(38,2)"
 KPI_TYPE = "bigint"
 
 
+def _one_pass(df: DataFrame, **aggs: F.Column) -> dict[str, F.Column]:
+    """Several aggregates of one table from a single scan: one scalar
+    subquery returning a struct, unpacked into named columns."""
+    s = scalar(df, F.struct(*[a.alias(k) for k, a in aggs.items()]))
+    return {k: s.getField(k) for k in aggs}
+
+
 def join_fanout_reconciliation(
     stg_orders: DataFrame, stg_items: DataFrame, stg_payments: DataFrame, m1: DataFrame, m2: DataFrame
 ) -> DataFrame:
-    """Six source-vs-model totals that a row-multiplying join would break."""
-    count = F.count("*")
-    price, freight = F.sum("item_price"), F.sum("freight_value")
+    """Six source-vs-model totals that a row-multiplying join would break.
+    Each table is aggregated once."""
+    items = _one_pass(stg_items, price=F.sum("item_price"), freight=F.sum("freight_value"))
+    mo = _one_pass(
+        m1,
+        rows=F.count("*"),
+        price=F.sum("product_value"),
+        freight=F.sum("freight_value"),
+        paid=F.sum("payment_value"),
+    )
+    mos = _one_pass(m2, price=F.sum("product_value"), freight=F.sum("freight_value"))
     metrics = [
-        ("order_row_count", scalar(stg_orders, count), scalar(m1, count)),
-        ("order_product_value", scalar(stg_items, price), scalar(m1, F.sum("product_value"))),
-        ("order_freight_value", scalar(stg_items, freight), scalar(m1, F.sum("freight_value"))),
-        ("order_payment_value", scalar(stg_payments, F.sum("payment_value")), scalar(m1, F.sum("payment_value"))),
-        ("order_seller_product_value", scalar(stg_items, price), scalar(m2, F.sum("product_value"))),
-        ("order_seller_freight_value", scalar(stg_items, freight), scalar(m2, F.sum("freight_value"))),
+        ("order_row_count", scalar(stg_orders, F.count("*")), mo["rows"]),
+        ("order_product_value", items["price"], mo["price"]),
+        ("order_freight_value", items["freight"], mo["freight"]),
+        ("order_payment_value", scalar(stg_payments, F.sum("payment_value")), mo["paid"]),
+        ("order_seller_product_value", items["price"], mos["price"]),
+        ("order_seller_freight_value", items["freight"], mos["freight"]),
     ]
     return comparison_table(stg_orders, metrics, FANOUT_TYPE)
 
@@ -45,15 +60,12 @@ def final_kpi_validation(
 ) -> DataFrame:
     """Six headline KPIs recomputed from raw tables and from marts/analyses."""
     count = F.count("*")
+    life = _one_pass(m4, rows=count, activated=F.count_if(F.col("is_activated")))
     metrics = [
         ("total_orders", scalar(raw_orders, count), scalar(m1, count)),
         ("total_marketing_leads", scalar(raw_leads, count), scalar(m3, F.sum("total_leads"))),
-        ("closed_leads", scalar(raw_deals, count), scalar(m4, count)),
-        (
-            "activated_sellers",
-            scalar(m4, F.count_if(F.col("is_activated"))),
-            scalar(a1, F.sum("activated_sellers")),
-        ),
+        ("closed_leads", scalar(raw_deals, count), life["rows"]),
+        ("activated_sellers", life["activated"], scalar(a1, F.sum("activated_sellers"))),
         ("marketplace_sellers", scalar(raw_sellers, count), scalar(m2, F.count_distinct("seller_id"))),
         (
             "reviewed_orders",

@@ -12,9 +12,10 @@ from mktlens.sources.raw import (
     write_csv,
 )
 from mktlens.sources.schemas import KEY_FIELDS, RAW_SCHEMAS, RAW_TABLES, RELATIONSHIPS
-from mktlens.sources.sinks import ensure_layer, materialize, register, scratch_path, shared_dir, write_profile
+from mktlens.sources.sinks import cut_lineage, ensure_layer, materialize, register, scratch_path, shared_dir, write_profile
 
 __all__ = [
+    "cut_lineage",
     "KEY_FIELDS",
     "RAW_SCHEMAS",
     "RAW_TABLES",

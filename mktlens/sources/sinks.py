@@ -15,11 +15,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session has none (local tests) is a private temporary
     folder created and registered as the checkpoint directory.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="mktlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
@@ -42,8 +44,10 @@ def register(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and read it back.
 
-    This cuts lineage durably (survives executor loss, unlike a local
-    checkpoint) and lets several downstream plans reuse one computation.
+    This cuts lineage durably (a lost executor re-reads files, never a local
+    checkpoint) and lets several consumers inside one plan, or several plans,
+    read one computation. Unlike ``checkpoint()`` it runs the input once, and
+    the scan gives AQE real file sizes for its join choices.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -63,3 +67,8 @@ def local_scratch() -> str:
     """A fresh private directory for tests that need real files."""
     base = os.environ.get("TMPDIR", "/tmp")
     return tempfile.mkdtemp(prefix="mktlens-", dir=base)
+
+
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Alias of ``materialize`` for intermediates read several times."""
+    return materialize(df, label)
