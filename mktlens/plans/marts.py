@@ -281,11 +281,13 @@ def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
         F.sum("d.late").alias("late"),
     )
     m = F.col("m")
-    on_time = F.sum(F.col("on_time") * m)
-    late = F.sum(F.col("late") * m)
+    zero = F.lit(0).cast("bigint")
+    # COUNT and COUNTIF are 0 over no matching rows; SUM, MIN and AVG are NULL
+    on_time = F.coalesce(F.sum(F.col("on_time") * m), zero)
+    late = F.coalesce(F.sum(F.col("late") * m), zero)
     return per_window.groupBy("mql_id", "seller_id").agg(
         F.min("first_date").alias("first_post_win_order_date"),
-        F.max("orders").alias("post_win_order_count"),
+        F.coalesce(F.max("orders"), zero).alias("post_win_order_count"),
         F.sum(F.col("items") * m).alias("post_win_item_count"),
         F.sum(F.col("product_value") * m).cast("decimal(38,2)").alias("post_win_product_value"),
         F.sum(F.col("freight_value") * m).cast("decimal(38,2)").alias("post_win_freight_value"),

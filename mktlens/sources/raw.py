@@ -85,7 +85,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
     ``multiLine`` keeps a quoted line break inside its field (the file is then
     split per file, not per block); the header is matched by name so a
-    reordered file still binds columns correctly.
+    reordered file still binds columns correctly. An empty field, quoted or
+    not, reads as NULL; every consumer treats NULL and blank text alike.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", True).option("enforceSchema", False)
     if schema is not None:
