@@ -8,6 +8,7 @@ from mktlens.functions.numeric import (
     avg_rounded_hundredths,
     cents,
     money,
+    money_sum,
     pct,
     round_double,
     rounded_quotient,
@@ -30,6 +31,7 @@ __all__ = [
     "delivery_delay_days",
     "delivery_status",
     "money",
+    "money_sum",
     "month_of",
     "ntz",
     "pct",

@@ -28,6 +28,18 @@ def cents(c: str | Column) -> Column:
     return F.round(col_of(c) * 100, 0).cast("bigint")
 
 
+def money_sum(c: str | Column) -> Column:
+    """``SUM`` of a 2-dp money column, exact, as ``decimal(38,2)``.
+
+    The aggregation buffer is a primitive long of cents rather than a decimal,
+    which keeps the partial aggregate cheap; the total is converted back once.
+    A long of cents overflows only beyond 9.2e16 currency units (and ANSI
+    mode raises rather than wraps).
+    """
+    total = F.sum((col_of(c) * 100).cast("bigint"))
+    return (total.cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
+
+
 def _idiv(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 

@@ -20,6 +20,7 @@ from mktlens.functions import (
     day_of,
     days_between,
     delivery_status,
+    money_sum,
     month_of,
     pct,
     rounded_quotient,
@@ -36,9 +37,9 @@ def order_item_summary(items: DataFrame) -> DataFrame:
         F.count("*").cast("bigint").alias("item_count"),
         F.count_distinct("product_id").cast("bigint").alias("product_count"),
         F.count_distinct("seller_id").cast("bigint").alias("seller_count"),
-        F.sum("item_price").alias("product_value"),
-        F.sum("freight_value").alias("freight_value"),
-        F.sum("item_total_value").alias("item_total_value"),
+        money_sum("item_price").alias("product_value"),
+        money_sum("freight_value").alias("freight_value"),
+        money_sum("item_total_value").alias("item_total_value"),
     )
 
 
@@ -48,7 +49,7 @@ def order_payment_summary(payments: DataFrame) -> DataFrame:
         F.count("*").cast("bigint").alias("payment_record_count"),
         string_set_agg("payment_type").alias("payment_types"),
         F.max("payment_installments").alias("maximum_installments"),
-        F.sum("payment_value").alias("payment_value"),
+        money_sum("payment_value").alias("payment_value"),
     )
 
 
@@ -128,9 +129,9 @@ def order_seller_summary(stg_items: DataFrame, products: DataFrame, translation:
     return j.groupBy(F.col("i.order_id").alias("order_id"), F.col("i.seller_id").alias("seller_id")).agg(
         F.count("*").cast("bigint").alias("item_count"),
         F.count_distinct(F.col("i.product_id")).cast("bigint").alias("product_count"),
-        F.sum("i.item_price").alias("product_value"),
-        F.sum("i.freight_value").alias("freight_value"),
-        F.sum("i.item_total_value").alias("item_total_value"),
+        money_sum("i.item_price").alias("product_value"),
+        money_sum("i.freight_value").alias("freight_value"),
+        money_sum("i.item_total_value").alias("item_total_value"),
         string_set_agg(category).alias("product_categories"),
     )
 
@@ -229,8 +230,8 @@ def seller_daily_activity(order_seller: DataFrame) -> DataFrame:
     return order_seller.groupBy("seller_id", "purchase_date").agg(
         F.count_distinct("order_id").cast("bigint").alias("orders"),
         F.sum("item_count").alias("items"),
-        F.sum("product_value").alias("product_value"),
-        F.sum("freight_value").alias("freight_value"),
+        money_sum("product_value").alias("product_value"),
+        money_sum("freight_value").alias("freight_value"),
         F.sum(score_h).alias("score_hundredths"),
         F.count(score_h).alias("scored_rows"),
         count_where(status == ON_TIME).alias("on_time"),
