@@ -748,3 +748,234 @@ def q_profile_sink(spark, sf):
     path = S.scratch_path(spark, "profile")
     S.write_profile(report, path)
     return spark.read.schema(report.schema).json(path).select(*report.columns)
+
+
+# ------------------------------------------------------------- single operators
+# Operators that the marts use internally, exposed one by one.
+
+from mktlens.functions import delay_bucket as _delay_bucket  # noqa: E402
+from mktlens.functions import delivery_status as _delivery_status  # noqa: E402
+from mktlens.operators import attach_ranks, join_coverage, rank_table  # noqa: E402
+
+
+@register(
+    "join_order_items_summary",
+    O.with_views(
+        ("stg_orders", "order_item_summary"),
+        "SELECT o.order_id, o.purchase_date, i.item_count, CAST(i.product_value AS DOUBLE) AS product_value "
+        "FROM stg_orders AS o LEFT JOIN order_item_summary AS i ON o.order_id = i.order_id",
+    ),
+)
+def q_join_order_items_summary(spark, sf):
+    w = wh(spark, sf)
+    i = marts.order_item_summary(w.stg_order_items).select("order_id", "item_count", "product_value")
+    return w.stg_orders.select("order_id", "purchase_date").join(i, "order_id", "left")
+
+
+@register(
+    "join_order_payment_summary",
+    O.with_views(
+        ("stg_orders", "order_payment_summary"),
+        "SELECT o.order_id, p.payment_record_count, p.payment_types, CAST(p.payment_value AS DOUBLE) AS payment_value "
+        "FROM stg_orders AS o LEFT JOIN order_payment_summary AS p ON o.order_id = p.order_id",
+    ),
+)
+def q_join_order_payment_summary(spark, sf):
+    w = wh(spark, sf)
+    p = marts.order_payment_summary(w.stg_order_payments).select(
+        "order_id", "payment_record_count", "payment_types", "payment_value"
+    )
+    return w.stg_orders.select("order_id").join(p, "order_id", "left")
+
+
+@register(
+    "join_order_customer",
+    O.with_views(
+        ("stg_orders", "raw_customers"),
+        f"SELECT o.order_id, o.customer_id, c.customer_unique_id, {O.clean('c.customer_city')} AS customer_city, "
+        "c.customer_state FROM stg_orders AS o LEFT JOIN raw_customers AS c ON o.customer_id = c.customer_id",
+    ),
+)
+def q_join_order_customer(spark, sf):
+    from mktlens.functions import clean_text
+
+    w = wh(spark, sf)
+    c = w.raw["customers"].select("customer_id", "customer_unique_id", "customer_city", "customer_state")
+    j = w.stg_orders.select("order_id", "customer_id").join(c, "customer_id", "left")
+    return j.select(
+        "order_id", "customer_id", "customer_unique_id", clean_text("customer_city").alias("customer_city"), "customer_state"
+    )
+
+
+@register(
+    "join_item_product",
+    O.with_views(
+        ("stg_order_items", "raw_products"),
+        "SELECT i.order_id, i.order_item_id, i.product_id, p.product_category_name "
+        "FROM stg_order_items AS i LEFT JOIN raw_products AS p ON i.product_id = p.product_id",
+    ),
+)
+def q_join_item_product(spark, sf):
+    w = wh(spark, sf)
+    p = w.raw["products"].select("product_id", "product_category_name")
+    return w.stg_order_items.select("order_id", "order_item_id", "product_id").join(p, "product_id", "left")
+
+
+@register(
+    "join_category_translation",
+    O.with_views(
+        ("raw_products", "raw_product_category_translation"),
+        f"SELECT p.product_id, p.product_category_name, {O.CATEGORY} AS product_category "
+        "FROM raw_products AS p LEFT JOIN raw_product_category_translation AS t "
+        "ON p.product_category_name = t.product_category_name",
+    ),
+)
+def q_join_category_translation(spark, sf):
+    r = _raw(spark, sf)
+    p = r["products"].select("product_id", "product_category_name").alias("p")
+    t = r["product_category_translation"].alias("t")
+    j = p.join(t, F.col("p.product_category_name") == F.col("t.product_category_name"), "left")
+    return j.select(
+        "p.product_id",
+        F.col("p.product_category_name").alias("product_category_name"),
+        marts.product_category(F.col("t.product_category_name_english"), F.col("p.product_category_name")).alias(
+            "product_category"
+        ),
+    )
+
+
+@register(
+    "post_win_join",
+    O.with_views(
+        ("stg_marketing_funnel", "mart_order_seller"),
+        """SELECT f.mql_id, m.purchase_date, count(m.order_id) AS orders, CAST(sum(m.product_value) AS DOUBLE) AS product_value
+FROM stg_marketing_funnel AS f
+LEFT JOIN mart_order_seller AS m ON f.seller_id = m.seller_id AND m.purchase_date >= CAST(f.won_date AS DATE)
+WHERE f.is_won GROUP BY f.mql_id, m.purchase_date""",
+    ),
+)
+def q_post_win_join(spark, sf):
+    """Won leads joined to the per-(seller, day) activity on seller and date."""
+    w = wh(spark, sf)
+    won = w.stg_marketing_funnel.where(F.col("is_won")).select("mql_id", "seller_id", F.to_date("won_date").alias("won_day"))
+    j = marts.post_win_join(won, marts.seller_daily_activity(w.mart_order_seller))
+    return j.groupBy(F.col("w.mql_id").alias("mql_id"), F.col("d.purchase_date").alias("purchase_date")).agg(
+        F.coalesce(F.sum("d.orders"), F.lit(0)).cast("bigint").alias("orders"),
+        F.sum("d.product_value").alias("product_value"),
+    )
+
+
+@register(
+    "join_coverage",
+    O.with_views(
+        ("raw_closed_deals", "raw_order_items"),
+        f"""SELECT count(*) AS distinct_left_keys, count_if(r.key IS NOT NULL) AS matched_left_keys,
+  count(*) - count_if(r.key IS NOT NULL) AS unmatched_left_keys, {O.rq('count_if(r.key IS NOT NULL)', 'count(*)', 6)} AS match_rate
+FROM (SELECT DISTINCT seller_id AS key FROM raw_closed_deals WHERE seller_id IS NOT NULL AND seller_id <> '') AS l
+LEFT JOIN (SELECT DISTINCT seller_id AS key FROM raw_order_items WHERE seller_id IS NOT NULL AND seller_id <> '') AS r
+  ON l.key = r.key""",
+    ),
+)
+def q_join_coverage(spark, sf):
+    r = _raw(spark, sf)
+    return join_coverage(r["closed_deals"], "seller_id", r["order_items"], "seller_id")
+
+
+@register(
+    "order_payment_types",
+    O.with_views(("order_payment_summary",), "SELECT order_id, payment_types FROM order_payment_summary"),
+)
+def q_order_payment_types(spark, sf):
+    return marts.order_payment_summary(wh(spark, sf).stg_order_payments).select("order_id", "payment_types")
+
+
+@register(
+    "order_seller_categories",
+    O.with_views(("order_seller_summary",), "SELECT order_id, seller_id, product_categories FROM order_seller_summary"),
+)
+def q_order_seller_categories(spark, sf):
+    w = wh(spark, sf)
+    s = marts.order_seller_summary(w.stg_order_items, w.raw["products"], w.raw["product_category_translation"])
+    return s.select("order_id", "seller_id", "product_categories")
+
+
+@register(
+    "activation_delay_stats",
+    O.with_views(
+        ("profiler_deal_activity",),
+        "SELECT CAST(median(date_diff('day', won_day, first_post_win_day)) AS DOUBLE) AS median_days_to_first_post_win_sale, "
+        "CAST(min(date_diff('day', won_day, first_post_win_day)) AS BIGINT) AS minimum_days_to_first_post_win_sale, "
+        "CAST(max(date_diff('day', won_day, first_post_win_day)) AS BIGINT) AS maximum_days_to_first_post_win_sale "
+        "FROM profiler_deal_activity",
+    ),
+)
+def q_activation_delay_stats(spark, sf):
+    r = _raw(spark, sf)
+    s = profiling.activation_summary(r["marketing_qualified_leads"], r["closed_deals"], r["order_items"], r["orders"])
+    return s.select(
+        "median_days_to_first_post_win_sale", "minimum_days_to_first_post_win_sale", "maximum_days_to_first_post_win_sale"
+    )
+
+
+def _activated(spark, sf) -> DataFrame:
+    m4 = wh(spark, sf).mart_seller_lifecycle
+    return m4.where(F.col("is_activated")).select("mql_id", "origin", "post_win_product_value", "post_win_order_count")
+
+
+def _one_rank(spark, sf, value: str, out: str, keys: list[str]) -> DataFrame:
+    base = _activated(spark, sf)
+    return attach_ranks(base, [(rank_table(base, value, out, keys), value, keys)])
+
+
+RANK_SQL = "SELECT mql_id, origin, CAST(post_win_product_value AS DOUBLE) AS post_win_product_value, post_win_order_count, rank() OVER ({w}) AS {out} FROM mart_seller_lifecycle WHERE is_activated"
+
+
+@register(
+    "rank_overall_value",
+    O.with_views(("mart_seller_lifecycle",), RANK_SQL.format(w="ORDER BY post_win_product_value DESC", out="overall_product_value_rank")),
+)
+def q_rank_overall_value(spark, sf):
+    return _one_rank(spark, sf, "post_win_product_value", "overall_product_value_rank", [])
+
+
+@register(
+    "rank_within_origin",
+    O.with_views(
+        ("mart_seller_lifecycle",),
+        RANK_SQL.format(w="PARTITION BY origin ORDER BY post_win_product_value DESC", out="origin_product_value_rank"),
+    ),
+)
+def q_rank_within_origin(spark, sf):
+    return _one_rank(spark, sf, "post_win_product_value", "origin_product_value_rank", ["origin"])
+
+
+@register(
+    "rank_overall_orders",
+    O.with_views(("mart_seller_lifecycle",), RANK_SQL.format(w="ORDER BY post_win_order_count DESC", out="overall_order_count_rank")),
+)
+def q_rank_overall_orders(spark, sf):
+    return _one_rank(spark, sf, "post_win_order_count", "overall_order_count_rank", [])
+
+
+@register(
+    "delivery_status",
+    O.with_views(
+        ("stg_orders",),
+        f"SELECT order_id, {O.STATUS.format(d='order_delivered_customer_date', e='order_estimated_delivery_date')} AS delivery_status FROM stg_orders",
+    ),
+)
+def q_delivery_status(spark, sf):
+    o = wh(spark, sf).stg_orders
+    return o.select("order_id", _delivery_status("order_delivered_customer_date", "order_estimated_delivery_date").alias("delivery_status"))
+
+
+@register(
+    "delay_bucket",
+    O.with_views(("order_review_base",), "SELECT order_id, delivery_delay_days, delivery_delay_bucket FROM order_review_base"),
+)
+def q_delay_bucket(spark, sf):
+    o = wh(spark, sf).stg_orders
+    d, e = "order_delivered_customer_date", "order_estimated_delivery_date"
+    from mktlens.functions import delivery_delay_days
+
+    return o.select("order_id", delivery_delay_days(d, e).alias("delivery_delay_days"), _delay_bucket(d, e).alias("delivery_delay_bucket"))
