@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from mktlens.plans import analysis, marts, quality, staging
-from mktlens.sources import RawTables, cut_lineage, load_raw, materialize
+from mktlens.sources import RawTables, cut_lineage, load_raw, materialize, register
 
 
 class Warehouse:
@@ -105,6 +105,24 @@ class Warehouse:
             self.delivery_review_analysis,
         )
 
+    # ---------------------------------------------------------- publishing
+    LAYERS = {
+        "staging": ("stg_orders", "stg_order_items", "stg_order_payments", "stg_marketing_funnel"),
+        "marts": ("mart_orders", "mart_order_seller", "mart_marketing_funnel", "mart_seller_lifecycle"),
+        "analysis": ("acquisition_channel_quality", "seller_activation_performance", "delivery_review_analysis"),
+        "quality": ("join_fanout_reconciliation", "final_kpi_validation"),
+    }
+
+    def publish(self, prefix: str = "") -> list[str]:
+        """Register every view as a temporary view named ``<prefix><view>``
+        (``CREATE OR REPLACE VIEW``); nothing is computed. Returns the names."""
+        names = []
+        for views in self.LAYERS.values():
+            for v in views:
+                register(self.spark, prefix + v, getattr(self, v))
+                names.append(prefix + v)
+        return names
+
     # ---------------------------------------------------------- persistence
     def cut(self, *names: str) -> "Warehouse":
         """Write the named views (in the order given) to the shared folder so
