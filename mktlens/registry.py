@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mktlens import oracle as O
-from mktlens.plans import analysis, marts, staging
+from mktlens import sources as S
+from mktlens.functions import delay_bucket as _delay_bucket
+from mktlens.functions import delivery_delay_days, clean_text
+from mktlens.functions import delivery_status as _delivery_status
+from mktlens.operators import attach_ranks, duplicate_key_rows, join_coverage, rank_table
+from mktlens.plans import analysis, kpi, marts, profiling, staging
 from mktlens.plans.quality import fanout_summary, kpi_summary
 from mktlens.plans.warehouse import Warehouse
 
@@ -354,7 +359,6 @@ def q_kpi_summary(spark, sf):
 
 # ------------------------------------------------------------- profiling
 
-from mktlens.plans import kpi, profiling  # noqa: E402
 
 
 def _raw(spark, sf):
@@ -451,8 +455,6 @@ def q_coverage_report(spark, sf):
     ),
 )
 def q_duplicate_key_rows(spark, sf):
-    from mktlens.operators import duplicate_key_rows
-
     return duplicate_key_rows(_raw(spark, sf)["order_reviews"], ["review_id"])
 
 
@@ -686,7 +688,6 @@ def q_dim_origin(spark, sf):
 
 # ------------------------------------------------------------- sources and sinks
 
-from mktlens import sources as S  # noqa: E402
 
 # The table files of the test data directory.
 TEST_TABLE_FILES = tuple(
@@ -753,9 +754,6 @@ def q_profile_sink(spark, sf):
 # ------------------------------------------------------------- single operators
 # Operators that the marts use internally, exposed one by one.
 
-from mktlens.functions import delay_bucket as _delay_bucket  # noqa: E402
-from mktlens.functions import delivery_status as _delivery_status  # noqa: E402
-from mktlens.operators import attach_ranks, join_coverage, rank_table  # noqa: E402
 
 
 @register(
@@ -797,8 +795,6 @@ def q_join_order_payment_summary(spark, sf):
     ),
 )
 def q_join_order_customer(spark, sf):
-    from mktlens.functions import clean_text
-
     w = wh(spark, sf)
     c = w.raw["customers"].select("customer_id", "customer_unique_id", "customer_city", "customer_state")
     j = w.stg_orders.select("order_id", "customer_id").join(c, "customer_id", "left")
@@ -976,6 +972,4 @@ def q_delivery_status(spark, sf):
 def q_delay_bucket(spark, sf):
     o = wh(spark, sf).stg_orders
     d, e = "order_delivered_customer_date", "order_estimated_delivery_date"
-    from mktlens.functions import delivery_delay_days
-
     return o.select("order_id", delivery_delay_days(d, e).alias("delivery_delay_days"), _delay_bucket(d, e).alias("delivery_delay_bucket"))
