@@ -61,6 +61,29 @@ def rows_of(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), str(x)) for x in r))
 
 
+SPARK_TO_DUCK = {
+    "LongType": "BIGINT",
+    "IntegerType": "INTEGER",
+    "DoubleType": "DOUBLE",
+    "StringType": "VARCHAR",
+    "DateType": "DATE",
+    "TimestampNTZType": "TIMESTAMP",
+    "BooleanType": "BOOLEAN",
+}
+
+
+def type_diff(spark_schema, duck_desc) -> list:
+    """Columns whose Spark type and DuckDB type differ."""
+    duck = {d[0]: str(d[1]).upper() for d in duck_desc}
+    out = []
+    for f in spark_schema.fields:
+        s = SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+        d = duck.get(f.name, "?")
+        if not (d == s or (s == "VARCHAR" and d.startswith("VARCHAR"))):
+            out.append((f.name, s, d))
+    return out
+
+
 def compare(name: str, sdf: pd.DataFrame, odf: pd.DataFrame) -> str:
     if sorted(sdf.columns) != sorted(odf.columns):
         return f"COLUMNS spark={sorted(sdf.columns)} oracle={sorted(odf.columns)}"
@@ -107,12 +130,16 @@ def main() -> None:
             print(f"{name:40s} rows-only rows={len(sdf)} spark={ts:.2f}s")
             continue
         try:
-            odf = con.execute(sql[name]).fetchdf()
+            cur = con.execute(sql[name])
+            tdiff = type_diff(qs[name](spark, sf_dir).schema, cur.description)
+            odf = cur.fetchdf()
         except Exception as e:  # noqa: BLE001
             print(f"{name:40s} ORACLE-ERROR {str(e)[:300]}")
             bad += 1
             continue
         res = compare(name, sdf, odf)
+        if res == "OK" and tdiff:
+            res = f"TYPES {tdiff}"
         if res != "OK":
             bad += 1
         print(f"{name:40s} {res} rows={len(sdf)} spark={ts:.2f}s")
