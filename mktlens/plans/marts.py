@@ -276,11 +276,27 @@ def post_win_join(won_leads: DataFrame, daily: DataFrame) -> DataFrame:
     return w.join(d, cond, "left")
 
 
+def closed_seller_activity(order_seller: DataFrame, won: DataFrame) -> DataFrame:
+    """Order-seller rows of sellers that closed a deal, as daily activity.
+
+    A left-semi join on the distinct closed sellers drops every other
+    seller's rows before the daily aggregation and before any join (Spark
+    broadcasts the seller set when its measured size allows).
+    """
+    sellers = won.select("seller_id").where(F.col("seller_id").isNotNull()).distinct()
+    return seller_daily_activity(order_seller.join(sellers, "seller_id", "left_semi"))
+
+
 def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
     """Per won lead (mql_id, seller_id): post-win sales, reviews, delivery.
 
     Won funnel rows are first collapsed to (mql_id, seller_id, won_day) with a
-    multiplicity, then joined to the daily activity. Sums are weighted by the
+    multiplicity. Their matches in the closed sellers' daily activity are
+    found by an inner equi-join on seller_id with the date test as residual
+    (an inner join lets AQE broadcast whichever side is small), aggregated,
+    and attached back to every won group, so a lead without post-win sales
+    keeps a row whose counts are 0 and whose sums and averages are NULL,
+    exactly as the LEFT JOIN ... GROUP BY form. Sums are weighted by the
     multiplicity (a duplicated deal counts its sales twice, as a plain join
     would), while the distinct order count takes the widest window of the
     group (the earliest win day), as a distinct count over the join would.
@@ -290,8 +306,9 @@ def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
         .groupBy("mql_id", "seller_id", day_of("won_date").alias("won_day"))
         .agg(F.count("*").cast("bigint").alias("m"))
     )
-    j = post_win_join(won, seller_daily_activity(order_seller))
-    per_window = j.groupBy(
+    w, d = won.alias("w"), closed_seller_activity(order_seller, won).alias("d")
+    cond = (F.col("w.seller_id") == F.col("d.seller_id")) & (F.col("d.purchase_date") >= F.col("w.won_day"))
+    per_window = w.join(d, cond, "inner").groupBy(
         F.col("w.mql_id").alias("mql_id"), F.col("w.seller_id").alias("seller_id"), "w.won_day", "w.m"
     ).agg(
         F.min("d.purchase_date").alias("first_date"),
@@ -305,13 +322,10 @@ def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
         F.sum("d.late").alias("late"),
     )
     m = F.col("m")
-    zero = F.lit(0).cast("bigint")
-    # COUNT and COUNTIF are 0 over no matching rows; SUM, MIN and AVG are NULL
-    on_time = F.coalesce(F.sum(F.col("on_time") * m), zero)
-    late = F.coalesce(F.sum(F.col("late") * m), zero)
-    return per_window.groupBy("mql_id", "seller_id").agg(
+    on_time, late = F.sum(F.col("on_time") * m), F.sum(F.col("late") * m)
+    matched = per_window.groupBy("mql_id", "seller_id").agg(
         F.min("first_date").alias("first_post_win_order_date"),
-        F.coalesce(F.max("orders"), zero).alias("post_win_order_count"),
+        F.max("orders").alias("post_win_order_count"),
         F.sum(F.col("items") * m).alias("post_win_item_count"),
         F.sum(F.col("product_value") * m).cast("decimal(38,2)").alias("post_win_product_value"),
         F.sum(F.col("freight_value") * m).cast("decimal(38,2)").alias("post_win_freight_value"),
@@ -321,6 +335,27 @@ def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
         on_time.alias("on_time_order_count"),
         late.alias("late_order_count"),
         pct(on_time, on_time + late).alias("on_time_delivery_rate_pct"),
+    ).alias("a")
+    groups = won.select("mql_id", "seller_id").distinct().alias("g")
+    j = groups.join(
+        matched,
+        (F.col("g.mql_id") == F.col("a.mql_id")) & F.col("g.seller_id").eqNullSafe(F.col("a.seller_id")),
+        "left",
+    )
+    zero = F.lit(0).cast("bigint")
+    # COUNT and COUNTIF are 0 over no matching rows; SUM, MIN and AVG are NULL
+    return j.select(
+        F.col("g.mql_id").alias("mql_id"),
+        F.col("g.seller_id").alias("seller_id"),
+        "first_post_win_order_date",
+        F.coalesce(F.col("post_win_order_count"), zero).alias("post_win_order_count"),
+        "post_win_item_count",
+        "post_win_product_value",
+        "post_win_freight_value",
+        "average_review_score",
+        F.coalesce(F.col("on_time_order_count"), zero).alias("on_time_order_count"),
+        F.coalesce(F.col("late_order_count"), zero).alias("late_order_count"),
+        "on_time_delivery_rate_pct",
     )
 
 
