@@ -170,13 +170,16 @@ def _profiler_origin(leads: DataFrame) -> DataFrame:
     )
 
 
-def seller_order_days(items: DataFrame, orders: DataFrame) -> DataFrame:
+def seller_order_days(items: DataFrame, orders: DataFrame, sellers: DataFrame | None = None) -> DataFrame:
     """Distinct (seller_id, order_day) for sellers' orders that have a date.
 
-    Reduced to one row per seller and day before any join with deals, so a
-    seller with a third of all orders still contributes a bounded row set.
+    With ``sellers`` given, items are first cut to those sellers by a
+    left-semi join. Reduced to one row per seller and day before any join
+    with deals, so a seller with a third of all orders still contributes a
+    bounded row set.
     """
-    so = items.select("seller_id", "order_id").where(F.col("seller_id").isNotNull()).distinct()
+    it = items if sellers is None else items.join(sellers, "seller_id", "left_semi")
+    so = it.select("seller_id", "order_id").where(F.col("seller_id").isNotNull()).distinct()
     od = orders.select("order_id", day_of("order_purchase_timestamp").alias("order_day")).where(
         F.col("order_day").isNotNull()
     )
@@ -188,7 +191,8 @@ def deal_activity(leads: DataFrame, deals: DataFrame, items: DataFrame, orders:
     origin = _profiler_origin(leads)
     d = deals.select("mql_id", "seller_id", day_of("won_date").alias("won_day")).join(origin, "mql_id", "left")
     d = d.select("mql_id", "seller_id", "won_day", F.coalesce("origin", F.lit("unknown")).alias("origin"))
-    days = seller_order_days(items, orders).alias("s")
+    closed = deals.select("seller_id").where(F.col("seller_id").isNotNull()).distinct()
+    days = seller_order_days(items, orders, closed).alias("s")
     dd = d.alias("d")
     j = dd.join(days, F.col("d.seller_id") == F.col("s.seller_id"), "left")
     day, won = F.col("s.order_day"), F.col("d.won_day")
