@@ -71,3 +71,15 @@ def test_rank_paths_agree(spark):
     small = seller_activation_performance(m4).select(*cols).orderBy("mql_id").collect()
     big = seller_activation_performance(m4, small_rows=0).select(*cols).orderBy("mql_id").collect()
     assert small == big and len(small) > 0
+
+
+def test_build_warehouse_writes_layers_and_passes_gate(spark):
+    from mktlens.plans.run import build_warehouse
+
+    out = tempfile.mkdtemp(prefix="mktlens-build-")
+    paths = build_warehouse(spark, SF, out)
+    assert set(paths) >= {"mart_orders", "final_kpi_validation"}
+    q2 = spark.read.parquet(paths["final_kpi_validation"])
+    assert q2.where("check_status = 'PASS'").count() == 6
+    a1 = spark.read.parquet(paths["acquisition_channel_quality"]).orderBy("origin").collect()
+    assert a1 == Warehouse.at(spark, SF).acquisition_channel_quality.orderBy("origin").collect()
