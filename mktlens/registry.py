@@ -436,6 +436,19 @@ def q_raw_profile(spark, sf):
     return profiling.raw_profile(_raw(spark, sf))
 
 
+@register("profile_table", O.raw_profile_sql(only="order_reviews"))
+def q_profile_table(spark, sf):
+    return profiling.profile_table(_raw(spark, sf)["order_reviews"], "order_reviews")
+
+
+DRIFT_COLS = "table_name, rows, missing_expected_columns, unexpected_columns, schema_status"
+
+
+@register("schema_drift", O.raw_profile_sql(columns=DRIFT_COLS))
+def q_schema_drift(spark, sf):
+    return profiling.raw_profile(_raw(spark, sf)).select(*[c.strip() for c in DRIFT_COLS.split(",")])
+
+
 @register("null_counts", O.raw_null_counts_sql())
 def q_null_counts(spark, sf):
     return profiling.raw_null_counts(_raw(spark, sf))
