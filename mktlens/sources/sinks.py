@@ -10,17 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-shared scratch folder, taken from ``spark.checkpoint.dir``.
+    """The cluster-shared scratch folder: ``spark.checkpoint.dir`` of the
+    session, else the context's checkpoint directory.
 
-    Only when the session has none (local tests) is a private temporary
-    folder created and registered as the checkpoint directory.
+    Only when neither is set (local tests) is a private temporary folder
+    created and registered with ``setCheckpointDir``; the session config
+    itself is static and is never changed.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="mktlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
