@@ -25,7 +25,7 @@ from mktlens.functions import (
     rounded_quotient,
 )
 from mktlens.functions.status import LATE, NOT_DELIVERED, ON_TIME
-from mktlens.plans.marts import closed_seller_activity, review_summary
+from mktlens.plans.marts import review_summary, seller_daily_activity
 
 
 def _delivery_aggs(status: F.Column) -> list[F.Column]:
@@ -146,9 +146,8 @@ def post_win_sales(funnel: DataFrame, m2: DataFrame) -> DataFrame:
     both). Uses the per-(seller, day) activity, so no seller is hot."""
     won = funnel.where(F.col("is_won")).select(
         "mql_id", "seller_id", "origin", day_of("won_date").alias("won_day")
-    )
-    d = closed_seller_activity(m2, won).alias("d")
-    won = won.alias("w")
+    ).alias("w")
+    d = seller_daily_activity(m2).alias("d")
     j = won.join(
         d, (F.col("w.seller_id") == F.col("d.seller_id")) & (F.col("d.purchase_date") >= F.col("w.won_day"))
     )
