@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mktlens.llm import decontaminate, oracle, quality_rules, shards
+from mktlens.llm import decontaminate, oracle, quality_rules, shards, simhash
 from mktlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col(f"quality.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")],
         F.col("quality_kept").alias("kept"),
     )
+
+
+@register
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
