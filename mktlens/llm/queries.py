@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mktlens.llm import decontaminate, oracle, quality_rules, shards, simhash
+from mktlens.llm import decontaminate, oracle, quality_rules, shards, simhash, substring_dedup
 from mktlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
