@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mktlens.llm import decontaminate, oracle, quality_rules, shards, simhash, substring_dedup
+from mktlens.llm import decontaminate, oracle, quality_rules, secrets, shards, simhash, substring_dedup
 from mktlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,16 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_report(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("finds", lambda x: x["kind"].isin(*kinds))
+    count = lambda kind: F.size(of(kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(k) for k in secrets.BASE_KINDS],
+        F.sha2(secrets.spans_text(of(*secrets.BASE_KINDS)), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("finds")).alias("spans"),
+    )
