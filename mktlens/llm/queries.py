@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mktlens.llm import decontaminate, oracle, quality_rules, secrets, shards, simhash, substring_dedup
+from mktlens.llm import (
+    decontaminate,
+    oracle,
+    ordinal,
+    quality_rules,
+    secrets,
+    shards,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from mktlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +90,13 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spans_text(of(*secrets.BASE_KINDS)), 256).alias("base_sha256"),
         secrets.spans_text(F.col("finds")).alias("spans"),
     )
+
+
+@register
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal.quality_grades(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
