@@ -5,7 +5,9 @@ to a bucket with a vector. A word's vector is the mean of its n-grams', a
 text's the mean of its words', and a linear softmax reads the text's vector.
 Bucket vectors and softmax are trained jointly (Adam, full batch, numpy) on a
 bounded sample of labelled texts, so a misspelt word that training never saw
-still gets most of its n-grams' weight.
+still gets most of its n-grams' weight. Training starts from n-grams that stand
+out among toxic texts and stops where a held-out part of the sample is
+predicted best, so a few hundred labels do not lead to learning single texts.
 
 Scoring runs in Spark tasks. As everything after the buckets is linear, a word
 contributes one number, which a task keeps for words met again; that cache is
@@ -39,10 +41,15 @@ WORDS = re.compile(r"\w+")
 GRAMS = (3, 5)
 BUCKETS = 1 << 16
 DIM = 8
-EPOCHS = 12
+EPOCHS = 24
+WARM = 20  # passes for softmax and intercept alone
 BATCH = 512
-RATE = 0.05
+RATES = (0.01, 0.01, 0.02)  # bucket vectors, softmax, intercept
 DECAY = 1e-5
+HELD = 0.2
+SCREEN = 2.0
+SMALL = 1e-3
+CALIBRATION_HOLD = 1.0
 SCALE = 10.0  # a few telling words among hundreds must move the mean
 PER_CLASS = (4_500, 1_500)  # clean, toxic
 MAX_BYTES = 32_768
@@ -114,6 +121,43 @@ def _batch(texts: list[str], buckets: int, known: dict[str, np.ndarray]):
     return np.concatenate(cols), np.concatenate(vals), np.array(sizes)
 
 
+def _sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _calibrated(logit: np.ndarray, target: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and shift that fit the held-out texts best, weighed to the labels'
+    true odds exp(prior); held near (1, prior) by a weak penalty."""
+    toxic = 1 / (1 + np.exp(-prior))
+    weight = np.where(target == 1, toxic / target.sum(), (1 - toxic) / (len(target) - target.sum()))
+    hold = CALIBRATION_HOLD / len(target)
+    log_slope, shift = 0.0, prior
+    for _ in range(2000):
+        slope = np.exp(log_slope)
+        error = weight * (_sigmoid(slope * logit + shift) - target)
+        log_slope -= 0.5 * ((error * logit).sum() * slope + hold * log_slope)
+        shift -= 0.5 * (error.sum() + hold * (shift - prior))
+    return float(np.exp(log_slope)), float(shift)
+
+
+@dataclass
+class _Rows:
+    cols: np.ndarray
+    vals: np.ndarray
+    sizes: np.ndarray
+    target: np.ndarray
+
+    def read(self, per_bucket: np.ndarray) -> np.ndarray:
+        """Each text's sum of what its buckets add."""
+        starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
+        values = np.append(self.vals * per_bucket[self.cols], np.float32(0))
+        return np.where(self.sizes > 0, np.add.reduceat(values, starts), 0.0)
+
+
+def _rows(texts: list[str], target: np.ndarray, buckets: int, known: dict) -> _Rows:
+    return _Rows(*_batch(texts, buckets, known), target)
+
+
 def train(
     sample: list[tuple[str, int]],
     counts: list[int],
@@ -134,42 +178,73 @@ def train(
         share = min(max(share, 1e-9), 1 - 1e-9)
         return SubwordModel(np.zeros(buckets, np.float32), float(np.log(share / (1 - share))))
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(y))
+    # Stratified order: the first HELD share of each class judges when to stop.
+    held, fit = [], []
+    for g in (0, 1):
+        own = rng.permutation(np.flatnonzero(y == g))
+        cut = int(len(own) * HELD)
+        held.append(own[:cut])
+        fit.append(own[cut:])
+    held, fit = np.concatenate(held), rng.permutation(np.concatenate(fit))
     known: dict[str, np.ndarray] = {}
-    batches = []
-    for at in range(0, len(order), BATCH):
-        rows = order[at : at + BATCH]
-        batches.append((*_batch([texts[i] for i in rows], buckets, known), y[rows]))
+    batches = [
+        _rows([texts[i] for i in rows], y[rows], buckets, known)
+        for rows in (fit[at : at + BATCH] for at in range(0, len(fit), BATCH))
+    ]
+    judge = _rows([texts[i] for i in held], y[held], buckets, known) if len(held) else None
     known.clear()
-    embed = rng.normal(0, 1 / dim, (buckets, dim)).astype(np.float32)
+
+    # Start: the first dimension holds how far a bucket's count among toxic
+    # texts stands out, in standard deviations beyond SCREEN; the rest is small.
+    share = y[fit].mean()
+    seen = sum(np.bincount(r.cols, minlength=buckets) for r in batches)
+    toxic = sum(np.bincount(r.cols, np.repeat(r.target, r.sizes), buckets) for r in batches)
+    z = (toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1)
+    start = np.sign(z) * np.maximum(np.abs(z) - SCREEN, 0)
+    spread = np.concatenate([r.read(start) for r in batches]).std()
+    embed = rng.normal(0, SMALL, (buckets, dim)).astype(np.float32)
+    embed[:, 0] = start / (spread * SCALE) if spread > 0 else 0
     soft = rng.normal(0, 1 / dim, (dim, 2)).astype(np.float32)
+    soft[0] = (-0.5, 0.5)
     bias = np.zeros(2, np.float32)
     params = [embed, soft, bias]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
-    share = y.mean()
-    step = 0
-    for _ in range(epochs):
-        for cols, vals, sizes, target in batches:
+    best, kept, step = np.inf, None, 0
+    for epoch in range(WARM + epochs):
+        for r in batches:
             step += 1
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            through = embed @ (soft[:, 1] - soft[:, 0])
-            read = np.add.reduceat(np.append(vals * through[cols], np.float32(0)), starts)
-            logit = np.where(sizes > 0, read, 0.0) * SCALE + bias[1] - bias[0]
-            p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-            weight = np.where(target == 1, 0.5 / share, 0.5 / (1 - share)) / len(target)
-            error = ((p - target) * weight).astype(np.float32)  # of the second logit; the first has its negative
-            back = np.bincount(cols, vals * np.repeat(error, sizes), buckets).astype(np.float32) * SCALE
+            logit = r.read(embed @ (soft[:, 1] - soft[:, 0])) * SCALE + bias[1] - bias[0]
+            weight = np.where(r.target == 1, 0.5 / share, 0.5 / (1 - share)) / len(r.target)
+            # Error of the second logit; the first has its negative.
+            error = ((_sigmoid(logit) - r.target) * weight).astype(np.float32)
+            back = np.bincount(r.cols, r.vals * np.repeat(error, r.sizes), buckets).astype(np.float32) * SCALE
             both = np.stack([-back, back], axis=1)
             grads = [both @ soft.T + DECAY * embed, embed.T @ both, np.array([-error.sum(), error.sum()])]
             for i, (q, g) in enumerate(zip(params, grads, strict=True)):
+                if i == 0 and epoch < WARM:
+                    continue  # softmax and intercept first
                 first[i] += 0.1 * (g - first[i])
                 second[i] += 0.001 * (g * g - second[i])
-                q -= RATE * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-    odds = (embed @ (soft[:, 1] - soft[:, 0])) * SCALE
-    # Classes were weighed alike; put their true odds back.
-    prior = float(np.log(counts[1] / counts[0])) if counts[0] and counts[1] else 0.0
-    return SubwordModel(odds, float(bias[1] - bias[0]) + prior)
+                q -= RATES[i] * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
+        odds = (embed @ (soft[:, 1] - soft[:, 0])) * SCALE
+        if judge is None:
+            kept = (odds, float(bias[1] - bias[0]))
+        elif epoch >= WARM - 1:
+            p = np.clip(_sigmoid(judge.read(odds) + bias[1] - bias[0]), 1e-6, 1 - 1e-6)
+            weight = np.where(judge.target == 1, 0.5 / share, 0.5 / (1 - share))
+            loss = -(weight * np.log(np.where(judge.target == 1, p, 1 - p))).mean()
+            if loss < best:
+                best, kept = loss, (odds, float(bias[1] - bias[0]))
+            elif loss > best * 1.5:
+                break
+    odds, intercept = kept
+    slope = 1.0
+    # Classes were weighed alike; their true odds come back with the scale.
+    shift = float(np.log(counts[1] / counts[0])) if counts[0] and counts[1] else 0.0
+    if judge is not None and judge.target.any() and not judge.target.all():
+        slope, shift = _calibrated(judge.read(odds) + intercept, judge.target, shift)
+    return SubwordModel(odds * slope, intercept * slope + shift)
 
 
 def score_documents(docs: DataFrame, model: SubwordModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
