@@ -13,6 +13,7 @@ from mktlens.llm import (
     ordinal,
     quality_rules,
     secrets,
+    sentencepiece_lattice,
     shards,
     simhash,
     substring_dedup,
@@ -100,3 +101,17 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.quality_grades(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_lattice.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "sample",
+        F.size("ids").cast("bigint").alias("n_ids"),
+        "log_prob",
+        "perturbed",
+        "inclusion",
+        "round_trip",
+        "ids",
+    )
