@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mktlens.llm import (
     decontaminate,
+    licenses,
     oracle,
     ordinal,
     quality_rules,
@@ -115,3 +116,17 @@ def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
         "round_trip",
         "ids",
     )
+
+
+@register
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    span = lambda x: F.concat_ws(":", x["family"], x["start"].cast("string"), x["end"].cast("string"))
+    return found.select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("finds").cast("bigint").alias("n_licenses"),
+        F.array_join(F.sort_array(F.array_distinct("finds.family")), ",").alias("families"),
+        F.array_join(F.transform("finds", span), ",").alias("spans"),
+        F.round(F.coalesce(F.array_max("finds.probability"), F.lit(0.0)), 6).alias("probability"),
+    )
