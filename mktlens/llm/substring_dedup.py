@@ -9,8 +9,9 @@ minimisers, so they meet in the minimiser's bucket.
    Minimisers are counted; a super-k-mer whose minimiser occurs once anywhere
    holds no repeated window and goes no further.
 2. The others travel as one packed string each (their words, one space
-   between) to their bucket. A string that a batch of documents repeats is sent
-   once, for its first place. In a bucket the windows are sorted, and only the
+   between) to their bucket. Of documents with one text only the first sends
+   its strings (no window of the others is fresh), and a string that a batch of
+   documents repeats is sent once, for its first place. In a bucket the windows are sorted, and only the
    first place of each window is fresh.
 3. Per document: windows named in step 1 that are not fresh are repeats, and
    the words they cover go.
@@ -297,8 +298,15 @@ def substring_dedup(
         ),
         "named-runs",
     )
+    # Copies of a whole text, by two independent 64-bit hashes: the first one stands for all.
+    text = F.coalesce("text", F.lit(""))
+    first = (
+        rows.groupBy(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("copy"), text).alias("h2"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("x"))
+        .select(F.col("x.row_key").alias("row_key"))
+    )
     packed = (
-        rows.join(named, "row_key")
+        rows.join(named.join(first, "row_key", "left_semi"), "row_key")
         .select("row_key", "doc_id", "text", "runs", "minimisers", "hots")
         .mapInPandas(_pack(window), PACKED)
     )
