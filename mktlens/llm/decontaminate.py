@@ -2,13 +2,16 @@
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the lower-cased (A-Z) text.
 A window is ``WINDOW`` consecutive words of a benchmark item; an item of fewer
-words is one window. The windows' hashes are broadcast; every document forms
-the hashes of all its own windows (pair by pair, four steps for ten words) and
-probes the set; a hash match is verified word for word in the same row. Hits
-are then one narrow row each and meet per document.
+words is one window. The hashes of all windows go out with the tasks as a hash
+set; every document forms the hashes of all its own windows (pair by pair, four
+steps for ten words) and probes the set within its row. Only the windows found
+leave the row, with their words, and are verified word for word against the
+benchmark's. Verified hits are narrow rows that meet per document.
 
-The window set is broadcast only when its measured size is at most
-``BROADCAST_BYTES``; beyond that the same join runs as a shuffle on the hash.
+The set goes out whole when its counted windows are at most ``SET_WINDOWS``
+(8 bytes each), and the windows' words are broadcast when they measure at most
+``BROADCAST_BYTES``. Beyond that the same probes run as shuffled joins on the
+hash; the results are the same.
 
 Defined results: null or blank texts have no words and no hits; items without
 words have no window; repeated documents are judged alike; repeated item ids
@@ -26,6 +29,7 @@ from mktlens.llm.common import ascii_lower, gram_hashes, row_key, word_hashes
 from mktlens.sources.sinks import materialize
 
 WINDOW = 10
+SET_WINDOWS = 100_000
 BROADCAST_BYTES = 64 << 20
 SEPARATORS_RE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -67,8 +71,9 @@ def _of_width(n: int):
     return lambda x: F.xxhash64(x, F.lit(n))
 
 
-def _document_grams(docs: DataFrame, id_col: str, text_col: str, widths: list[int]) -> DataFrame:
-    """One row per window of a document: (doc_id, row_key, words, place, hash)."""
+def _with_grams(docs: DataFrame, id_col: str, text_col: str, widths: list[int]) -> DataFrame:
+    """(doc_id, row_key, words, grams) of every document: the hashes of its
+    windows, those of one width after those of the widths before it."""
     df = docs.select(
         F.col(id_col).alias("doc_id"),
         row_key(F.col(id_col), F.col(text_col)).alias("row_key"),
@@ -78,9 +83,33 @@ def _document_grams(docs: DataFrame, id_col: str, text_col: str, widths: list[in
     for n in widths:
         df = gram_hashes(df, "h", n, f"g{n}")
         df = df.withColumn(f"g{n}", F.transform(f"g{n}", _of_width(n)))
-    every = F.concat(*[F.col(f"g{n}") for n in widths]) if len(widths) > 1 else F.col(f"g{widths[0]}")
-    return df.select("doc_id", "row_key", "words", every.alias("grams")).select(
-        "doc_id", "row_key", "words", F.posexplode("grams").alias("place", "hash")
+    every = F.concat(*[F.col(f"g{n}") for n in widths])
+    return df.select("doc_id", "row_key", "words", every.alias("grams"))
+
+
+def _candidates(grams: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
+    """(doc_id, row_key, words, place, hash): windows whose hash is in the set."""
+    if small:
+        # The hash set goes out with the tasks; a document is scanned in its
+        # own row, and only the windows found leave it.
+        held = ",".join(f"{r['hash']}L" for r in windows.select("hash").distinct().collect())
+        among = F.expr(f"array_compact(transform(grams, (x, i) -> CASE WHEN x IN ({held or 'NULL'}) THEN i END))")
+        found = grams.withColumn("places", among)
+    else:
+        narrow = grams.select("row_key", F.posexplode_outer("grams").alias("place", "hash"))
+        places = (
+            narrow.join(windows.select("hash").distinct(), "hash", "left_semi")
+            .groupBy("row_key")
+            .agg(F.sort_array(F.collect_set("place")).alias("places"))
+        )
+        found = grams.join(places, "row_key")
+    picked = F.transform("places", lambda p: F.struct(p.alias("place"), F.get("grams", p).alias("hash")))
+    # An outer explode and a filter above it: a filter below would be moved under
+    # the columns that make the hashes and evaluate each of them again and again.
+    return (
+        found.select("doc_id", "row_key", "words", F.explode_outer(picked).alias("x"))
+        .where(F.col("x.place").isNotNull())
+        .select("doc_id", "row_key", "words", "x.place", "x.hash")
     )
 
 
@@ -89,13 +118,13 @@ def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_co
     windows = materialize(benchmark_windows(bench), "bench-windows")
     seen = windows.agg(
         F.sort_array(F.collect_set("width")).alias("widths"),
+        F.count("*").alias("n"),
         F.sum(F.length("gram") + 64 + 16 * F.size("items")).alias("bytes"),
     ).first()
     widths = list(seen["widths"]) or [WINDOW]
-    small = (seen["bytes"] or 0) <= BROADCAST_BYTES
-    grams = _document_grams(docs, id_col, text_col, widths)
+    found = _candidates(_with_grams(docs, id_col, text_col, widths), windows, seen["n"] <= SET_WINDOWS)
 
-    # The windows of one width follow those of the widths before it.
+    # A place among all widths to (width, start).
     n = F.size("words")
     width, offset, below = F.lit(None).cast("int"), F.lit(0), F.lit(0)
     for w in widths:
@@ -104,14 +133,16 @@ def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_co
         offset = F.when(F.col("place") >= upto, upto).otherwise(offset)
         below = upto
     start = F.col("place") - offset
-    gram = F.array_join(F.slice("words", start + 1, width), " ")
-    if small:
-        found = grams.join(F.broadcast(windows), "hash").where((F.col("width") == width) & (F.col("gram") == gram))
-        found = found.withColumn("start", start)
-    else:
-        narrow = grams.select("doc_id", "row_key", "hash", start.alias("start"), gram.alias("gram"))
-        found = narrow.join(windows.hint("merge"), ["hash", "gram"])
-    return found.select("doc_id", "row_key", "start", "width", "items")
+    found = found.select(
+        "doc_id",
+        "row_key",
+        "hash",
+        start.alias("start"),
+        width.alias("width"),
+        F.array_join(F.slice("words", start + 1, width), " ").alias("gram"),
+    )
+    set_side = F.broadcast(windows) if (seen["bytes"] or 0) <= BROADCAST_BYTES else windows
+    return found.join(set_side, ["hash", "width", "gram"]).select("doc_id", "row_key", "start", "width", "items")
 
 
 def _covered(spans: Column) -> Column:
