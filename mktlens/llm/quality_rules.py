@@ -154,5 +154,11 @@ def quality_rules(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataF
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
-    """The rows that pass, with the columns of the input."""
-    return measure(docs, text_col).where(verdict(F.col("_quality"), rules)).select(*[docs[c] for c in docs.columns])
+    """The rows that pass, with the columns of the input.
+
+    The verdict passes through a one-element explode: a filter straight on it
+    would be moved under the columns it is made of and evaluate them anew."""
+    judged = measure(docs, text_col).select(
+        *docs.columns, F.explode_outer(F.array(verdict(F.col("_quality"), rules))).alias("_q_kept")
+    )
+    return judged.where("_q_kept").select(*docs.columns)
