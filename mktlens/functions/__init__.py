@@ -1,7 +1,7 @@
 """Shared column expressions (all JVM-side built-ins, no UDFs)."""
 
 from mktlens.functions.agg import count_where, string_set_agg
-from mktlens.functions.dates import day_of, days_between, month_of, ntz
+from mktlens.functions.dates import day_of, days_between, month_of
 from mktlens.functions.numeric import (
     MONEY,
     avg_rounded,
@@ -33,7 +33,6 @@ __all__ = [
     "money",
     "money_sum",
     "month_of",
-    "ntz",
     "pct",
     "round_double",
     "rounded_quotient",

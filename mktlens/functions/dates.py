@@ -21,8 +21,3 @@ def month_of(c: str | Column) -> Column:
 def days_between(end: str | Column, start: str | Column) -> Column:
     """``DATE_DIFF(end, start, DAY)`` on DATE values, as BIGINT."""
     return F.datediff(col_of(end), col_of(start)).cast("bigint")
-
-
-def ntz(c: str | Column) -> Column:
-    """Pin a timestamp to ``timestamp_ntz`` so session time zones never shift it."""
-    return col_of(c).cast("timestamp_ntz")

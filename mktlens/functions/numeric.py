@@ -44,22 +44,29 @@ def _idiv(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def rounded_quotient(num: str | Column, den: str | Column, digits: int = 2) -> Column:
-    """``ROUND(SAFE_DIVIDE(num, den), digits)`` computed exactly.
+def rounded_quotient(num: str | Column, den: str | Column, digits: int = 2, times: int = 1) -> Column:
+    """``ROUND(times * SAFE_DIVIDE(num, den), digits)`` computed exactly.
 
     ``num`` and ``den`` are integer-valued, ``den >= 0``; NULL when ``den`` is
-    0 or NULL, like ``SAFE_DIVIDE``. Returns a double.
+    0 or NULL, like ``SAFE_DIVIDE``. Returns a double. The whole part is taken
+    first; only the remainder, which is below ``den``, is scaled, as a decimal
+    of 38 digits, so nothing overflows while the quotient itself is a bigint.
     """
     n = col_of(num).cast("bigint")
     d = col_of(den).cast("bigint")
     scale = 10**digits
-    q = _idiv(F.abs(n) * (2 * scale) + d, d * 2)
-    return F.when(d > 0, F.signum(n) * q / F.lit(float(scale)))
+    # as decimals: abs() of the least bigint is no bigint
+    wide = F.abs(n.cast("decimal(20,0)"))
+    whole = _idiv(wide, d)
+    rest = (wide - whole * d).cast("decimal(20,0)")
+    part = _idiv(rest * F.lit(2 * scale * times) + d, d.cast("decimal(20,0)") * 2)
+    total = (whole.cast("decimal(20,0)") * F.lit(scale * times)).cast("decimal(38,0)") + part
+    return F.when(d > 0, F.signum(n) * total.cast("double") / F.lit(float(scale)))
 
 
 def pct(num: str | Column, den: str | Column, digits: int = 2) -> Column:
     """``ROUND(SAFE_DIVIDE(num, den) * 100, digits)`` for integer counts."""
-    return rounded_quotient(col_of(num).cast("bigint") * 100, den, digits)
+    return rounded_quotient(num, den, digits, times=100)
 
 
 def avg_rounded(c: str | Column, digits: int = 2) -> Column:

@@ -16,12 +16,8 @@ from mktlens.functions import (
     round_double,
     rounded_quotient,
 )
-from mktlens.operators import attach_ranks, rank_desc_window, rank_table
-
-# Above this many activated leads the ranks use the distributed operator.
-SMALL_RANK_ROWS = 1_000_000
+from mktlens.operators import attach_ranks, rank_table
 from mktlens.plans.marts import review_summary
-from mktlens.sources.sinks import cut_lineage
 
 
 def acquisition_channel_quality(m3: DataFrame, m4: DataFrame) -> DataFrame:
@@ -66,11 +62,10 @@ def acquisition_channel_quality(m3: DataFrame, m4: DataFrame) -> DataFrame:
     )
 
 
-def seller_activation_performance(m4: DataFrame, small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+def seller_activation_performance(m4: DataFrame) -> DataFrame:
     """Grain: activated won lead (17 columns) with three ranks (ties share a
-    rank and leave gaps). The activated base is written once; if its counted
-    size is at most ``small_rows`` the ranks are plain windows, otherwise the
-    distributed ``rank_table`` operator (no single-partition window)."""
+    rank and leave gaps), each by the distributed ``rank_table``: no window
+    takes all rows, or all rows of an origin, into one task."""
     base = m4.where(F.col("is_activated")).select(
         "mql_id",
         "seller_id",
@@ -89,27 +84,18 @@ def seller_activation_performance(m4: DataFrame, small_rows: int = SMALL_RANK_RO
         "average_review_score",
         "on_time_delivery_rate_pct",
     )
-    # four consumers (the rows and three rank tables) read the same base:
-    # write it once to the shared folder instead of re-running the lifecycle
-    # mart four times
-    base = cut_lineage(base, "activated_sellers")
+    # The rows and the rank tables read one base: the exchange makes it a stage
+    # of its own, which the plan reuses instead of running the lifecycle again.
+    base = base.repartition("mql_id")
     pv, n = "post_win_product_value", "post_win_order_count"
-    if base.count() <= small_rows:
-        # proven small (counted from the written files): a window sort of at
-        # most small_rows rows in one task is cheaper than the
-        # distributed plan's extra stages
-        r = rank_desc_window(base, pv, "overall_product_value_rank")
-        r = rank_desc_window(r, pv, "origin_product_value_rank", ["origin"])
-        r = rank_desc_window(r, n, "overall_order_count_rank")
-    else:
-        r = attach_ranks(
-            base,
-            [
-                (rank_table(base, pv, "overall_product_value_rank"), pv, []),
-                (rank_table(base, pv, "origin_product_value_rank", ["origin"]), pv, ["origin"]),
-                (rank_table(base, n, "overall_order_count_rank"), n, []),
-            ],
-        )
+    r = attach_ranks(
+        base,
+        [
+            (rank_table(base, pv, "overall_product_value_rank"), pv, []),
+            (rank_table(base, pv, "origin_product_value_rank", ["origin"]), pv, ["origin"]),
+            (rank_table(base, n, "overall_order_count_rank"), n, []),
+        ],
+    )
     return r.select(*base.columns, "overall_product_value_rank", "origin_product_value_rank", "overall_order_count_rank")
 
 

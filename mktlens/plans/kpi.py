@@ -8,6 +8,8 @@ derived from the data (never typed in) and are small by construction.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,36 +40,47 @@ def _delivery_aggs(status: F.Column) -> list[F.Column]:
     ]
 
 
-def kpi_monthly(m1: DataFrame, stg_items: DataFrame, stg_orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Executive trend by purchase month: orders, product GMV (no freight),
-    AOV = GMV / orders with items, active sellers, delivery, reviews."""
+def kpi_monthly(
+    m1: DataFrame,
+    stg_items: DataFrame,
+    stg_orders: DataFrame,
+    reviews: DataFrame,
+    dims: Sequence[str] = ("purchase_month",),
+) -> DataFrame:
+    """Executive trend, by purchase month unless ``dims`` names other columns
+    of the order mart: orders, product GMV (no freight), AOV = GMV / distinct
+    orders, active sellers, delivery, reviews."""
+    dims = list(dims)
     r = review_summary(reviews, rounded=False).select(
         "order_id", F.col("average_review_score").alias("order_review_score")
     )
     base = m1.join(r, "order_id", "left")
     score = F.col("order_review_score")
     gmv = F.sum("product_value")
-    with_items = F.count_if(F.col("item_count") > 0)
-    monthly = base.groupBy("purchase_month").agg(
+    per = base.groupBy(*dims).agg(
         F.count("*").cast("bigint").alias("order_count"),
-        with_items.cast("bigint").alias("orders_with_items"),
+        count_where(F.col("item_count") > 0).alias("orders_with_items"),
         gmv.alias("product_gmv"),
-        rounded_quotient(cents(gmv), with_items * 100).alias("aov"),
+        rounded_quotient(cents(gmv), F.count("*") * 100).alias("aov"),
         *_delivery_aggs(F.col("delivery_status")),
         count_where(score.isNotNull()).alias("reviewed_orders"),
         round_double(F.avg(score)).alias("average_review_score"),
     )
-    # active sellers: distinct (month, seller) first, then a count per month
+    # active sellers: distinct (group, seller) first, then a count per group
+    orders = stg_orders.select("order_id", "purchase_month")
+    if dims != ["purchase_month"]:
+        orders = m1.select("order_id", *dims)
     sellers = (
         stg_items.select("order_id", "seller_id")
-        .join(stg_orders.select("order_id", "purchase_month"), "order_id")
-        .select("purchase_month", "seller_id")
+        .join(orders, "order_id")
+        .select(*dims, "seller_id")
         .distinct()
-        .groupBy("purchase_month")
+        .groupBy(*[F.col(d).alias(f"s_{d}") for d in dims])
         .agg(F.count("*").cast("bigint").alias("active_sellers"))
     )
-    return monthly.join(sellers, "purchase_month", "left").select(
-        "purchase_month",
+    same = [per[d].eqNullSafe(sellers[f"s_{d}"]) for d in dims]
+    return per.join(sellers, reduce(and_, same), "left").select(
+        *dims,
         "order_count",
         "orders_with_items",
         "product_gmv",
@@ -122,12 +135,13 @@ def kpi_fulfilment(m1: DataFrame, reviews: DataFrame, dims: Sequence[str] = ("de
     )
 
 
-def kpi_seller(m2: DataFrame) -> DataFrame:
+def kpi_seller(facts: DataFrame, sellers: DataFrame) -> DataFrame:
     """Seller performance by seller and geography (review figures are
-    associations: an order's reviews repeat across its sellers)."""
+    associations: an order's reviews repeat across its sellers). The facts are
+    reduced to one row per seller before they meet the seller's geography."""
     status = F.col("delivery_status")
     on_time, late = F.count_if(status == ON_TIME), F.count_if(status == LATE)
-    return m2.groupBy("seller_id", "seller_city", "seller_state").agg(
+    per = facts.groupBy("seller_id").agg(
         F.count("*").cast("bigint").alias("order_count"),
         F.sum("item_count").cast("bigint").alias("item_count"),
         F.sum("product_value").alias("product_gmv"),
@@ -138,16 +152,18 @@ def kpi_seller(m2: DataFrame) -> DataFrame:
         F.count("average_review_score").cast("bigint").alias("reviewed_orders"),
         avg_rounded_hundredths("average_review_score").alias("average_review_score"),
     )
+    place = sellers.select("seller_id", clean_text("seller_city").alias("seller_city"), "seller_state")
+    return per.join(place, "seller_id", "left").select("seller_id", "seller_city", "seller_state", *per.columns[1:])
 
 
-def post_win_sales(funnel: DataFrame, m2: DataFrame) -> DataFrame:
+def post_win_sales(funnel: DataFrame, facts: DataFrame) -> DataFrame:
     """Order-seller sales on or after the win day of a closed seller, by
     lead origin and purchase month (a seller with two won leads counts under
     both). Uses the per-(seller, day) activity, so no seller is hot."""
     won = funnel.where(F.col("is_won")).select(
         "mql_id", "seller_id", "origin", day_of("won_date").alias("won_day")
     ).alias("w")
-    d = seller_daily_activity(m2).alias("d")
+    d = seller_daily_activity(facts).alias("d")
     j = won.join(
         d, (F.col("w.seller_id") == F.col("d.seller_id")) & (F.col("d.purchase_date") >= F.col("w.won_day"))
     )
@@ -158,10 +174,12 @@ def post_win_sales(funnel: DataFrame, m2: DataFrame) -> DataFrame:
     )
 
 
-def top_seller_id(m2: DataFrame) -> F.Column:
-    """The seller with most order-seller rows (ties: smallest id), as a scalar."""
+def top_seller_id(stg_items: DataFrame) -> F.Column:
+    """The seller with most orders (ties: smallest id), as a scalar."""
     return (
-        m2.groupBy("seller_id")
+        stg_items.select("order_id", "seller_id")
+        .distinct()
+        .groupBy("seller_id")
         .agg(F.count("*").alias("n"))
         .orderBy(F.col("n").desc(), F.col("seller_id").asc())
         .limit(1)
@@ -170,10 +188,9 @@ def top_seller_id(m2: DataFrame) -> F.Column:
     )
 
 
-def seller_detail(m2: DataFrame, seller_id: F.Column | str | None = None) -> DataFrame:
+def seller_detail(m2: DataFrame, seller_id: F.Column | str) -> DataFrame:
     """Drill-through: every order-seller row of one seller."""
-    sid = top_seller_id(m2) if seller_id is None else F.lit(seller_id) if isinstance(seller_id, str) else seller_id
-    return m2.where(F.col("seller_id") == sid)
+    return m2.where(F.col("seller_id") == (F.lit(seller_id) if isinstance(seller_id, str) else seller_id))
 
 
 def dim_date(stg_orders: DataFrame, funnel: DataFrame) -> DataFrame:

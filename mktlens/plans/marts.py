@@ -32,11 +32,15 @@ from mktlens.functions.status import LATE, ON_TIME
 
 
 def order_item_summary(items: DataFrame) -> DataFrame:
-    """Per order: item rows, distinct products and sellers, money sums."""
+    """Per order: item rows, distinct products and sellers, money sums.
+
+    The distinct counts are the sizes of sets, which combine on the map side
+    like the sums; two COUNT(DISTINCT) in one group would be planned with every
+    item tripled before the exchange."""
     return items.groupBy("order_id").agg(
         F.count("*").cast("bigint").alias("item_count"),
-        F.count_distinct("product_id").cast("bigint").alias("product_count"),
-        F.count_distinct("seller_id").cast("bigint").alias("seller_count"),
+        F.size(F.collect_set("product_id")).cast("bigint").alias("product_count"),
+        F.size(F.collect_set("seller_id")).cast("bigint").alias("seller_count"),
         money_sum("item_price").alias("product_value"),
         money_sum("freight_value").alias("freight_value"),
         money_sum("item_total_value").alias("item_total_value"),
@@ -111,54 +115,72 @@ def product_category(translation_english, category) -> F.Column:
     return F.coalesce(clean_text(translation_english), clean_text(category), F.lit("unknown"))
 
 
-def order_seller_summary(stg_items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
-    """Per (order, seller): items, distinct products, money, sorted categories.
-
-    Products and the category translation are dimension lookups on the raw
-    (uncleaned) keys; Spark broadcasts them when their size allows.
-
-    Two levels, both partial on the map side: level 1 groups by (order,
-    seller, product, category) with fixed-width buffers only (a product has
-    one category, so the groups are the distinct products); level 2 counts
-    those rows as the distinct products, sums them, and collects the few
-    distinct category names per (order, seller). This is the exchange count
-    of a single COUNT(DISTINCT) aggregate, without running the collect inside
-    the scan tasks.
-    """
-    i = stg_items.alias("i")
+def product_categories(products: DataFrame, translation: DataFrame) -> DataFrame:
+    """(product_id, category) of every product row: a join of two dimensions,
+    so no item row ever travels by category name."""
     p = products.select("product_id", "product_category_name").alias("p")
     t = translation.select(
         F.col("product_category_name").alias("t_name"), "product_category_name_english"
     ).alias("t")
-    j = i.join(p, F.col("i.product_id") == F.col("p.product_id"), "left").join(
-        t, F.col("p.product_category_name") == F.col("t_name"), "left"
-    )
     category = product_category(F.col("product_category_name_english"), F.col("p.product_category_name"))
-    per_product = j.groupBy(
-        F.col("i.order_id").alias("order_id"),
-        F.col("i.seller_id").alias("seller_id"),
-        F.col("i.product_id").alias("product_id"),
-        category.alias("category"),
-    ).agg(
-        F.count("*").alias("n"),
-        F.sum((F.col("i.item_price") * 100).cast("bigint")).alias("price_c"),
-        F.sum((F.col("i.freight_value") * 100).cast("bigint")).alias("freight_c"),
-        F.sum((F.col("i.item_total_value") * 100).cast("bigint")).alias("total_c"),
+    return p.join(t, F.col("p.product_category_name") == F.col("t_name"), "left").select(
+        F.col("p.product_id").alias("p_product_id"), category.alias("category")
     )
 
-    def from_cents(c: str) -> F.Column:
-        return (F.sum(c).cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
 
-    return per_product.groupBy("order_id", "seller_id").agg(
-        F.sum("n").cast("bigint").alias("item_count"),
-        F.count("product_id").cast("bigint").alias("product_count"),
-        from_cents("price_c").alias("product_value"),
-        from_cents("freight_c").alias("freight_value"),
-        from_cents("total_c").alias("item_total_value"),
+def _pair_sums() -> list[F.Column]:
+    return [
+        F.count("*").cast("bigint").alias("item_count"),
+        money_sum("item_price").alias("product_value"),
+        money_sum("freight_value").alias("freight_value"),
+        money_sum("item_total_value").alias("item_total_value"),
+    ]
+
+
+def order_seller_summary(stg_items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    """Per (order, seller): items, distinct products, money, sorted categories.
+
+    Items meet the product's category on the raw product id (a product without
+    one is ``unknown``) and travel once, by order: the groups are nearly the
+    item rows themselves, so combining them before the exchange would gain
+    nothing, and the joins on the order that follow need no further exchange.
+    """
+    c = product_categories(products, translation)
+    items = stg_items.join(c, stg_items["product_id"] == c["p_product_id"], "left").select(
+        "order_id",
+        "seller_id",
+        "product_id",
+        "item_price",
+        "freight_value",
+        "item_total_value",
+        F.coalesce("category", F.lit("unknown")).alias("category"),
+    )
+    return items.repartition("order_id").groupBy("order_id", "seller_id").agg(
+        *_pair_sums(),
+        F.size(F.collect_set("product_id")).cast("bigint").alias("product_count"),
         string_set_agg("category").alias("product_categories"),
     )
 
 
+def order_seller_facts(stg_items: DataFrame, stg_orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The measures of ``mart_order_seller`` without its dimensions: what the
+    seller lifecycle and the seller KPIs need of it, one row per (order,
+    seller). No products, categories or sellers are read."""
+    pairs = (
+        stg_items.select("order_id", "seller_id", "item_price", "freight_value", "item_total_value")
+        .repartition("order_id")
+        .groupBy("order_id", "seller_id")
+        .agg(*_pair_sums())
+    )
+    o = stg_orders.select(
+        "order_id",
+        "purchase_date",
+        delivery_status("order_delivered_customer_date", "order_estimated_delivery_date").alias("delivery_status"),
+    )
+    r = review_summary(reviews, rounded=True).select("order_id", "average_review_score")
+    return pairs.join(o, "order_id", "left").join(r, "order_id", "left")
+
+
 def review_summary(reviews: DataFrame, rounded: bool = True) -> DataFrame:
     """Per order: review rows, distinct review ids, average score.
 
@@ -243,15 +265,15 @@ def seller_daily_activity(order_seller: DataFrame) -> DataFrame:
 
     This is the build side of the post-win join. A seller contributes at most
     one row per calendar day, so even a seller holding a third of all orders
-    ships a bounded number of rows to the join, and the sums are combined on
-    the map side before any shuffle. ``orders`` counts distinct orders of the
-    seller that day; an order has a single purchase date, so summing it over
-    days gives the distinct post-win orders.
+    ships a bounded number of rows to the join, and all its sums are combined
+    on the map side before any shuffle. The input has one row per (order,
+    seller), so ``orders`` counts rows; an order has a single purchase date, so
+    summing it over days gives the distinct post-win orders.
     """
     status = F.col("delivery_status")
     score_h = cents("average_review_score")
     return order_seller.groupBy("seller_id", "purchase_date").agg(
-        F.count_distinct("order_id").cast("bigint").alias("orders"),
+        F.count("*").cast("bigint").alias("orders"),
         F.sum("item_count").alias("items"),
         money_sum("product_value").alias("product_value"),
         money_sum("freight_value").alias("freight_value"),

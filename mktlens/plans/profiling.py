@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from mktlens.functions import count_where, day_of, days_between, rounded_quotient
 from mktlens.operators import duplicate_key_rows, join_coverage
+from mktlens.sources.raw import RawTables
 from mktlens.sources.schemas import KEY_FIELDS, RAW_SCHEMAS, RELATIONSHIPS
 
 # ------------------------------------------------------------ C1 - C6
@@ -104,10 +105,36 @@ def schema_drift(df: DataFrame, expected: T.StructType | Sequence[str]) -> tuple
     return [c for c in exp if c not in cols], [c for c in cols if c not in exp]
 
 
-def profile_table(df: DataFrame, table: str, expected: T.StructType | None = None) -> DataFrame:
-    """One row: rows, columns, candidate key, surplus key rows, drift, status."""
-    expected = expected or RAW_SCHEMAS[table]
-    missing, unexpected = schema_drift(df, expected)
+def drift_columns(found: DataFrame, expected: T.StructType) -> list[F.Column]:
+    """Column count, missing and unexpected columns and status of a source as
+    it arrives, as literal columns."""
+    missing, unexpected = schema_drift(found, expected)
+    return [
+        F.lit(len(found.columns)).cast("bigint").alias("column_count"),
+        F.lit(", ".join(missing)).alias("missing_expected_columns"),
+        F.lit(", ".join(unexpected)).alias("unexpected_columns"),
+        F.lit("PASS" if not missing and not unexpected else "REVIEW").alias("schema_status"),
+    ]
+
+
+def drift_report(tables: RawTables) -> DataFrame:
+    """One row per raw table with a source: rows and columns of the source as
+    it arrives, before any conforming, against the contract."""
+    parts = []
+    for t in sorted(tables):
+        found = tables.as_found(t)
+        parts.append(
+            found.agg(F.count("*").cast("bigint").alias("rows")).select(
+                F.lit(t).alias("table_name"), "rows", *drift_columns(found, RAW_SCHEMAS[t])
+            )
+        )
+    return _union(parts)
+
+
+def profile_table(df: DataFrame, table: str, expected: T.StructType | None = None, found: DataFrame | None = None) -> DataFrame:
+    """One row: rows, columns, candidate key, surplus key rows, drift, status.
+    ``found`` is the table before conforming (``df`` itself by default)."""
+    columns, missing, unexpected, status = drift_columns(df if found is None else found, expected or RAW_SCHEMAS[table])
     key = KEY_FIELDS.get(table)
     rows = df.agg(F.count("*").cast("bigint").alias("rows"))
     if key:
@@ -117,12 +144,12 @@ def profile_table(df: DataFrame, table: str, expected: T.StructType | None = Non
     return rows.select(
         F.lit(table).alias("table_name"),
         "rows",
-        F.lit(len(df.columns)).cast("bigint").alias("column_count"),
+        columns,
         F.lit(", ".join(key) if key else None).cast("string").alias("candidate_key"),
         dup.alias("duplicate_candidate_key_rows"),
-        F.lit(", ".join(missing)).alias("missing_expected_columns"),
-        F.lit(", ".join(unexpected)).alias("unexpected_columns"),
-        F.lit("PASS" if not missing and not unexpected else "REVIEW").alias("schema_status"),
+        missing,
+        unexpected,
+        status,
     )
 
 
@@ -134,8 +161,10 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def raw_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``profile_table`` for every raw table present, one row each."""
-    return _union([profile_table(tables[t], t) for t in sorted(tables)])
+    """``profile_table`` for every raw table present, one row each. Drift is
+    that of the table's own file, where there is one."""
+    own = getattr(tables, "native", False)
+    return _union([profile_table(tables[t], t, found=tables.as_found(t) if own else None) for t in sorted(tables)])
 
 
 def raw_null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -143,31 +172,28 @@ def raw_null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def coverage_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Key coverage of the nine declared relationships."""
+    """Key coverage of the nine declared relationships; a table that is not
+    there is an error (``KeyError``), never a relationship left out."""
     parts = []
     for name, lt, lc, rt, rc in RELATIONSHIPS:
-        if lt in tables and rt in tables:
-            cov = join_coverage(tables[lt], lc, tables[rt], rc)
-            parts.append(
-                cov.select(
-                    F.lit(name).alias("relationship"),
-                    F.lit(f"{lt}.{lc}").alias("left_key"),
-                    F.lit(f"{rt}.{rc}").alias("right_key"),
-                    *cov.columns,
-                )
+        cov = join_coverage(tables[lt], lc, tables[rt], rc)
+        parts.append(
+            cov.select(
+                F.lit(name).alias("relationship"),
+                F.lit(f"{lt}.{lc}").alias("left_key"),
+                F.lit(f"{rt}.{rc}").alias("right_key"),
+                *cov.columns,
             )
+        )
     return _union(parts)
 
 
 # ------------------------------------------------------------ F1 - F2
 
 
-def _profiler_origin(leads: DataFrame) -> DataFrame:
+def _profiler_origin(origin: F.Column) -> F.Column:
     """Lead origin as the profiler reads it: blank -> 'unknown', no trimming."""
-    o = F.col("origin")
-    return leads.select(
-        "mql_id", F.when(o.isNull() | (o == ""), F.lit("unknown")).otherwise(o).alias("origin")
-    )
+    return F.when(origin.isNull() | (origin == ""), F.lit("unknown")).otherwise(origin)
 
 
 def seller_order_days(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -184,48 +210,52 @@ def seller_order_days(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def deal_activity(leads: DataFrame, deals: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Per closed deal: origin, any order, any pre-win order, first post-win day."""
-    origin = _profiler_origin(leads)
-    d = deals.select("mql_id", "seller_id", day_of("won_date").alias("won_day")).join(origin, "mql_id", "left")
-    d = d.select("mql_id", "seller_id", "won_day", F.coalesce("origin", F.lit("unknown")).alias("origin"))
+    """Per distinct closed deal (lead, seller, win day) with its number of
+    rows ``m``: origin, any order, any pre-win order, first post-win day.
+
+    Every deal row counts, also one without a seller (it has no orders) or
+    without a win date (it may have orders, but none before or after the win;
+    the single-machine profiler stops at such a row). A lead listed twice does
+    not multiply its deals: it lends them its greatest origin, since a table
+    has no last row.
+    """
+    origins = leads.groupBy("mql_id").agg(F.max(_profiler_origin(F.col("origin"))).alias("origin"))
+    d = (
+        deals.groupBy("mql_id", "seller_id", day_of("won_date").alias("won_day"))
+        .agg(F.count("*").alias("m"))
+        .join(origins, "mql_id", "left")
+        .select("mql_id", "seller_id", "won_day", "m", F.coalesce("origin", F.lit("unknown")).alias("origin"))
+    )
     days = seller_order_days(items, orders).alias("s")
-    dd = d.alias("d")
-    j = dd.join(days, F.col("d.seller_id") == F.col("s.seller_id"), "left")
+    j = d.alias("d").join(days, F.col("d.seller_id") == F.col("s.seller_id"), "left")
     day, won = F.col("s.order_day"), F.col("d.won_day")
-    # one group per deal row; a duplicated deal row stays two deals, as in a list
-    per_deal = j.groupBy("d.mql_id", "d.seller_id", "d.won_day", "d.origin").agg(
-        F.count(day).alias("n_days"),
-        F.max(F.when(day < won, 1).otherwise(0)).alias("pre_win"),
-        F.min(F.when(day >= won, day)).alias("first_post_win_day"),
-    )
-    mult = d.groupBy("mql_id", "seller_id", "won_day", "origin").agg(F.count("*").alias("m"))
-    return per_deal.join(mult, ["mql_id", "seller_id", "won_day", "origin"]).select(
-        "mql_id",
-        "seller_id",
-        "won_day",
-        "origin",
-        "m",
-        (F.col("n_days") > 0).alias("has_order"),
-        (F.col("pre_win") == 1).alias("has_pre_win_order"),
-        "first_post_win_day",
-        days_between("first_post_win_day", "won_day").alias("days_to_first_post_win_sale"),
+    return (
+        j.groupBy("d.mql_id", "d.seller_id", "d.won_day", "d.origin", "d.m")
+        .agg(
+            (F.count(day) > 0).alias("has_order"),
+            (F.max(F.when(day < won, 1).otherwise(0)) == 1).alias("has_pre_win_order"),
+            F.min(F.when(day >= won, day)).alias("first_post_win_day"),
+        )
+        .withColumn("days_to_first_post_win_sale", days_between("first_post_win_day", "won_day"))
     )
 
 
+def _rows_where(pred: F.Column) -> F.Column:
+    """Deal rows of the distinct deals that satisfy ``pred``."""
+    return F.coalesce(F.sum(F.when(pred, F.col("m"))), F.lit(0)).cast("bigint")
+
+
 def activation_summary(leads: DataFrame, deals: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
     """Closed deals, with any order, activated after the win, with a pre-win
-    order, and exact median/min/max days from win to first post-win sale."""
-    a = deal_activity(leads, deals, items, orders)
-    m = F.col("m")
+    order, and exact median/min/max days from win to first post-win sale
+    (a deal listed m times weighs m times)."""
     delay = F.col("days_to_first_post_win_sale")
-    # the delay is repeated m times for a deal listed m times
-    rep = a.select("*", F.explode(F.array_repeat(F.lit(1), m.cast("int"))).alias("_rep"))
-    return rep.agg(
-        F.count("*").cast("bigint").alias("closed_deals"),
-        count_where(F.col("has_order")).alias("closed_sellers_with_any_order"),
-        count_where(delay.isNotNull()).alias("post_win_activated_sellers"),
-        count_where(F.col("has_pre_win_order")).alias("sellers_with_pre_win_orders"),
-        F.median(delay).cast("double").alias("median_days_to_first_post_win_sale"),
+    return deal_activity(leads, deals, items, orders).agg(
+        _rows_where(F.lit(True)).alias("closed_deals"),
+        _rows_where(F.col("has_order")).alias("closed_sellers_with_any_order"),
+        _rows_where(delay.isNotNull()).alias("post_win_activated_sellers"),
+        _rows_where(F.col("has_pre_win_order")).alias("sellers_with_pre_win_orders"),
+        F.percentile(delay, 0.5, F.col("m")).cast("double").alias("median_days_to_first_post_win_sale"),
         F.min(delay).alias("minimum_days_to_first_post_win_sale"),
         F.max(delay).alias("maximum_days_to_first_post_win_sale"),
     )
@@ -233,29 +263,24 @@ def activation_summary(leads: DataFrame, deals: DataFrame, items: DataFrame, ord
 
 def activation_by_origin(leads: DataFrame, deals: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
     """Per lead origin: leads, deals, deals with any order, activated, rates."""
-    mqls = _profiler_origin(leads).groupBy("origin").agg(F.count("*").cast("bigint").alias("mqls"))
-    a = deal_activity(leads, deals, items, orders)
-    m = F.col("m")
-    per = a.groupBy("origin").agg(
-        F.sum(m).cast("bigint").alias("closed_deals"),
-        F.sum(F.when(F.col("has_order"), m).otherwise(0)).cast("bigint").alias("closed_sellers_with_any_order"),
-        F.sum(F.when(F.col("first_post_win_day").isNotNull(), m).otherwise(0))
-        .cast("bigint")
-        .alias("post_win_activated_sellers"),
+    mqls = leads.groupBy(_profiler_origin(F.col("origin")).alias("origin")).agg(
+        F.count("*").cast("bigint").alias("mqls")
+    )
+    per = deal_activity(leads, deals, items, orders).groupBy("origin").agg(
+        _rows_where(F.lit(True)).alias("closed"),
+        _rows_where(F.col("has_order")).alias("ordered"),
+        _rows_where(F.col("first_post_win_day").isNotNull()).alias("activated"),
     )
-    j = mqls.join(per, "origin", "left")
-    closed = F.coalesce(F.col("closed_deals"), F.lit(0))
-    act = F.coalesce(F.col("post_win_activated_sellers"), F.lit(0))
+    filled = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("closed", "ordered", "activated")}
+    j = mqls.join(per, "origin", "left").withColumns(filled)
     return j.select(
         "origin",
         "mqls",
-        closed.cast("bigint").alias("closed_deals"),
-        F.coalesce(F.col("closed_sellers_with_any_order"), F.lit(0)).cast("bigint").alias(
-            "closed_sellers_with_any_order"
-        ),
-        act.cast("bigint").alias("post_win_activated_sellers"),
-        rounded_quotient(closed, F.col("mqls"), 6).alias("mql_to_close_rate"),
-        rounded_quotient(act, closed, 6).alias("closed_to_activation_rate"),
+        F.col("closed").alias("closed_deals"),
+        F.col("ordered").alias("closed_sellers_with_any_order"),
+        F.col("activated").alias("post_win_activated_sellers"),
+        rounded_quotient("closed", "mqls", 6).alias("mql_to_close_rate"),
+        rounded_quotient("activated", "closed", 6).alias("closed_to_activation_rate"),
     ).orderBy("origin")
 
 

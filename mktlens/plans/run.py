@@ -1,62 +1,100 @@
-"""Batch build: every layer in dependency order, marts persisted, quality gate.
+"""Batch build: every layer in dependency order, gated, then published.
 
-This is the warehouse run end to end: staging and marts are written as
-parquet tables, analyses and checks are computed from the written marts
-(so each mart is computed once per run, and a lost executor re-reads files),
-and the run fails unless every reconciliation check passes.
+Each run writes its views as parquet below a folder of its own (marts by
+month), later views reading the written ones, so each mart is computed once
+and a lost executor re-reads files. Then the grain of every view and all
+reconciliation checks are tested. Only a run that passes is published: one
+small pointer table names the run's folder, and the layers' schemas get views
+on its tables. A run that fails leaves what was published untouched.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mktlens.operators import grain_violations
 from mktlens.plans.warehouse import Warehouse
-from mktlens.sources import load_raw
+from mktlens.sources import ensure_layer, load_raw
+from mktlens.sources.raw import read_table
 
-# Views written as tables, in dependency order (each reads the ones before).
-PERSISTED = (
-    "stg_orders",
-    "stg_order_items",
-    "stg_order_payments",
-    "stg_marketing_funnel",
-    "mart_orders",
-    "mart_order_seller",
-    "mart_marketing_funnel",
-    "mart_seller_lifecycle",
-    "acquisition_channel_quality",
-    "seller_activation_performance",
-    "delivery_review_analysis",
-    "join_fanout_reconciliation",
-    "final_kpi_validation",
-)
+# View -> its declared grain, in dependency order (each reads the ones before).
+GRAINS: dict[str, tuple[str, ...]] = {
+    "stg_orders": ("order_id",),
+    "stg_order_items": ("order_id", "order_item_id"),
+    "stg_order_payments": ("order_id", "payment_sequential"),
+    "stg_marketing_funnel": ("mql_id",),
+    "mart_orders": ("order_id",),
+    "mart_order_seller": ("order_id", "seller_id"),
+    "mart_marketing_funnel": ("contact_month", "origin"),
+    "mart_seller_lifecycle": ("mql_id",),
+    "acquisition_channel_quality": ("origin",),
+    "seller_activation_performance": ("mql_id",),
+    "delivery_review_analysis": ("delivery_delay_bucket",),
+    "join_fanout_reconciliation": ("metric_name",),
+    "final_kpi_validation": ("metric_name",),
+}
+# Source tables may repeat their keys (the profiler reports it); every view
+# that this build itself groups must not.
+STRICT_GRAINS = tuple(v for v in GRAINS if not v.startswith("stg_"))
+PARTITIONED = {"mart_orders": "purchase_month", "mart_order_seller": "purchase_month"}
+POINTER = "_published"
 
 
 class QualityGateFailed(RuntimeError):
     pass
 
 
-def build_warehouse(spark: SparkSession, source_dir: str, target_dir: str, strict: bool = True) -> dict[str, str]:
-    """Write every layer under ``target_dir/<view>`` and return the paths.
+def build_warehouse(
+    spark: SparkSession, source_dir: str, target_dir: str, strict: bool = True, schemas: bool = False
+) -> dict[str, str]:
+    """Build, check and publish; returns the path of every view of the run.
 
-    With ``strict`` the run raises ``QualityGateFailed`` when any fan-out or
-    KPI check is not PASS (the failing rows are in the message).
+    With ``strict`` a violated grain or a check that is not PASS raises
+    ``QualityGateFailed`` (naming them) before anything is published. With
+    ``schemas`` the views are also registered as ``<layer>.<view>``.
     """
+    target = target_dir.rstrip("/")
+    run_dir = f"{target}/run-{uuid.uuid4().hex}"
     w = Warehouse(load_raw(spark, source_dir))
     paths: dict[str, str] = {}
-    for name in PERSISTED:
-        path = f"{target_dir.rstrip('/')}/{name}"
-        getattr(w, name).write.mode("overwrite").parquet(path)
-        # downstream views are built from the written table, not re-derived
-        w.__dict__[name] = spark.read.parquet(path)
+    for name in GRAINS:
+        df = getattr(w, name)
+        path = f"{run_dir}/{name}"
+        writer = df.write
+        if name in PARTITIONED:
+            writer = writer.partitionBy(PARTITIONED[name])
+        writer.parquet(path)
+        # Views that follow are built from the written table, not derived anew.
+        w.__dict__[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        if name == "mart_order_seller":
+            w.__dict__["order_seller_facts"] = w.mart_order_seller
         paths[name] = path
     if strict:
-        failed = _failed_checks(w.join_fanout_reconciliation, w.final_kpi_validation)
-        if failed:
-            raise QualityGateFailed(f"failed checks: {failed}")
+        bad = [f"grain of {v}" for v in STRICT_GRAINS if not grain_violations(getattr(w, v), GRAINS[v]).isEmpty()]
+        bad += _failed_checks(w.join_fanout_reconciliation, w.final_kpi_validation)
+        if bad:
+            raise QualityGateFailed(f"failed checks: {bad}")
+    pointer = spark.createDataFrame([(v, p) for v, p in paths.items()], "view string, path string")
+    pointer.coalesce(1).write.mode("overwrite").parquet(f"{target}/{POINTER}")
+    if schemas:
+        for layer, views in Warehouse.LAYERS.items():
+            ensure_layer(spark, layer)
+            for v in views:
+                columns = ", ".join(f"`{c}`" for c in getattr(w, v).columns)
+                spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{v}` AS SELECT {columns} FROM parquet.`{paths[v]}`")
     return paths
 
 
+def published(spark: SparkSession, target_dir: str) -> dict[str, str]:
+    """View -> path of the last run that passed; empty before the first."""
+    pointer = read_table(spark, f"{target_dir.rstrip('/')}/{POINTER}")
+    # one row per view: a handful
+    return {} if pointer is None else {r.view: r.path for r in pointer.collect()}
+
+
 def _failed_checks(*checks: DataFrame) -> list[str]:
     out = []
     for c in checks:

@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from mktlens.plans import analysis, marts, quality, staging
-from mktlens.sources import RawTables, cut_lineage, load_raw, materialize, register
+from mktlens.sources import RawTables, load_raw, materialize, register
 
 
 class Warehouse:
@@ -60,13 +60,18 @@ class Warehouse:
             self.raw["order_reviews"],
         )
 
+    @cached_property
+    def order_seller_facts(self) -> DataFrame:
+        """``mart_order_seller`` without dimensions; not published."""
+        return marts.order_seller_facts(self.stg_order_items, self.stg_orders, self.raw["order_reviews"])
+
     @cached_property
     def mart_marketing_funnel(self) -> DataFrame:
         return marts.mart_marketing_funnel(self.stg_marketing_funnel)
 
     @cached_property
     def mart_seller_lifecycle(self) -> DataFrame:
-        return marts.mart_seller_lifecycle(self.stg_marketing_funnel, self.mart_order_seller)
+        return marts.mart_seller_lifecycle(self.stg_marketing_funnel, self.order_seller_facts)
 
     # ---------------------------------------------------------- analyses
     @cached_property
@@ -124,14 +129,6 @@ class Warehouse:
         return names
 
     # ---------------------------------------------------------- persistence
-    def cut(self, *names: str) -> "Warehouse":
-        """Write the named views (in the order given) to the shared folder so
-        that views built afterwards read those files instead of re-running
-        the upstream. Use it when one plan consumes a view several times."""
-        for name in names:
-            self.__dict__[name] = cut_lineage(getattr(self, name), name)
-        return self
-
     def materialized(self, names: tuple[str, ...] = ("stg_marketing_funnel", "mart_order_seller", "mart_orders")) -> "Warehouse":
         """Write the named shared views to the cluster's shared folder once and
         serve downstream views from those files (durable across executor

@@ -194,7 +194,7 @@ def q_mart_marketing_funnel(spark, sf):
 )
 def q_seller_activity(spark, sf):
     w = wh(spark, sf)
-    return marts.seller_activity(w.stg_marketing_funnel, w.mart_order_seller)
+    return marts.seller_activity(w.stg_marketing_funnel, w.order_seller_facts)
 
 
 @register(
@@ -441,12 +441,9 @@ def q_profile_table(spark, sf):
     return profiling.profile_table(_raw(spark, sf)["order_reviews"], "order_reviews")
 
 
-DRIFT_COLS = "table_name, rows, missing_expected_columns, unexpected_columns, schema_status"
-
-
-@register("schema_drift", O.raw_profile_sql(columns=DRIFT_COLS))
+@register("schema_drift", O.schema_drift_sql())
 def q_schema_drift(spark, sf):
-    return profiling.raw_profile(_raw(spark, sf)).select(*[c.strip() for c in DRIFT_COLS.split(",")])
+    return profiling.drift_report(_raw(spark, sf))
 
 
 @register("null_counts", O.raw_null_counts_sql())
@@ -552,7 +549,7 @@ def q_join_lead_deal(spark, sf):
 ), monthly AS (
   SELECT purchase_month, count(*) AS order_count, count_if(item_count > 0) AS orders_with_items,
     CAST(sum(product_value) AS DOUBLE) AS product_gmv,
-    {O.rq('CAST(round(sum(product_value) * 100) AS BIGINT)', '(count_if(item_count > 0) * 100)')} AS aov,
+    {O.rq('CAST(round(sum(product_value) * 100) AS BIGINT)', '(count(*) * 100)')} AS aov,
     count_if(delivery_status <> 'not_delivered') AS delivered_orders,
     count_if(delivery_status = 'on_time') AS on_time_orders, count_if(delivery_status = 'late') AS late_orders,
     {O.pct("count_if(delivery_status = 'on_time')", "count_if(delivery_status = 'on_time') + count_if(delivery_status = 'late')")} AS on_time_rate_pct,
@@ -574,6 +571,30 @@ def q_kpi_monthly(spark, sf):
     return kpi.kpi_monthly(w.mart_orders, w.stg_order_items, w.stg_orders, w.raw["order_reviews"])
 
 
+@register(
+    "kpi_monthly_by_state",
+    O.with_views(
+        ("mart_orders", "stg_order_items"),
+        f"""WITH sold AS (
+  SELECT o.purchase_month, o.customer_state, count(DISTINCT i.seller_id) AS active_sellers
+  FROM mart_orders AS o JOIN stg_order_items AS i ON o.order_id = i.order_id GROUP BY ALL
+)
+SELECT o.purchase_month, o.customer_state, count(DISTINCT o.order_id) AS order_count,
+  CAST(sum(o.product_value) AS DOUBLE) AS product_gmv,
+  {O.rq('CAST(round(sum(o.product_value) * 100) AS BIGINT)', '(count(DISTINCT o.order_id) * 100)')} AS aov,
+  coalesce(any_value(s.active_sellers), 0) AS active_sellers
+FROM mart_orders AS o LEFT JOIN sold AS s
+  ON o.purchase_month IS NOT DISTINCT FROM s.purchase_month AND o.customer_state IS NOT DISTINCT FROM s.customer_state
+GROUP BY o.purchase_month, o.customer_state""",
+    ),
+)
+def q_kpi_monthly_by_state(spark, sf):
+    w = wh(spark, sf)
+    by = ("purchase_month", "customer_state")
+    k = kpi.kpi_monthly(w.mart_orders, w.stg_order_items, w.stg_orders, w.raw["order_reviews"], by)
+    return k.select(*by, "order_count", "product_gmv", "aov", "active_sellers")
+
+
 @register(
     "kpi_channel",
     O.with_views(
@@ -624,7 +645,8 @@ FROM mart_order_seller GROUP BY seller_id, seller_city, seller_state""",
     ),
 )
 def q_kpi_seller(spark, sf):
-    return kpi.kpi_seller(wh(spark, sf).mart_order_seller)
+    w = wh(spark, sf)
+    return kpi.kpi_seller(w.order_seller_facts, w.raw["sellers"])
 
 
 @register(
@@ -640,7 +662,7 @@ WHERE f.is_won GROUP BY 1, 2""",
 )
 def q_post_win_sales(spark, sf):
     w = wh(spark, sf)
-    return kpi.post_win_sales(w.stg_marketing_funnel, w.mart_order_seller)
+    return kpi.post_win_sales(w.stg_marketing_funnel, w.order_seller_facts)
 
 
 @register(
@@ -653,7 +675,8 @@ def q_post_win_sales(spark, sf):
     ),
 )
 def q_seller_detail(spark, sf):
-    return kpi.seller_detail(wh(spark, sf).mart_order_seller)
+    w = wh(spark, sf)
+    return kpi.seller_detail(w.mart_order_seller, kpi.top_seller_id(w.stg_order_items))
 
 
 @register(
@@ -741,19 +764,33 @@ def q_csv_scan_deals(spark, sf):
     return _csv_roundtrip(spark, sf, "closed_deals")
 
 
+TEST_TABLES = [n.removesuffix(".parquet") for n in TEST_TABLE_FILES]
+
+
 @register("source_files")
 def q_source_files(spark, sf):
-    return S.list_files(spark, sf, "*.parquet")
+    return S.file_inventory(spark, sf, TEST_TABLES)
 
 
 @register("file_set_diff")
 def q_file_set_diff(spark, sf):
-    return S.file_set_diff(S.list_files(spark, sf, "*.parquet"), TEST_TABLE_FILES)
+    """The tables' files as read (a table may be one file or a folder of
+    files) against the expected set."""
+    table_file = F.concat("table_name", F.lit(".parquet")).alias("name")
+    return S.file_set_diff(S.file_inventory(spark, sf, TEST_TABLES).select(table_file).distinct(), TEST_TABLE_FILES)
 
 
-@register("table_inventory")
+@register(
+    "table_inventory",
+    "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TEST_TABLES),
+)
 def q_table_inventory(spark, sf):
-    return S.table_inventory(spark, sf, [n.removesuffix(".parquet") for n in TEST_TABLE_FILES])
+    return S.table_inventory(spark, sf, TEST_TABLES).select("table_name", "row_count")
+
+
+@register("table_sizes")
+def q_table_sizes(spark, sf):
+    return S.table_inventory(spark, sf, TEST_TABLES)
 
 
 @register("profile_sink", O.raw_profile_sql())

@@ -7,15 +7,16 @@ from mktlens.sources.raw import (
     list_files,
     load_raw,
     read_csv,
+    read_table,
     scan_table,
+    file_inventory,
     table_inventory,
     write_csv,
 )
 from mktlens.sources.schemas import KEY_FIELDS, RAW_SCHEMAS, RAW_TABLES, RELATIONSHIPS
-from mktlens.sources.sinks import cut_lineage, ensure_layer, materialize, register, scratch_path, shared_dir, write_profile
+from mktlens.sources.sinks import ensure_layer, materialize, register, scratch_path, shared_dir, write_profile
 
 __all__ = [
-    "cut_lineage",
     "KEY_FIELDS",
     "RAW_SCHEMAS",
     "RAW_TABLES",
@@ -28,10 +29,12 @@ __all__ = [
     "load_raw",
     "materialize",
     "read_csv",
+    "read_table",
     "register",
     "scan_table",
     "scratch_path",
     "shared_dir",
+    "file_inventory",
     "table_inventory",
     "write_csv",
     "write_profile",

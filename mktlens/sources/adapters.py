@@ -250,6 +250,20 @@ def closed_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The test table that each adapter's rows come from.
+SOURCE_OF = {
+    "closed_deals": "customer",
+    "customers": "customer",
+    "marketing_qualified_leads": "customer",
+    "order_items": "lineitem",
+    "order_payments": "orders",
+    "order_reviews": "events",
+    "orders": "orders",
+    "product_category_translation": "part",
+    "products": "part",
+    "sellers": "supplier",
+}
+
 ADAPTERS = {
     "closed_deals": closed_deals,
     "customers": customers,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +26,7 @@ class RawTables(Mapping[str, DataFrame]):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
-        self.native = os.path.exists(f"{self.sf_dir}/marketing_qualified_leads.parquet")
+        self.native = read_table(spark, f"{self.sf_dir}/marketing_qualified_leads.parquet") is not None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RAW_SCHEMAS:
@@ -35,6 +35,15 @@ class RawTables(Mapping[str, DataFrame]):
             self._cache[name] = self._build(name)
         return self._cache[name]
 
+    def as_found(self, name: str) -> DataFrame:
+        """The table's source as it arrives, before any conforming: the table's
+        own file, or the test table that its adapter reads first."""
+        source = name if self.native else adapters.SOURCE_OF.get(name)
+        found = source and read_table(self.spark, f"{self.sf_dir}/{source}.parquet")
+        if not found:
+            raise KeyError(f"{name} has no source in {self.sf_dir}")
+        return found
+
     def _build(self, name: str) -> DataFrame:
         if self.native:
             return scan_table(self.spark, f"{self.sf_dir}/{name}.parquet", RAW_SCHEMAS[name])
@@ -53,16 +62,27 @@ def load_raw(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(spark, sf_dir)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """Parquet scan of a path in any store Spark reads; None if there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def scan_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet scan conformed to a contract schema (by name, cast to type)."""
+    """Parquet scan conformed to a contract schema (by name, cast to type).
+
+    An absent contract column is an error: filled with NULL it would empty
+    every layer that filters on it. Other columns are dropped here; the drift
+    report names them."""
     df = spark.read.parquet(path)
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    absent = [f.name for f in schema.fields if f.name not in df.columns]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 # CSV dialect of the raw exports: header row, optional UTF-8 BOM, quoted
@@ -78,6 +98,8 @@ CSV_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     "dateFormat": "yyyy-MM-dd",
 }
+# Read, but never written: ISO's T, and milliseconds.
+READ_TIMESTAMP = "yyyy-MM-dd['T'][ ]HH:mm:ss[.SSSSSS][.SSS]"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -86,9 +108,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     ``multiLine`` keeps a quoted line break inside its field (the file is then
     split per file, not per block); the header is matched by name so a
     reordered file still binds columns correctly. An empty field, quoted or
-    not, reads as NULL; every consumer treats NULL and blank text alike.
+    not, reads as NULL; every consumer treats NULL and blank text alike. A
+    value that does not parse as its column's type stops the read: as NULL it
+    would drop its row unseen in staging.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", True).option("enforceSchema", False)
+    reader = reader.options(mode="FAILFAST", timestampNTZFormat=READ_TIMESTAMP)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -144,26 +169,31 @@ def file_set_diff(found: DataFrame, expected: Iterable[str]) -> DataFrame:
     )
 
 
-def table_inventory(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> DataFrame:
-    """Per table: row count and storage size in MB (2 dp), sorted by name.
-
-    Size is the sum of the distinct data files' sizes taken from the hidden
-    ``_metadata`` column, so one scan per table gives both figures.
-    """
-    parts = []
+def file_inventory(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> DataFrame:
+    """Per data file of the named tables: path, name, size and rows, from the
+    hidden ``_metadata`` column of one scan per table."""
+    out = None
     for name in sorted(names):
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(
-            F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")
+        meta = F.col("_metadata")
+        files = (
+            spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            .groupBy(meta["file_path"].alias("path"), meta["file_name"].alias("name"), meta["file_size"].alias("size_bytes"))
+            .agg(F.count("*").cast("bigint").alias("rows"))
+            .select(F.lit(name).alias("table_name"), "path", "name", "size_bytes", "rows")
         )
-        per_file = df.groupBy("file_path").agg(F.count("*").alias("rows"), F.max("file_size").alias("size"))
-        parts.append(
-            per_file.agg(
-                F.lit(name).alias("table_name"),
-                F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("row_count"),
-                F.round(F.coalesce(F.sum("size"), F.lit(0)) / 1024 / 1024, 2).alias("size_mb"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("table_name")
+        out = files if out is None else out.unionByName(files)
+    return out
+
+
+def table_inventory(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> DataFrame:
+    """Per table: row count and storage size in bytes and MB (2 dp), sorted by name."""
+    names = list(names)
+    every = spark.createDataFrame([(n,) for n in names], "table_name string")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return (
+        every.join(file_inventory(spark, sf_dir, names), "table_name", "left")
+        .groupBy("table_name")
+        .agg(total("rows").alias("row_count"), total("size_bytes").alias("size_bytes"))
+        .withColumn("size_mb", F.round(F.col("size_bytes") / 1024 / 1024, 2))
+        .orderBy("table_name")
+    )

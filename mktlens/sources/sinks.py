@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -13,13 +13,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch folder: ``spark.checkpoint.dir`` of the
     session, else the context's checkpoint directory.
 
-    Only when neither is set (local tests) is a private temporary folder
-    created and registered with ``setCheckpointDir``; the session config
-    itself is static and is never changed.
+    Where neither is set, a session in one process (master ``local``) gets a
+    private temporary folder; on a cluster, where executors could not see it,
+    that is an error. The session config itself is never changed.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="mktlens-ckpt-")
         sc.setCheckpointDir(d)
     return d.rstrip("/")
@@ -61,14 +63,3 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
 def write_profile(df: DataFrame, path: str) -> None:
     """JSON-lines sink for profile reports (one object per row)."""
     df.write.mode("overwrite").json(path)
-
-
-def local_scratch() -> str:
-    """A fresh private directory for tests that need real files."""
-    base = os.environ.get("TMPDIR", "/tmp")
-    return tempfile.mkdtemp(prefix="mktlens-", dir=base)
-
-
-def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Alias of ``materialize`` for intermediates read several times."""
-    return materialize(df, label)

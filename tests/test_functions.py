@@ -24,6 +24,22 @@ def test_rounded_quotient_is_exact(spark, pairs):
         assert row.r == expect, (row.n, row.d, row.r, expect)
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(-(10**18), 10**18), st.integers(0, 10**18)), min_size=1, max_size=30))
+def test_rounding_does_not_overflow(spark, pairs):
+    pairs = [(n, d) for n, d in pairs if not d or abs(n) <= 10**14 * d]
+    df = spark.createDataFrame([*pairs, (10**17, 3), (-(10**18), 10**18), (10**16, 10**18)], "n long, d long")
+    got = df.select("n", "d", rounded_quotient("n", "d").alias("r"), pct("n", "d").alias("p")).collect()
+    for row in got:
+        if row.d == 0:
+            assert row.r is None and row.p is None
+            continue
+        for value, times in ((row.r, 1), (row.p, 100)):
+            expect = _half_away(row.n * times, row.d, 2)
+            # beyond 2^53 hundredths a double has no exact form
+            assert value == expect or abs(expect) > 2**46 and abs(value - expect) <= 4e-16 * abs(expect), row
+
+
 def test_pct_ties_round_half_away(spark):
     df = spark.createDataFrame([(1, 8), (1, 32), (0, 0), (2, 3)], "a long, b long")
     got = [r.p for r in df.select(pct("a", "b").alias("p")).collect()]

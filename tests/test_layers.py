@@ -150,7 +150,7 @@ def test_duplicated_deal_counts_distinct_orders_once(spark):
     ]
     leads = [{"mql_id": "m", "origin": "x"}]
     w = _wh(spark, marketing_qualified_leads=leads, closed_deals=deals, order_items=items, orders=orders)
-    act = marts.seller_activity(w.stg_marketing_funnel, w.mart_order_seller).collect()
+    act = marts.seller_activity(w.stg_marketing_funnel, w.order_seller_facts).collect()
     assert len(act) == 1
     # COUNT(DISTINCT order) over both deal rows = 2; SUM over the joined rows = 3 items
     assert act[0].post_win_order_count == 2 and act[0].post_win_item_count == 3

@@ -29,7 +29,7 @@ def test_hot_seller_is_bounded_and_correct(spark):
         "closed_deals": deals,
     }
     w = Warehouse(Frames(spark, **{t: raw_frame(spark, t, r) for t, r in tables.items()}))
-    daily = marts.seller_daily_activity(w.mart_order_seller).where(F.col("seller_id") == "hot")
+    daily = marts.seller_daily_activity(w.order_seller_facts).where(F.col("seller_id") == "hot")
     assert daily.count() == 10  # one row per calendar day, not per order
     row = w.mart_seller_lifecycle.first()
     expect = sum(1 for k in range(300) if k % 4 and 1 + k % 10 >= 5)
@@ -63,23 +63,90 @@ def test_materialized_views_read_back(spark):
     assert w2.mart_marketing_funnel.orderBy("contact_month", "origin").collect() == before
 
 
-def test_rank_paths_agree(spark):
+def test_distributed_ranks_match_windows(spark):
+    from mktlens.operators import rank_desc_window
     from mktlens.plans.analysis import seller_activation_performance
 
     m4 = Warehouse.at(spark, "/root/testdata/sf0.01").mart_seller_lifecycle
     cols = ["mql_id", "overall_product_value_rank", "origin_product_value_rank", "overall_order_count_rank"]
-    small = seller_activation_performance(m4).select(*cols).orderBy("mql_id").collect()
-    big = seller_activation_performance(m4, small_rows=0).select(*cols).orderBy("mql_id").collect()
-    assert small == big and len(small) > 0
+    got = seller_activation_performance(m4)
+    base = got.drop(*cols[1:])
+    pv, n = "post_win_product_value", "post_win_order_count"
+    want = rank_desc_window(base, pv, cols[1])
+    want = rank_desc_window(want, pv, cols[2], ["origin"])
+    want = rank_desc_window(want, n, cols[3])
+    a = got.select(*cols).orderBy("mql_id").collect()
+    assert a == want.select(*cols).orderBy("mql_id").collect() and len(a) > 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _exchanges(plan, *columns):
+    """Hash exchanges on exactly these columns."""
+    import re
+
+    names = r", ".join(rf"{c}#\d+L?" for c in columns)
+    return len(re.findall(rf"hashpartitioning\({names}, \d+\)", plan))
+
+
+def test_plans_at_scale(spark):
+    """With nothing broadcast: no row is tripled, items travel once by order,
+    never by category, and a hot seller is combined before its exchange."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Warehouse.at(spark, SF)
+        m1, m2 = _plan(w.mart_orders), _plan(w.mart_order_seller)
+        assert "Expand" not in m1 and "SinglePartition" not in m1
+        assert "Expand" not in m2.replace("ExpandExec", "")
+        summary = _plan(marts.order_seller_summary(w.stg_order_items, w.raw["products"], w.raw["product_category_translation"]))
+        assert _exchanges(summary, "order_id") == 1
+        assert not _exchanges(summary, "order_id", "seller_id")
+        assert _exchanges(summary, "product_category_name") <= 1  # products, not items
+        m4 = _plan(w.mart_seller_lifecycle)
+        assert "part.parquet" not in m4 and "supplier.parquet, " not in m4 and "p_type" not in m4 and "n_name" not in m4
+        daily = _plan(marts.seller_daily_activity(w.order_seller_facts))
+        top = daily.index("hashpartitioning(seller_id")
+        assert "partial_sum" in daily[top : top + 400] or "partial_count" in daily[top : top + 400]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_build_warehouse_writes_layers_and_passes_gate(spark):
-    from mktlens.plans.run import build_warehouse
+    from mktlens.plans.run import build_warehouse, published
 
     out = tempfile.mkdtemp(prefix="mktlens-build-")
-    paths = build_warehouse(spark, SF, out)
-    assert set(paths) >= {"mart_orders", "final_kpi_validation"}
+    assert published(spark, out) == {}
+    paths = build_warehouse(spark, SF, out, schemas=True)
+    assert published(spark, out) == paths
     q2 = spark.read.parquet(paths["final_kpi_validation"])
     assert q2.where("check_status = 'PASS'").count() == 6
     a1 = spark.read.parquet(paths["acquisition_channel_quality"]).orderBy("origin").collect()
     assert a1 == Warehouse.at(spark, SF).acquisition_channel_quality.orderBy("origin").collect()
+    m1 = spark.table("marts.mart_orders")
+    assert m1.columns == Warehouse.at(spark, SF).mart_orders.columns
+    assert m1.count() == spark.read.parquet(paths["mart_orders"]).count()
+    assert any(n.startswith("purchase_month=") for n in os.listdir(paths["mart_orders"]))
+
+
+def test_failed_gate_leaves_the_published_tables(spark):
+    import pytest
+
+    from mktlens.plans.run import QualityGateFailed, build_warehouse, published
+
+    src = tempfile.mkdtemp(prefix="mktlens-src-")
+    raw = load_raw(spark, SF)
+    for t in raw:
+        raw[t].write.parquet(os.path.join(src, f"{t}.parquet"))
+    out = tempfile.mkdtemp(prefix="mktlens-gate-")
+    good = build_warehouse(spark, src, out)
+    before = spark.read.parquet(good["mart_orders"]).count()
+    # a seller that sells nothing fails the marketplace_sellers check
+    extra = raw["sellers"].limit(1).withColumn("seller_id", F.lit("idle"))
+    extra.write.mode("append").parquet(os.path.join(src, "sellers.parquet"))
+    with pytest.raises(QualityGateFailed, match="marketplace_sellers"):
+        build_warehouse(spark, src, out)
+    assert published(spark, out) == good
+    assert spark.read.parquet(published(spark, out)["mart_orders"]).count() == before

@@ -58,3 +58,111 @@ def test_comparison_fail_paths(spark):
     t = comparison_table(src, [("rows", one, dup.select(F.count("*")).scalar()), ("same", one, one)], "bigint")
     got = {r.metric_name: (r.difference, r.check_status) for r in t.collect()}
     assert got == {"rows": (1, "FAIL"), "same": (0, "PASS")}
+
+
+# ---------------------------------------------------------------- lost input
+
+
+def _csv(spark, text):
+    d = tempfile.mkdtemp(prefix="mktlens-csv-")
+    with open(os.path.join(d, "x.csv"), "w", encoding="utf-8", newline="") as fh:
+        fh.write(text)
+    return read_csv(spark, d, RAW_SCHEMAS["closed_deals"].__class__(RAW_SCHEMAS["closed_deals"].fields[:5]))
+
+
+def test_iso_timestamps_are_read(spark):
+    head = "mql_id,seller_id,sdr_id,sr_id,won_date\r\n"
+    rows = "a,s,,,2018-01-01T10:00:00\r\nb,s,,,2018-01-01 10:00:00\r\nc,s,,,2018-01-01 10:00:00.123\r\nd,s,,,\r\n"
+    got = {r.mql_id: r.won_date and r.won_date.isoformat() for r in _csv(spark, head + rows).collect()}
+    assert got == {"a": "2018-01-01T10:00:00", "b": "2018-01-01T10:00:00", "c": "2018-01-01T10:00:00.123000", "d": None}
+
+
+def test_unparsable_value_stops_the_read(spark):
+    with pytest.raises(Exception, match="yesterday|MALFORMED"):
+        _csv(spark, "mql_id,seller_id,sdr_id,sr_id,won_date\r\na,s,,,yesterday\r\n").collect()
+
+
+def test_absent_column_or_table_is_an_error(spark):
+    from mktlens.plans import profiling
+    from mktlens.sources import load_raw, scan_table
+
+    d = tempfile.mkdtemp(prefix="mktlens-absent-")
+    raw = load_raw(spark, "/root/testdata/sf0.001")
+    raw["sellers"].drop("seller_id").write.parquet(f"{d}/sellers.parquet")
+    with pytest.raises(ValueError, match="seller_id"):
+        scan_table(spark, f"{d}/sellers.parquet", RAW_SCHEMAS["sellers"])
+    tables = {t: raw[t] for t in raw if t != "customers"}
+    with pytest.raises(KeyError):
+        profiling.coverage_report(tables)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        load_raw(spark, d)["orders"].count()
+
+
+def test_drift_of_a_table_as_it_arrives(spark):
+    from mktlens.plans import profiling
+    from mktlens.sources import load_raw
+
+    d = tempfile.mkdtemp(prefix="mktlens-drift-")
+    raw = load_raw(spark, "/root/testdata/sf0.001")
+    raw["marketing_qualified_leads"].write.parquet(f"{d}/marketing_qualified_leads.parquet")
+    changed = raw["orders"].drop("order_status").withColumn("note", F.lit("x"))
+    changed.write.parquet(f"{d}/orders.parquet")
+    native = load_raw(spark, f"file://{d}")  # found by Spark, not by the local file system
+    assert native.native
+    found = native.as_found("orders")
+    row = profiling.profile_table(raw["orders"], "orders", found=found).first()
+    assert (row.column_count, row.missing_expected_columns, row.unexpected_columns) == (8, "order_status", "note")
+    assert row.schema_status == "REVIEW"
+    good = profiling.profile_table(raw["orders"], "orders", found=native.as_found("marketing_qualified_leads").limit(0)).first()
+    assert good.schema_status == "REVIEW"
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error(spark):
+    from mktlens.sources.sinks import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+# ---------------------------------------------------------------- activation
+
+
+def test_every_deal_counts_once_per_row(spark):
+    import datetime as dt
+
+    from conftest import raw_frame
+
+    from mktlens.plans import profiling
+
+    D = dt.datetime
+    leads = [{"mql_id": "m1", "origin": "a"}, {"mql_id": "m1", "origin": "a"}, {"mql_id": "m2", "origin": None}]
+    deals = [
+        {"mql_id": "m1", "seller_id": "s1", "won_date": D(2020, 1, 3)},
+        {"mql_id": "m1", "seller_id": "s1", "won_date": D(2020, 1, 3)},
+        {"mql_id": "m2", "seller_id": None, "won_date": D(2020, 1, 3)},
+        {"mql_id": "m3", "seller_id": "s1", "won_date": None},
+    ]
+    orders = [{"order_id": "o1", "order_purchase_timestamp": D(2020, 1, 2, 8)}, {"order_id": "o2", "order_purchase_timestamp": D(2020, 1, 9, 8)}]
+    items = [{"order_id": o, "order_item_id": 1, "product_id": "p", "seller_id": "s1", "price": 1.0, "freight_value": 0.0} for o in ("o1", "o2")]
+    frames = [
+        raw_frame(spark, t, r)
+        for t, r in (("marketing_qualified_leads", leads), ("closed_deals", deals), ("order_items", items), ("orders", orders))
+    ]
+    r = profiling.activation_summary(*frames).first()
+    assert (r.closed_deals, r.closed_sellers_with_any_order, r.post_win_activated_sellers, r.sellers_with_pre_win_orders) == (4, 3, 2, 2)
+    assert r.median_days_to_first_post_win_sale == 6.0
+    by = {x.origin: (x.mqls, x.closed_deals, x.post_win_activated_sellers) for x in profiling.activation_by_origin(*frames).collect()}
+    assert by == {"a": (2, 2, 2), "unknown": (1, 2, 0)}
