@@ -73,3 +73,90 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
          AND n_dup_lines <= 0.6 * n_lines AS kept
 FROM b
 """
+
+SQL["op8_substring_dedup"] = f"""
+WITH doc AS (
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, {_SPACE_WORDS} AS w FROM documents
+), win AS (
+  SELECT r, i, array_to_string(list_slice(w, i, i + 19), ' ') AS gram
+  FROM (SELECT r, w, unnest(range(1, len(w) - 18)) AS i FROM doc WHERE len(w) >= 20)
+), later AS (
+  SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY gram ORDER BY r, i) AS n FROM win) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 20)) AS p FROM later
+), word AS (
+  SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM doc
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
+
+def _secret_sql() -> str:
+    """Base and weak finds by pattern; the linking rule pair by pair."""
+    strong = {
+        "assign": (r"""(?i:(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        "access": ("AKIA[A-Z0-9]+", 0, 20),
+        "hex": ("[0-9a-f]+", 0, 24),
+    }
+    weak = {
+        "ident": (
+            r"""(?i:(?:access_key_id|client_id|account_id|user(?:name)?|login)["'']?\x20*[:=]\x20*["'']?)[A-Za-z0-9_.@+-]{4,}""",
+            0,
+            0,
+        ),
+        "key": ("[A-Za-z0-9+/_]{32,}={0,2}", 0, 32),
+        "endpoint": (
+            r"(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+",
+            0,
+            0,
+        ),
+    }
+    parts = []
+    for rank, (kind, (pattern, group, least)) in enumerate({**strong, **weak}.items()):
+        mixed = (
+            "AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[0-9]')"
+            if kind == "key"
+            else ""
+        )
+        parts.append(
+            f"SELECT r, {rank} AS rank, '{kind}' AS kind, e - length(m) AS a, e AS b FROM ("
+            f"SELECT r, m, v, sum(length(g) + length(m)) OVER (PARTITION BY r ORDER BY i) AS e FROM ("
+            f"SELECT r, unnest(range(len(m))) AS i, unnest(m) AS m, unnest(v) AS v, unnest(list_slice(g, 1, len(m))) AS g FROM ("
+            f"SELECT r, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS v, "
+            f"string_split_regex(t, '{pattern}') AS g FROM doc))) WHERE length(v) >= {least} {mixed}"
+        )
+    return f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), part AS (
+  {" UNION ALL ".join(parts)}
+), base AS (
+  SELECT * FROM part WHERE rank < 3
+), loose AS (
+  SELECT * FROM part AS p WHERE rank >= 3
+  AND NOT EXISTS (SELECT 1 FROM base AS s WHERE s.r = p.r AND s.a <= p.a AND s.b >= p.b)
+), role AS (
+  SELECT *, CASE WHEN kind IN ('access', 'ident') THEN 'i' WHEN kind = 'endpoint' THEN 'e' ELSE 's' END AS part
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM loose)
+), linked AS (
+  SELECT DISTINCT x.r, x.rank, x.kind, x.a, x.b FROM role AS x JOIN role AS y
+  ON x.r = y.r AND abs(x.a - y.a) <= 200 AND (x.part = 's') <> (y.part = 's') WHERE x.rank >= 3
+), every AS (
+  SELECT r, rank, kind, a, b FROM base UNION ALL SELECT * FROM linked
+), found AS (
+  SELECT r, count(*) FILTER (rank = 0) AS n0, count(*) FILTER (rank = 1) AS n1, count(*) FILTER (rank = 2) AS n2,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (rank < 3) AS base,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans
+  FROM every GROUP BY r
+)
+SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN found USING (r)
+"""
+
+
+SQL["op9_secret_scans"] = _secret_sql()
