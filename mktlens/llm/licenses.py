@@ -40,6 +40,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mktlens.llm.sampling import least_hashes
+
 # Usual notices and opening paragraphs of public licences.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "apache": (
@@ -326,13 +328,9 @@ def train(background: list[str], seed: int = 11) -> LicenseModel:
 
 
 def background_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    rows = (
-        docs.where((F.octet_length(text_col) <= MAX_BYTES) & F.col(id_col).isNotNull())
-        .select(F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h"), F.col(text_col).alias("t"))
-        .orderBy("h", "t")
-        .limit(BACKGROUND_DOCS)
-        .collect()
-    )
+    texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("t"))
+    some = least_hashes(texts.where(F.col("id").isNotNull()), F.col("id"), docs.count(), BACKGROUND_DOCS)
+    rows = some.where(F.octet_length("t") <= MAX_BYTES).collect()
     found = [p for r in rows for _, _, p in paragraphs(r["t"])]
     return found[:: max(1, len(found) // BACKGROUND)][:BACKGROUND]
 
