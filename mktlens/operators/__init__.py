@@ -1,5 +1,6 @@
 """Reusable distributed operators."""
 
+from mktlens.operators.following import totals_from
 from mktlens.operators.keys import duplicate_key_rows, grain_violations, join_coverage, tracked_keys
 from mktlens.operators.ranking import attach_ranks, rank_desc, rank_desc_window, rank_table
 from mktlens.operators.reconcile import check_summary, comparison_table, scalar
@@ -15,5 +16,6 @@ __all__ = [
     "rank_table",
     "rank_desc_window",
     "scalar",
+    "totals_from",
     "tracked_keys",
 ]

@@ -27,6 +27,7 @@ from mktlens.functions import (
     string_set_agg,
 )
 from mktlens.functions.status import LATE, ON_TIME
+from mktlens.operators import totals_from
 
 # ------------------------------------------------------------------ M1
 
@@ -302,7 +303,8 @@ def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
     """Per won lead (mql_id, seller_id): post-win sales, reviews, delivery.
 
     Won funnel rows are first collapsed to (mql_id, seller_id, won_day) with a
-    multiplicity, then joined to the daily activity. Sums are weighted by the
+    multiplicity, then get the totals of the seller's days from the win on
+    (``totals_from``: no deal is paired with days). Sums are weighted by the
     multiplicity (a duplicated deal counts its sales twice, as a plain join
     would), while the distinct order count takes the widest window of the
     group (the earliest win day), as a distinct count over the join would.
@@ -312,27 +314,15 @@ def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
         .groupBy("mql_id", "seller_id", day_of("won_date").alias("won_day"))
         .agg(F.count("*").cast("bigint").alias("m"))
     )
-    j = post_win_join(won, seller_daily_activity(order_seller))
-    per_window = j.groupBy(
-        F.col("w.mql_id").alias("mql_id"), F.col("w.seller_id").alias("seller_id"), "w.won_day", "w.m"
-    ).agg(
-        F.min("d.purchase_date").alias("first_date"),
-        F.sum("d.orders").alias("orders"),
-        F.sum("d.items").alias("items"),
-        F.sum("d.product_value").alias("product_value"),
-        F.sum("d.freight_value").alias("freight_value"),
-        F.sum("d.score_hundredths").alias("score_hundredths"),
-        F.sum("d.scored_rows").alias("scored_rows"),
-        F.sum("d.on_time").alias("on_time"),
-        F.sum("d.late").alias("late"),
-    )
+    sums = ["orders", "items", "product_value", "freight_value", "score_hundredths", "scored_rows", "on_time", "late"]
+    per_window = totals_from(won, seller_daily_activity(order_seller), "seller_id", "won_day", "purchase_date", sums)
     m = F.col("m")
     zero = F.lit(0).cast("bigint")
     # COUNT and COUNTIF are 0 over no matching rows; SUM, MIN and AVG are NULL
     on_time = F.coalesce(F.sum(F.col("on_time") * m), zero)
     late = F.coalesce(F.sum(F.col("late") * m), zero)
     return per_window.groupBy("mql_id", "seller_id").agg(
-        F.min("first_date").alias("first_post_win_order_date"),
+        F.min("first_day").alias("first_post_win_order_date"),
         F.coalesce(F.max("orders"), zero).alias("post_win_order_count"),
         F.sum(F.col("items") * m).alias("post_win_item_count"),
         F.sum(F.col("product_value") * m).cast("decimal(38,2)").alias("post_win_product_value"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mktlens.functions import count_where, day_of, days_between, rounded_quotient
-from mktlens.operators import duplicate_key_rows, join_coverage
+from mktlens.operators import duplicate_key_rows, join_coverage, totals_from
 from mktlens.sources.raw import RawTables
 from mktlens.sources.schemas import KEY_FIELDS, RAW_SCHEMAS, RELATIONSHIPS
 
@@ -226,17 +226,13 @@ def deal_activity(leads: DataFrame, deals: DataFrame, items: DataFrame, orders:
         .join(origins, "mql_id", "left")
         .select("mql_id", "seller_id", "won_day", "m", F.coalesce("origin", F.lit("unknown")).alias("origin"))
     )
-    days = seller_order_days(items, orders).alias("s")
-    j = d.alias("d").join(days, F.col("d.seller_id") == F.col("s.seller_id"), "left")
-    day, won = F.col("s.order_day"), F.col("d.won_day")
-    return (
-        j.groupBy("d.mql_id", "d.seller_id", "d.won_day", "d.origin", "d.m")
-        .agg(
-            (F.count(day) > 0).alias("has_order"),
-            (F.max(F.when(day < won, 1).otherwise(0)) == 1).alias("has_pre_win_order"),
-            F.min(F.when(day >= won, day)).alias("first_post_win_day"),
-        )
-        .withColumn("days_to_first_post_win_sale", days_between("first_post_win_day", "won_day"))
+    after = totals_from(d, seller_order_days(items, orders), "seller_id", "won_day", "order_day", [])
+    return after.select(
+        *d.columns,
+        F.col("least_day").isNotNull().alias("has_order"),
+        F.coalesce(F.col("least_day") < F.col("won_day"), F.lit(False)).alias("has_pre_win_order"),
+        F.col("first_day").alias("first_post_win_day"),
+        days_between("first_day", "won_day").alias("days_to_first_post_win_sale"),
     )
 
 
