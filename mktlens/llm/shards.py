@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from mktlens.sources.sinks import materialize
 
-ROWS_PER_RANGE = 250_000
+ROWS_PER_RANGE = 4_000_000  # narrow rows, sorted by one task
 MIN_RANGES = 64
 SAMPLES_PER_RANGE = 64
 OVERFULL = 2.0
@@ -71,10 +71,9 @@ def splitters(rows: DataFrame, total: int, ranges: int) -> DataFrame:
     sample = rows.where(
         _unit_interval(F.xxhash64("k1", "k2", F.lit("sample"))) < F.col("size") * F.lit(rate)
     ).select("k1")
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds = sample.agg(
-        F.percentile_approx("k1", F.array(*[F.lit(s) for s in shares]), F.lit(100 * ranges)).alias("b")
-    ).select(F.posexplode("b").alias("i", "bound"))
+    shares = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
+    quantiles = F.expr(f"percentile_approx(k1, array({shares}), {100 * ranges})")
+    bounds = sample.agg(quantiles.alias("b")).select(F.posexplode("b").alias("i", "bound"))
     per_cell = bounds.groupBy(_cell(F.col("bound")).alias("cell")).agg(
         F.sort_array(F.collect_list("bound")).alias("bounds"), F.count("*").alias("n")
     )
