@@ -43,12 +43,14 @@ import heapq
 import math
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +61,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a parameter of every entry poin
 K = 2
 ALPHA = 1.0  # inverse temperature
 MOST_CHARS = 16  # longest piece
-BLOCK_CHARS = 300_000  # characters whose chunks are worked on together
+BLOCK_CHARS = 1_000_000  # characters of texts, and of chunks, worked on together
+NOTED_CHARS = 8_000_000
+KEPT_CHARS = 900_000
 SPACE = 0x2581
 LITERAL = 0x110000  # stands for a U+2581 of the text itself
 CHUNKS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
@@ -80,8 +84,19 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return ((_mix(x) >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
+_ALL = (1 << 64) - 1
+
+
+def _unit_of(x: int) -> float:
+    """``_unit`` of one number."""
+    x &= _ALL
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _ALL
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _ALL
+    return (((x ^ (x >> 31)) >> 12) + 0.5) / (1 << 52)
+
+
 def _times(k: int, g: np.uint64) -> np.uint64:
-    return np.uint64(k * int(g) & ((1 << 64) - 1))
+    return np.uint64(k * int(g) & _ALL)
 
 
 class Pieces:
@@ -111,12 +126,25 @@ class Pieces:
         self.fallback = -alpha * math.log(2 * n)
         if max(len(texts[i]) for i in ranked) > MOST_CHARS:
             raise ValueError("a piece is longer than MOST_CHARS")
-        prints = np.array([self._print(texts[i]) for i in ranked], dtype=np.uint64)
+        # Every start of a piece gets an entry: pieces their id, others an id past n.
+        entries = {texts[i]: i for i in ranked}
+        longer = set()
+        for i in ranked:
+            for m in range(1, len(texts[i])):
+                start = texts[i][:m]
+                longer.add(start)
+                entries.setdefault(start, n + len(entries))
+        ids = {start: i for i, start in enumerate(sorted(t for t, i in entries.items() if i >= n), n)}
+        entries = {t: ids.get(t, i) for t, i in entries.items()}
+        total = n + len(ids)
         self.first = np.full(1 << _SLOT, -1, dtype=np.int32)
         self.second = np.full(1 << _SLOT, -1, dtype=np.int32)
-        self.prints = np.zeros(n, dtype=np.uint64)
-        for i, h in zip(ranked, prints, strict=True):
+        self.prints = np.zeros(total + 1, dtype=np.uint64)
+        self.goes_on = np.zeros(total + 1, dtype=bool)  # the last place, id -1, is "nothing"
+        for t, i in entries.items():
+            h = np.uint64(self._print(t))
             self.prints[i] = h
+            self.goes_on[i] = t in longer
             a, b = self.slots(h)
             if self.first[a] < 0:
                 self.first[a] = i
@@ -124,8 +152,10 @@ class Pieces:
                 self.second[b] = i
             else:
                 raise ValueError("two pieces in one slot; choose other hash constants")
+        # By piece id; the last place, id -1, is "no piece".
+        self.weight = np.append(np.where(self.log_weight < 0, np.exp(self.log_weight), 0.0), 0.0)
         size = np.array([len(b) for b in self.bytes], dtype=np.int64)
-        self.size, self.start = size, np.cumsum(size) - size
+        self.size, self.start = size.astype(np.int32), (np.cumsum(size) - size).astype(np.int32)
         self.flat = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
 
     @staticmethod
@@ -140,20 +170,25 @@ class Pieces:
         with np.errstate(over="ignore"):
             return (h * _G1) >> np.uint64(64 - _SLOT), (h * _G2) >> np.uint64(64 - _SLOT)
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Piece of each substring hash, or -1."""
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(piece or -1, whether some longer piece may start so) of each
+        substring hash. Starts of pieces that are no pieces have ids past the
+        vocabulary; "may" is never wrongly false."""
         a, b = self.slots(h)
         i = self.first[a]
-        hit = (i >= 0) & (self.prints[i] == h)
-        j = self.second[b]
-        other = (j >= 0) & (self.prints[j] == h)
-        return np.where(hit, i, np.where(other, j, -1))
+        i = np.where(self.prints[i] == h, i, self.second[b])
+        i = np.where(self.prints[i] == h, i, -1)
+        return np.where(i < len(self.size), i, -1), self.goes_on[i]
 
     def decode(self, ids) -> str:
-        ids = np.asarray(ids, dtype=np.int64)
+        if not len(ids):
+            return ""
+        ids = np.asarray(ids)
         size = self.size[ids]
-        at = np.repeat(self.start[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        out = self.flat[at].tobytes()
+        upto = np.cumsum(size)
+        kind = np.int32 if upto[-1] < 1 << 30 else np.int64
+        shift = (self.start[ids] - (upto - size)).astype(kind)
+        out = self.flat[np.repeat(shift, size) + np.arange(upto[-1], dtype=kind)].tobytes()
         return out[1:].decode("utf-8", "surrogatepass")  # without the space put before the text
 
 
@@ -169,123 +204,158 @@ def chunks_of(text: str) -> list[str]:
 class Lattices:
     """Backward sampling tables of distinct chunks.
 
-    ``cum[p, l-1]``: probability, given a segmentation that reaches the end of
-    position p, that its last piece has at most l characters."""
+    ``prob[p, l-1]``: probability, given a segmentation that reaches the end of
+    row p's character, that its last piece has l characters; ``piece`` names
+    it. The row of a chunk's j-th character is ``level[j] + rank``."""
 
     def __init__(self, vocab: Pieces, chunks: list[str]):
         lens = np.array([len(c) for c in chunks], dtype=np.int64)
-        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-        codes = np.where(codes == SPACE, LITERAL, np.where(codes == 32, SPACE, codes))
-        self.codes, self.lens = codes, lens
-        self.begin = np.cumsum(lens) - lens
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
+        codes[codes == SPACE] = LITERAL
+        codes[codes == 32] = SPACE
+        self.lens = lens
+        begin = np.cumsum(lens) - lens
         n = len(codes)
-        inside = np.arange(n) - np.repeat(self.begin, lens)  # place in the chunk
-        self.piece = np.full((n, MOST_CHARS), -1, dtype=np.int32)  # ending here, by length
-        h = np.zeros(n, dtype=np.uint64)
-        plus = codes.astype(np.uint64) + np.uint64(1)
-        for size in range(1, MOST_CHARS + 1):
-            # h[s]: hash of the substring of this size that starts at s
-            m = n - size + 1
-            if m <= 0:
-                break
-            h = h[:m] * _HASH + plus[size - 1 :]
-            ends = np.flatnonzero(inside[size - 1 :] >= size - 1)
-            if not len(ends):
-                break
-            self.piece[ends + size - 1, size - 1] = vocab.find(h[ends])
-        weight = np.where(self.piece >= 0, np.exp(vocab.log_weight[self.piece]), 0.0)
-        weight[:, 0] = np.where(self.piece[:, 0] >= 0, weight[:, 0], math.exp(vocab.fallback))
-        # Forward filtering, position by position over all chunks at once.
+        inside = np.arange(n, dtype=np.int32) - np.repeat(begin, lens).astype(np.int32)  # place in the chunk
+        # Tables hold all first characters, then all second ones, and so on, the
+        # longest chunks first, so that a step of the filter is one slice.
         order = np.argsort(-lens, kind="stable")
         longest = int(lens[order[0]]) if len(lens) else 0
         alive = np.searchsorted(-lens[order], -np.arange(longest), side="left")
-        before = np.zeros((len(lens), MOST_CHARS))  # sums at the last positions, relative to the latest
+        self.level = np.concatenate(([0], np.cumsum(alive)))  # first row of each place
+        self.rank = np.empty(len(lens), dtype=np.int64)
+        self.rank[order] = np.arange(len(lens))
+        row = self.level[inside] + np.repeat(self.rank, lens)
+        width = min(MOST_CHARS, int(lens.max())) if len(lens) else 1
+        piece = np.full((n, width), -1, dtype=np.int32)  # ending here, by length
+        h = np.zeros(n, dtype=np.uint64)
+        plus = codes.astype(np.uint64) + np.uint64(1)
+        start = np.arange(n)  # of the substrings that are still the start of a piece
+        for size in range(1, width + 1):
+            # h: hash of the substring of this size from each start
+            keep = start + size <= n
+            keep[keep] = inside[start[keep] + size - 1] >= size - 1
+            start, h = start[keep], h[keep]
+            if not len(start):
+                break
+            h = h * _HASH + plus[start + size - 1]
+            found, more = vocab.find(h)
+            piece[row[start + size - 1], size - 1] = found
+            start, h = start[more], h[more]
+        used = np.flatnonzero((piece >= 0).any(axis=0))
+        width = int(used[-1]) + 1 if len(used) else 1
+        self.piece = np.ascontiguousarray(piece[:, :width])
+        weight = vocab.weight[self.piece]
+        # A character outside the vocabulary is an edge named by its code point.
+        odd = np.flatnonzero(self.piece[:, 0] < 0)
+        weight[odd, 0] = math.exp(vocab.fallback)
+        by_row = np.empty(n, dtype=np.int32)
+        by_row[row] = codes
+        self.piece[odd, 0] = -1 - by_row[odd]
+        # Forward filtering, place by place over all chunks at once.
+        before = np.zeros((len(lens), width))  # sums at the last places, relative to the latest
         before[:, 0] = 1.0
         for j in range(longest):
-            rows = order[: alive[j]]
-            at = self.begin[rows] + j
-            part = before[: alive[j]] * weight[at]
-            total = part.sum(axis=1)
-            part /= total[:, None]
-            weight[at] = part
-            nxt = before[: alive[j]]
-            nxt[:, 1:] = nxt[:, :-1] / total[:, None]
-            nxt[:, 0] = 1.0
+            last = before[: alive[j]]
+            part = weight[self.level[j] : self.level[j + 1]]
+            part *= last
+            total = part.sum(axis=1)[:, None]
+            part /= total  # exactly 1 where there is one way
+            last[:, 1:] = last[:, :-1] / total
+            last[:, 0] = 1.0
         self.prob = weight
-        self.cum = np.cumsum(weight, axis=1)
+        self.best = weight.argmax(axis=1)
+        self.top = weight[np.arange(n), self.best]
 
-    def edges(self, end: np.ndarray, size: np.ndarray) -> np.ndarray:
+    def edges(self, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Piece ids, or -1 - code point for a character outside the vocabulary."""
-        piece = self.piece[end, size - 1]
-        return np.where(piece >= 0, piece, -1 - self.codes[end]).astype(np.int32)
+        return self.piece[rows, size - 1]
 
     def sample(self, chunk: np.ndarray, seed: np.ndarray):
         """Draw a segmentation of each of ``chunk``. Returns (log_prob, count,
         steps): steps are (rows, edges, sizes), last pieces first."""
-        at = self.begin[chunk] + self.lens[chunk]  # exclusive end
+        rank = self.rank[chunk]
+        end = self.lens[chunk] - 1  # place in the chunk where the next last piece ends
         log_prob = np.zeros(len(chunk))
         count = np.zeros(len(chunk), dtype=np.int64)
         steps = []
         rows = np.arange(len(chunk))
-        stop = self.begin[chunk]
         step = 0
         while len(rows):
-            end = at[rows] - 1
-            u = _unit(seed[rows] + _times(step, _G2)) * self.cum[end, -1]
-            size = (self.cum[end] <= u[:, None]).sum(axis=1) + 1
-            log_prob[rows] += np.log(self.prob[end, size - 1])
-            count[rows] += 1
-            steps.append((rows, self.edges(end, size), size))
-            at[rows] -= size
-            rows = rows[at[rows] > stop[rows]]
+            u = _unit(seed + _times(step, _G2))
+            # The likeliest last piece comes first; only draws beyond it look at the others.
+            at = self.level[end] + rank
+            size, p = self.best[at] + 1, self.top[at]
+            past = np.flatnonzero(u >= p)
+            if len(past):
+                prob = self.prob[at[past]]
+                every = np.arange(len(past))
+                likeliest = size[past] - 1
+                others = prob.copy()
+                others[every, likeliest] = 0
+                cum = np.cumsum(others, axis=1)
+                goal = (u[past] - p[past]) / (1 - p[past]) * cum[:, -1]
+                goal = np.minimum(goal, np.nextafter(cum[:, -1], 0))
+                size[past] = (cum <= goal[:, None]).sum(axis=1) + 1
+                p[past] = prob[every, size[past] - 1]
+            steps.append((rows, self.edges(at, size), size))
+            end = end - size
             step += 1
+            more = np.flatnonzero(end >= 0)
+            if step == 1:
+                log_prob += np.log(p)
+            else:
+                log_prob[rows] += np.log(p)
+            done = np.flatnonzero(end < 0)
+            count[rows[done]] = step
+            rows, end, rank, seed = rows[more], end[more], rank[more], seed[more]
         return log_prob, count, steps
 
     def rest(self, chunk: int, taken: list[tuple[int, ...]]):
         """Probability of avoiding the segmentations ``taken`` (sizes, last
         first) of a chunk, and the probability of each last piece of those
         that do; no term is the difference of nearly equal numbers."""
-
-        def mass(end: int, paths: list[tuple[int, ...]]) -> tuple[float, list]:
-            firsts: dict[int, list] = {}
-            for p in paths:
-                firsts.setdefault(p[0], []).append(p[1:])
-            left = []
-            for size in np.flatnonzero(self.prob[end] > 0) + 1:
-                p = float(self.prob[end, size - 1])
-                below = firsts.get(int(size))
-                if below is None:
-                    left.append((int(size), p, None))
-                elif all(below):
-                    inner, tree = mass(end - int(size), below)
-                    if inner > 0:
-                        left.append((int(size), p * inner, tree))
-            return sum(x[1] for x in left), left
-
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 2 * int(self.lens[chunk]) + 1000))
-        return mass(int(self.begin[chunk] + self.lens[chunk] - 1), taken)
+        return self._mass(int(self.rank[chunk]), int(self.lens[chunk] - 1), taken)
+
+    def _mass(self, rank: int, end: int, paths: list[tuple[int, ...]]) -> tuple[float, list]:
+        firsts: dict[int, list] = {}
+        for p in paths:
+            firsts.setdefault(p[0], []).append(p[1:])
+        left, total = [], 0.0
+        for size, p in enumerate(self.prob[self.level[end] + rank].tolist(), 1):
+            if p > 0:
+                below, tree = firsts.get(size), None
+                if below is not None:
+                    inner, tree = self._mass(rank, end - size, below) if all(below) else (0.0, None)
+                    p *= inner
+                if p > 0:
+                    left.append((size, p, tree))
+                    total += p
+        return total, left
 
     def sample_rest(self, chunk: int, taken: list[tuple[int, ...]], seed: int):
         """(log_prob, edges, sizes), in text order, of a segmentation drawn
         among those not taken."""
         _, tree = self.rest(chunk, taken)
-        end, stop = int(self.begin[chunk] + self.lens[chunk] - 1), int(self.begin[chunk])
-        log_prob, ends, sizes, step = 0.0, [], [], 0
-        while end >= stop:
-            u = float(_unit(np.array([seed], dtype=np.uint64) + _times(step, _G2))[0])
+        rank, end = int(self.rank[chunk]), int(self.lens[chunk] - 1)
+        log_prob, rows, sizes, step = 0.0, [], [], 0
+        while end >= 0:
+            row = int(self.level[end]) + rank
+            u = _unit_of(seed + step * int(_G2))
             if tree is None:
-                tree = [(int(s), float(self.prob[end, s - 1]), None) for s in np.flatnonzero(self.prob[end] > 0) + 1]
+                tree = [(int(s), float(self.prob[row, s - 1]), None) for s in np.flatnonzero(self.prob[row] > 0) + 1]
             u *= sum(x[1] for x in tree)
             for size, p, inner in tree:
                 u -= p
                 if u < 0:
                     break
-            log_prob += math.log(float(self.prob[end, size - 1]))
-            ends.append(end)
+            log_prob += math.log(float(self.prob[row, size - 1]))
+            rows.append(row)
             sizes.append(size)
             end, tree, step = end - size, inner, step + 1
         size = np.array(sizes[::-1], dtype=np.int64)
-        return log_prob, self.edges(np.array(ends[::-1], dtype=np.int64), size), size
+        return log_prob, self.edges(np.array(rows[::-1], dtype=np.int64), size), size
 
 
 def _truncated(location: np.ndarray, cap, u: np.ndarray) -> np.ndarray:
@@ -306,43 +376,120 @@ class _Drawn:
         return tuple(self.sizes[self.offsets[i] : self.offsets[i + 1]][::-1].tolist())
 
 
+class _Known(dict):
+    """Chunk -> number; one asked for first gets the next number and is noted."""
+
+    def __init__(self, items=()):
+        super().__init__(items)
+        self.new: list[str] = []
+
+    def __missing__(self, chunk):
+        n = self[chunk] = len(self)
+        self.new.append(chunk)
+        return n
+
+    def take_new(self) -> list[str]:
+        """The chunks noted since the last call, which are forgotten."""
+        new, self.new = self.new, []
+        for c in new:
+            del self[c]
+        return new
+
+
+class Frequent:
+    """Lattices of the chunks met most often, kept by a worker process.
+
+    The first ``NOTED_CHARS`` characters of text are only counted; then the
+    chunks that came up in the most blocks, ``KEPT_CHARS`` characters of them,
+    get lattices that later blocks share. What is drawn does not depend on it.
+    """
+
+    def __init__(self, vocab: Pieces):
+        self.vocab, self.index, self.lattice = vocab, _Known(), None
+        self.room, self.seen = NOTED_CHARS, Counter()
+
+    def note(self, names: list[str], chars: int) -> None:
+        if self.lattice is None:
+            self.seen.update(names)
+            self.room -= chars
+            if self.room <= 0:
+                names, room = [], KEPT_CHARS
+                for c, times in self.seen.most_common():
+                    room -= len(c)
+                    if times < 2 or room < 0:
+                        break
+                    names.append(c)
+                self.seen.clear()
+                self.lattice = Lattices(self.vocab, names)
+                self.index = _Known((c, i) for i, c in enumerate(names))
+
+
+@lru_cache(maxsize=4)
+def frequent(path: str, alpha: float) -> Frequent:
+    return Frequent(pieces(path, alpha))
+
+
 class _Block:
-    """Some texts with the lattices of their distinct chunks. Beyond
-    ``BLOCK_CHARS`` distinct characters (one very long text) the lattices are
-    built group by group, each time they are needed."""
+    """Some texts with the lattices of their distinct chunks: the frequent
+    ones', which are shared, and the block's own. Beyond ``BLOCK_CHARS``
+    characters of own chunks (one very long text) these are built group by
+    group, each time they are needed."""
 
-    def __init__(self, vocab: Pieces, texts: list[str], keys: list[int]):
+    def __init__(self, vocab: Pieces, texts: list[str], keys: list[int], common: Frequent | None = None):
         self.vocab = vocab
-        known: dict[str, int] = {}
-        ids: list[int] = []
-        self.first = [0]
+        known = common.index if common else _Known()
+        shared = len(known)
+        ids = []
         for t in texts:
-            if t:
-                ids += [known.setdefault(c, len(known)) for c in chunks_of(t)]
-            self.first.append(len(ids))
-        self.chunk = np.array(ids, dtype=np.int64)
-        self.names = list(known)
-        room, groups = 0, [0]
-        for i, c in enumerate(self.names):
-            if room + len(c) > BLOCK_CHARS and i > groups[-1]:
-                groups.append(i)
-                room = 0
-            room += len(c)
-        self.groups = [*groups, len(self.names)]
-        self.one = Lattices(vocab, self.names) if len(self.groups) == 2 and self.names else None
+            chunks = chunks_of(t) if t else ()
+            ids.append(np.fromiter(map(known.__getitem__, chunks), np.int32, len(chunks)))
+        self.first = [0, *np.cumsum([len(x) for x in ids]).tolist()]
+        self.chunk = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        self.names = known.take_new()
+        ends = np.cumsum(np.fromiter(map(len, self.names), np.int64, len(self.names)))
+        cuts = [0]
+        while len(ends) and ends[-1] - (ends[cuts[-1] - 1] if cuts[-1] else 0) > BLOCK_CHARS:
+            done = ends[cuts[-1] - 1] if cuts[-1] else 0
+            nxt = max(cuts[-1] + 1, int(np.searchsorted(ends, done + BLOCK_CHARS, side="right")))
+            if nxt >= len(ends):
+                break
+            cuts.append(nxt)
+        # (first number, end, lattices or None: to be built for each use)
+        self.groups = [(0, shared, common.lattice)] if shared else []
+        one = len(cuts) == 1
+        for lo, hi in zip(cuts, [*cuts[1:], len(self.names)], strict=True):
+            if hi > lo:
+                self.groups.append((shared + lo, shared + hi, Lattices(vocab, self.names[lo:hi]) if one else None))
+        if common:
+            common.note(self.names, sum(map(len, texts)))
+        self.shared = shared
         # Signed row keys to seeds.
         self.seed = _mix(np.array(keys, dtype=np.int64).view(np.uint64))
+        self.base: dict[tuple[int, int], list[int]] = {}
 
     def lattice_of(self, chunk: int) -> tuple[Lattices, int]:
-        return (self.one, chunk) if self.one else (Lattices(self.vocab, [self.names[chunk]]), 0)
+        for lo, hi, lattice in self.groups:
+            if lo <= chunk < hi and lattice:
+                return lattice, chunk - lo
+        return Lattices(self.vocab, [self.names[chunk - self.shared]]), 0
+
+    def key_of(self, text: int, place: int, sample: int, use: int) -> int:
+        """``key`` of one chunk."""
+        return self.bases(sample, use)[text] + place * int(_G1) & _ALL
+
+    def bases(self, sample: int, use: int) -> list[int]:
+        if (sample, use) not in self.base:
+            shift = np.uint64(int(_times(sample + 1, _G3)) + int(_times(use + 1, _G2)) & _ALL)
+            self.base[sample, use] = _mix(self.seed + shift).tolist()
+        return self.base[sample, use]
 
     def uniform(self, text: np.ndarray, place: np.ndarray, sample: int, use: int) -> np.ndarray:
         return _unit(self.key(text, place, sample, use))
 
     def key(self, text, place, sample: int, use: int) -> np.ndarray:
         """64-bit counter of a text's chunk in a sample, for one use."""
-        base = _mix(self.seed[text] + _times(sample + 1, _G3) + _times(use + 1, _G2))
-        return _mix(base + place.astype(np.uint64) * _G1)
+        base = np.array(self.bases(sample, use), dtype=np.uint64)
+        return base[text] + place.astype(np.uint64) * _G1  # mixed where a number is made of it
 
     def draw(self, tokens: np.ndarray, text: np.ndarray, sample: int):
         """Draw the chunks ``tokens`` of the texts ``text``: (log_prob, offsets,
@@ -351,10 +498,10 @@ class _Block:
         seed = self.key(text, place, sample, 0)
         ids = self.chunk[tokens]
         log_prob, count, parts = np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64), []
-        for lo, hi in zip(self.groups[:-1], self.groups[1:], strict=True):
-            rows = np.arange(len(ids)) if self.one else np.flatnonzero((ids >= lo) & (ids < hi))
+        for lo, hi, lattice in self.groups:
+            rows = np.flatnonzero((ids >= lo) & (ids < hi))
             if len(rows):
-                lattice = self.one or Lattices(self.vocab, self.names[lo:hi])
+                lattice = lattice or Lattices(self.vocab, self.names[lo - self.shared : hi - self.shared])
                 log_prob[rows], count[rows], steps = lattice.sample(ids[rows] - lo, seed[rows])
                 parts.append((rows, steps))
         offsets = np.concatenate(([0], np.cumsum(count)))
@@ -374,10 +521,12 @@ def _log_rest(log_prob: np.ndarray) -> np.ndarray:
         return np.log(-np.expm1(log_prob))
 
 
-def sample_block(vocab: Pieces, texts: list[str], keys: list[int], k: int = K) -> list[list[tuple]]:
+def sample_block(
+    vocab: Pieces, texts: list[str], keys: list[int], k: int = K, common: Frequent | None = None
+) -> list[list[tuple]]:
     """For each text its samples, best first: (edges, log_prob, perturbed,
     inclusion)."""
-    block = _Block(vocab, texts, keys)
+    block = _Block(vocab, texts, keys, common)
     n = np.diff(block.first)
     every = np.arange(len(texts))
     owner = np.repeat(every, n)
@@ -401,7 +550,8 @@ def sample_block(vocab: Pieces, texts: list[str], keys: list[int], k: int = K) -
             if values[j] > -np.inf:
                 ticket += 1
                 i = chunks_from + j
-                heapq.heappush(heap, (-float(values[j]), ticket, base, i, [drawn.path(i)]))
+                left = -math.expm1(float(drawn.log_prob[i]))
+                heapq.heappush(heap, (-float(values[j]), ticket, base, i, [drawn.path(i)], left))
 
     for d in range(len(texts)):
         lo, hi = block.first[d], block.first[d + 1]
@@ -425,13 +575,11 @@ def sample_block(vocab: Pieces, texts: list[str], keys: list[int], k: int = K) -
         noise = block.uniform(text, place, r, 2)
         rest = _log_rest(log_prob)
         at = np.concatenate(([0], np.cumsum(sizes_of)))
-        for x, (d, (minus, _, base, i, taken)) in enumerate(popped):
+        for x, (d, (minus, _, base, i, taken, left)) in enumerate(popped):
             lo, hi = at[x], at[x + 1]
             before, cap = samples[d][base], -minus
             lattice, chunk = block.lattice_of(int(block.chunk[block.first[d] + i]))
-            here = np.array([i], dtype=np.int64)
-            own = np.array([d])
-            lp, edge, size = lattice.sample_rest(chunk, taken, int(block.key(own, here, r, 3)[0]))
+            lp, edge, size = lattice.sample_rest(chunk, taken, block.key_of(d, i, r, 3))
             cut = before.offsets[i]
             a, b = offsets[lo], offsets[hi]
             new = _Drawn(
@@ -444,14 +592,16 @@ def sample_block(vocab: Pieces, texts: list[str], keys: list[int], k: int = K) -
             found[d].append((float(new.log_prob.sum()), cap))
             prefix = float(new.log_prob[:i].sum())
             taken = [*taken, new.path(i)]
-            mass, _ = lattice.rest(chunk, taken)
+            # What no choice has taken; summed anew where the difference is small.
+            mass = left - math.exp(lp)
+            if mass < 1e-6:
+                mass, _ = lattice.rest(chunk, taken)
             if mass > 0:
-                value = _truncated(
-                    np.array([prefix + math.log(mass)]), cap, block.uniform(own, here, r, 4)
-                )[0]
+                u = _unit_of(block.key_of(d, i, r, 4))
+                value = -np.logaddexp(-cap, math.log(-math.log(u)) - prefix - math.log(mass))
                 if value > -np.inf:
                     ticket += 1
-                    heapq.heappush(agenda[d], (-float(value), ticket, len(samples[d]) - 1, i, taken))
+                    heapq.heappush(agenda[d], (-float(value), ticket, len(samples[d]) - 1, i, taken, mass))
             ahead = prefix + lp + np.cumsum(log_prob[lo:hi]) - log_prob[lo:hi]
             push(agenda[d], _truncated(ahead + rest[lo:hi], cap, noise[lo:hi]), i + 1, len(samples[d]) - 1, new)
 
@@ -488,7 +638,9 @@ def _encode_batches(id_name: str, model: str, k: int, alpha: float):
     def rows_of(vocab, schema, ids, keys, texts):
         columns: list[list] = [[] for _ in range(7)]
         pieces_of, offsets = [], [0]
-        for doc_id, key, text, samples in zip(ids, keys, texts, sample_block(vocab, texts, keys, k), strict=True):
+        for doc_id, key, text, samples in zip(
+            ids, keys, texts, sample_block(vocab, texts, keys, k, frequent(model, alpha)), strict=True
+        ):
             for r, (edges, lp, g, inclusion) in enumerate(samples):
                 found = edge_ids(vocab, edges)
                 pieces_of.append(found)
@@ -517,15 +669,16 @@ def _encode_batches(id_name: str, model: str, k: int, alpha: float):
                     pa.field("ids", pa.list_(pa.int32())),
                 ]
             )
-            ids, keys, texts = (batch.column(i).to_pylist() for i in range(3))
-            at, room = 0, 0
-            for i, t in enumerate(texts):
-                if room + len(t) > BLOCK_CHARS and i > at:
-                    yield rows_of(vocab, schema, ids[at:i], keys[at:i], texts[at:i])
+            at, room, cuts = 0, 0, []
+            for i, n in enumerate(pc.utf8_length(batch.column(2)).to_pylist()):
+                if room + n > BLOCK_CHARS and i > at:
+                    cuts.append((at, i))
                     at, room = i, 0
-                room += len(t)
-            if at < len(texts):
-                yield rows_of(vocab, schema, ids[at:], keys[at:], texts[at:])
+                room += n
+            if at < batch.num_rows:
+                cuts.append((at, batch.num_rows))
+            for lo, hi in cuts:  # only a block's rows are Python objects at a time
+                yield rows_of(vocab, schema, *(c.to_pylist() for c in batch.slice(lo, hi - lo).columns[:3]))
 
     return of
 

@@ -87,6 +87,12 @@ def test_round_trip_of_any_text(texts, k):
 def test_result_does_not_depend_on_the_batch(vocab, monkeypatch):
     texts = ["some words of it " * 40, "x" * 500, "more\nlines\n" * 30]
     whole = S.sample_block(vocab, texts, [1, 2, 3], 3)
+    monkeypatch.setattr(S, "NOTED_CHARS", 2000)
+    common = S.Frequent(vocab)
+    for _ in range(3):  # counted, then with shared lattices
+        for a, b in zip(whole, S.sample_block(vocab, texts, [1, 2, 3], 3, common)):
+            assert all((x[0] == y[0]).all() and x[1:] == y[1:] for x, y in zip(a, b))
+    assert common.index
     monkeypatch.setattr(S, "BLOCK_CHARS", 40)  # lattices in groups, as for one very long text
     for i, t in enumerate(texts):
         alone = S.sample_block(vocab, [t], [i + 1], 3)[0]
