@@ -24,7 +24,7 @@ ordered by document id (nulls last), then by the row's key, then by start.
 Rows that repeat both id and text are one document and are judged alike; rows
 that repeat an id with another text are documents of their own. Null, empty
 and short texts lose nothing. Very long texts are one row of numpy arrays.
-Other columns are ignored.
+Ids are integers of any size. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -151,13 +151,13 @@ def _bucket_of(window: bytes) -> int:
 
 
 def _pack(window: int):
-    """Rows (row_key, doc_id, text, runs, minimisers, hot) to packed strings,
-    each with the first place that this batch has for it."""
+    """Rows (row_key, no_id, doc_id, text, runs, minimisers, hot) to packed
+    strings, each with the first place that this batch has for it."""
 
     def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             first: dict[tuple[int, bytes], tuple] = {}
-            for key, doc_id, text, runs, mins, hots in frame.itertuples(index=False, name=None):
+            for key, no_id, doc_id, text, runs, mins, hots in frame.itertuples(index=False, name=None):
                 words = words_of(text)
                 for run, minimiser, hot in zip(runs, mins, hots, strict=True):
                     start, n = int(run) >> SHIFT, int(run) & ((1 << SHIFT) - 1)
@@ -167,7 +167,7 @@ def _pack(window: int):
                     else:
                         parts = [(int(minimiser), b" ".join(words[start : start + n + window - 1]), start)]
                     for bucket, packed, s in parts:
-                        place = (pd.isna(doc_id), 0 if pd.isna(doc_id) else int(doc_id), int(key), s)
+                        place = (bool(no_id), int(doc_id), int(key), s)
                         if (bucket, packed) not in first or place < first[bucket, packed]:
                             first[bucket, packed] = place
             if first:
@@ -262,7 +262,13 @@ def _cut(window: int):
                     words = [w for w, g in zip(words, gone, strict=True) if not g]
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
             yield pd.DataFrame(
-                {"doc_id": frame["doc_id"], "n_words": n_words, "n_removed": n_removed, "kept_text": kept}
+                {
+                    "no_id": frame["no_id"],
+                    "doc_id": frame["doc_id"],
+                    "n_words": n_words,
+                    "n_removed": n_removed,
+                    "kept_text": kept,
+                }
             )
 
     return of
@@ -274,7 +280,9 @@ def substring_dedup(
     """(doc_id, n_words, n_removed, kept_text) of every row."""
     rows = docs.select(
         row_key(F.col(id_col), F.col(text_col)).alias("row_key"),
-        F.col(id_col).cast("bigint").alias("doc_id"),
+        # Ids without nulls: with them they would pass through pandas as doubles.
+        F.col(id_col).isNull().alias("no_id"),
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("doc_id"),
         F.col(text_col).alias("text"),
     )
     runs = materialize(
@@ -302,12 +310,12 @@ def substring_dedup(
     text = F.coalesce("text", F.lit(""))
     first = (
         rows.groupBy(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("copy"), text).alias("h2"))
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("x"))
+        .agg(F.min(F.struct("no_id", "doc_id", "row_key")).alias("x"))
         .select(F.col("x.row_key").alias("row_key"))
     )
     packed = (
         rows.join(named.join(first, "row_key", "left_semi"), "row_key")
-        .select("row_key", "doc_id", "text", "runs", "minimisers", "hots")
+        .select("row_key", "no_id", "doc_id", "text", "runs", "minimisers", "hots")
         .mapInPandas(_pack(window), PACKED)
     )
     fresh = (
@@ -321,6 +329,7 @@ def substring_dedup(
     return (
         rows.join(named.select("row_key", "runs"), "row_key", "left")
         .join(fresh, "row_key", "left")
-        .select("doc_id", "text", "runs", "fresh")
-        .mapInPandas(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
+        .select("no_id", "doc_id", "text", "runs", "fresh")
+        .mapInPandas(_cut(window), "no_id boolean, doc_id long, n_words long, n_removed long, kept_text string")
+        .select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "n_words", "n_removed", "kept_text")
     )

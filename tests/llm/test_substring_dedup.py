@@ -55,6 +55,12 @@ def test_shared_passages_copies_and_loops(table, monkeypatch):
     check(table(rows), rows)
 
 
+def test_large_ids_beside_nulls(table):
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(2**62 + 1, words), (2**62, words), (None, words)]
+    check(table(rows), rows)
+
+
 def test_empty_table(edges):
     assert S.substring_dedup(edges.where("false")).count() == 0
 
