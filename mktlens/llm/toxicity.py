@@ -125,19 +125,21 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _calibrated(logit: np.ndarray, target: np.ndarray, prior: float) -> tuple[float, float]:
-    """Slope and shift that fit the held-out texts best, weighed to the labels'
-    true odds exp(prior); held near (1, prior) by a weak penalty."""
+def _calibrated(logit: np.ndarray, target: np.ndarray, prior: float) -> tuple[tuple[float, float], float]:
+    """((slope, shift), loss): what fits the held-out texts best, weighed to the
+    labels' true odds exp(prior) and held near (1, prior) by a weak penalty."""
     toxic = 1 / (1 + np.exp(-prior))
     weight = np.where(target == 1, toxic / target.sum(), (1 - toxic) / (len(target) - target.sum()))
     hold = CALIBRATION_HOLD / len(target)
     log_slope, shift = 0.0, prior
-    for _ in range(2000):
+    for _ in range(1000):
         slope = np.exp(log_slope)
         error = weight * (_sigmoid(slope * logit + shift) - target)
         log_slope -= 0.5 * ((error * logit).sum() * slope + hold * log_slope)
         shift -= 0.5 * (error.sum() + hold * (shift - prior))
-    return float(np.exp(log_slope)), float(shift)
+    p = np.clip(_sigmoid(np.exp(log_slope) * logit + shift), 1e-6, 1 - 1e-6)
+    loss = -(weight * np.log(np.where(target == 1, p, 1 - p))).sum()
+    return (float(np.exp(log_slope)), float(shift)), float(loss)
 
 
 @dataclass
@@ -191,7 +193,9 @@ def train(
         _rows([texts[i] for i in rows], y[rows], buckets, known)
         for rows in (fit[at : at + BATCH] for at in range(0, len(fit), BATCH))
     ]
-    judge = _rows([texts[i] for i in held], y[held], buckets, known) if len(held) else None
+    # Without a held-out text of either class nothing can be judged.
+    judge = _rows([texts[i] for i in held], y[held], buckets, known) if len(set(y[held].tolist())) == 2 else None
+    prior = float(np.log(counts[1] / counts[0])) if counts[0] and counts[1] else 0.0
     known.clear()
 
     # Start: the first dimension holds how far a bucket's count among toxic
@@ -229,21 +233,16 @@ def train(
                 q -= RATES[i] * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
         odds = (embed @ (soft[:, 1] - soft[:, 0])) * SCALE
         if judge is None:
-            kept = (odds, float(bias[1] - bias[0]))
+            kept = (odds, float(bias[1] - bias[0]), 1.0, prior)
         elif epoch >= WARM - 1:
-            p = np.clip(_sigmoid(judge.read(odds) + bias[1] - bias[0]), 1e-6, 1 - 1e-6)
-            weight = np.where(judge.target == 1, 0.5 / share, 0.5 / (1 - share))
-            loss = -(weight * np.log(np.where(judge.target == 1, p, 1 - p))).mean()
+            # Classes were weighed alike; their true odds come back with the scale.
+            logit = judge.read(odds) + bias[1] - bias[0]
+            scale, loss = _calibrated(logit, judge.target, prior)
             if loss < best:
-                best, kept = loss, (odds, float(bias[1] - bias[0]))
-            elif loss > best * 1.5:
+                best, kept = loss, (odds, float(bias[1] - bias[0]), *scale)
+            elif loss > best * 2:
                 break
-    odds, intercept = kept
-    slope = 1.0
-    # Classes were weighed alike; their true odds come back with the scale.
-    shift = float(np.log(counts[1] / counts[0])) if counts[0] and counts[1] else 0.0
-    if judge is not None and judge.target.any() and not judge.target.all():
-        slope, shift = _calibrated(judge.read(odds) + intercept, judge.target, shift)
+    odds, intercept, slope, shift = kept
     return SubwordModel(odds * slope, intercept * slope + shift)
 
 
