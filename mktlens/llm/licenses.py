@@ -1,11 +1,18 @@
 """License scans: a trained paragraph classifier, confirmed by templates.
 
 A paragraph is a line of a text; a line of many sentences is cut at sentence
-ends into runs of about ``SEGMENT_WORDS`` words, so that a notice inside long
-prose is seen by itself. Its features are the word one- and two-grams that occur
-in the templates, present or not, and the share of its words that no template
-has. A multinomial logistic regression (numpy, full batch) over these sparse
-features gives each licence family and the class ``unknown`` a probability.
+ends into runs of about ``SEGMENT_WORDS`` words. Its features are the word one-
+and two-grams that occur in the templates, present or not, and the share of its
+words that no template has. A multinomial logistic regression (numpy, full
+batch) over these sparse features gives each licence family and the class
+``unknown`` a probability.
+
+A notice inside a longer line is seen by itself, whatever stands around it: each
+sentence, and each run of words in which the two-grams of one template follow
+each other (at most ``STEPS`` words apart), is judged like a paragraph of its
+own. Of those found the ones with most two-grams win where they overlap, so a
+line may have several finds. A paragraph found as a whole is one find, unless
+other families stand in it with two-grams that its own does not have.
 
 Training texts are made from the templates (words dropped, runs cut out,
 versions and years changed, foreign words around) and, for ``unknown``, from
@@ -147,6 +154,8 @@ FALSE_SHARE = 0.005
 REPORT = 0.5
 CONFIRM = 0.6
 LEAST_SHARED = 2
+STEPS = (1, 3, 8)  # words from one two-gram of a run to the next
+LEAST_RUN = 7  # two-grams of the shortest run cut out for training
 
 
 def words_of(paragraph: str) -> list[str]:
@@ -157,8 +166,15 @@ def pairs_of(words: list[str]) -> list[tuple[str, str]]:
     return list(zip(words, words[1:], strict=False))
 
 
-def paragraphs(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, paragraph) of a text's lines, long ones cut at sentences."""
+def _bare(at: int, piece: str) -> tuple[int, int, str] | None:
+    """(start, end, piece) without the blanks around it."""
+    bare = piece.strip()
+    start = at + len(piece) - len(piece.lstrip())
+    return (start, start + len(bare), bare) if bare else None
+
+
+def lines(text: str) -> Iterator[tuple[int, str, list[tuple[int, int, str]]]]:
+    """(start, line, paragraphs) of a text's lines, long ones cut at sentences."""
     at = 0
     for line in text.split("\n"):
         if line.count(" ") < SEGMENT_WORDS:
@@ -170,14 +186,16 @@ def paragraphs(text: str) -> Iterator[tuple[int, int, str]]:
                 if end == len(line) or line.count(" ", begin, end) >= SEGMENT_WORDS:
                     pieces.append((at + begin, line[begin:end]))
                     begin = end
-        for start, piece in pieces:
-            bare = piece.strip()
-            if bare:
-                start += len(piece) - len(piece.lstrip())
-                yield start, start + len(bare), bare
+        yield at, line, [x for x in (_bare(*piece) for piece in pieces) if x]
         at += len(line) + 1
 
 
+def paragraphs(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, paragraph) of a text."""
+    for _, _, found in lines(text):
+        yield from found
+
+
 class Templates:
     """Vocabulary and two-grams of the templates."""
 
@@ -187,6 +205,12 @@ class Templates:
             [frozenset(pairs_of(words_of(t))) for t in texts] for texts in TEMPLATES.values()
         ]
         self.pairs = frozenset(g for texts in self.grams for t in texts for g in t)
+        self.family_pairs = [frozenset(g for t in texts for g in t) for texts in self.grams]
+        self.having: dict[tuple[str, str], list[tuple[int, int]]] = {}  # (family, template) of a two-gram
+        for f, texts in enumerate(self.grams):
+            for i, t in enumerate(texts):
+                for g in t:
+                    self.having.setdefault(g, []).append((f, i))
         grams = sorted({w for texts in TEMPLATES.values() for t in texts for w in words_of(t)})
         grams += sorted(self.pairs)
         self.column = {g: i for i, g in enumerate(grams)}
@@ -230,6 +254,33 @@ def _made(rng: np.random.Generator, words: list[str], around: list[str]) -> list
     return out
 
 
+def _runs(hits: list[int], step: int) -> Iterator[tuple[int, int]]:
+    """(first, last) of the runs of ascending places at most ``step`` apart."""
+    first = last = hits[0]
+    for i in hits[1:]:
+        if i - last > step:
+            yield first, last
+            first = i
+        last = i
+    yield first, last
+
+
+@dataclass(frozen=True)
+class Find:
+    start: int
+    end: int
+    family: int
+    probability: float
+    pairs: frozenset  # two-grams shared with the family
+
+    def meets(self, other: Find) -> bool:
+        return self.start < other.end and other.start < self.end
+
+    def foreign(self, family: int) -> bool:
+        """Of another family, with two-grams that this one does not have."""
+        return self.family != family and not self.pairs <= TEMPLATE_SET.family_pairs[family]
+
+
 @dataclass
 class LicenseModel:
     weights: np.ndarray  # (columns + 1, classes); the last row is for the missing share
@@ -247,23 +298,87 @@ class LicenseModel:
         p = np.exp(z - z.max())
         return p / p.sum()
 
+    def judged(self, words: list[str]) -> tuple[int, float] | None:
+        """(family, probability) of words that are reported."""
+        p = self.probabilities(words)
+        family = int(p.argmax())
+        return (family, float(p[family])) if family < len(TEMPLATE_SET.grams) and p[family] >= REPORT else None
+
+    def whole(self, start: int, end: int, piece: str) -> Find | None:
+        """The find of a paragraph or sentence judged as a whole."""
+        words = words_of(piece)
+        pairs = set(pairs_of(words))
+        shared = pairs & TEMPLATE_SET.pairs
+        if len(shared) < LEAST_SHARED or not (got := self.judged(words)):
+            return None
+        if TEMPLATE_SET.similarity(got[0], shared, len(pairs)) < CONFIRM:
+            return None
+        return Find(start, end, *got, frozenset(shared & TEMPLATE_SET.family_pairs[got[0]]))
+
+    def runs(self, at: int, line: str) -> list[Find]:
+        """Finds among the runs of words that follow one template."""
+        spans = [m.span() for m in WORDS.finditer(line)]
+        words = [line[a:b].lower() for a, b in spans]
+        pairs = pairs_of(words)
+        places: dict[tuple[int, int], list[int]] = {}
+        for i, g in enumerate(pairs):
+            for t in TEMPLATE_SET.having.get(g, ()):
+                places.setdefault(t, []).append(i)
+        out, seen = [], {}
+        for (family, i), hits in places.items():
+            grams = TEMPLATE_SET.grams[family][i]
+            if len(hits) < min(LEAST_SHARED, len(grams)):
+                continue
+            for first, last in {r for step in STEPS for r in _runs(hits, step)}:
+                inside = set(pairs[first : last + 1])
+                both = len(inside & grams)
+                if both < min(LEAST_SHARED, len(grams)):
+                    continue
+                if both < CONFIRM * len(grams) and (both < LEAST_RUN or both < CONFIRM * len(inside)):
+                    continue
+                if (first, last) not in seen:
+                    seen[first, last] = self.judged(words[first : last + 2])
+                if (got := seen[first, last]) and got[0] == family:
+                    out.append(Find(at + spans[first][0], at + spans[last + 1][1], *got, frozenset(inside & grams)))
+        return out
+
+    def line_finds(self, at: int, line: str, pieces: list[tuple[int, int, str]]) -> list[Find]:
+        whole = [f for f in (self.whole(*piece) for piece in pieces) if f]
+        parts = self.runs(at, line)
+        cuts = [0, *(m.end() for m in SENTENCE.finditer(line)), len(line)]
+        if len(cuts) > 2:
+            sentences = (_bare(at + a, line[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
+            parts += [f for f in (self.whole(*x) for x in sentences if x) if f]
+        # A part that reaches over another family's notice gives way to its own shorter one.
+        within = {f: [x for x in parts if x != f and f.start <= x.start and x.end <= f.end] for f in parts}
+        parts = [
+            f
+            for f, less in within.items()
+            if not any(
+                x.foreign(f.family) and any(y.family == f.family and not y.meets(x) for y in less) for x in less
+            )
+        ]
+        chosen: list[Find] = []
+        for f in sorted(parts, key=lambda f: (-len(f.pairs), f.end - f.start, f.start, f.family)):
+            if not any(f.meets(x) for x in chosen):
+                chosen.append(f)
+        out = []
+        for f in whole:
+            inside = [x for x in chosen if x.meets(f)]
+            others = [x for x in inside if x.foreign(f.family)]
+            chosen = [x for x in chosen if x not in inside or x in others]
+            alike = [x for x in inside if x.family == f.family]
+            out += alike if others and alike else [f]
+        return sorted([*out, *chosen], key=lambda f: (f.start, f.end, f.family))
+
     def find(self, text: str | None) -> tuple[int, list[tuple[int, str, int, float]]]:
         """(number of paragraphs, finds as (start, family, end, probability))."""
         n, finds = 0, []
-        common = TEMPLATE_SET.pairs
-        for start, end, paragraph in paragraphs(text or ""):
-            n += 1
-            words = words_of(paragraph)
-            pairs = set(pairs_of(words))
-            shared = pairs & common
-            if len(shared) < LEAST_SHARED:
-                continue
-            p = self.probabilities(words)
-            family = int(p.argmax())
-            if family < len(TEMPLATE_SET.grams) and p[family] >= REPORT:
-                if TEMPLATE_SET.similarity(family, shared, len(pairs)) >= CONFIRM:
-                    finds.append((start, TEMPLATE_SET.families[family], end, float(p[family])))
-        return n, finds
+        for at, line, pieces in lines(text or ""):
+            n += len(pieces)
+            if len(TEMPLATE_SET.pairs.intersection(pairs_of(words_of(line)))) >= LEAST_SHARED:
+                finds += self.line_finds(at, line, pieces)
+        return n, [(f.start, TEMPLATE_SET.families[f.family], f.end, f.probability) for f in finds]
 
 
 def _logits(x: np.ndarray, missing: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:

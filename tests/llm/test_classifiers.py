@@ -141,6 +141,32 @@ def test_licences_of_templates_and_edges(table):
     assert licenses.scan_licenses(table(rows).where("false")).count() == 0
 
 
+def test_licences_inside_long_lines(table):
+    calm, more = "calm words about the weather of the day. " * 30, "more words. " * 60
+    endless = "calm words about the weather and the sea " * 30
+    mit, apache = "Released under the MIT License", "the Apache License, Version 2.0"
+    bsd = licenses.TEMPLATES["bsd"][2]
+    cases = [
+        (f"{calm}{mit}. {more}", [("mit", mit)]),
+        (f"{endless}{mit} {endless}", [("mit", mit)]),
+        (f"Licensed under the MIT License or {apache}, at your option.", [("mit", None), ("apache", apache)]),
+        (f"{calm}{mit}. {more}{bsd} {calm}", [("mit", mit), ("bsd", bsd[:-1])]),
+        (f"{calm}Under the terms of the report, all of the work was released in the public hall. {more}", []),
+    ]
+    isc = "Released under the ISC License."
+    for family, texts in licenses.TEMPLATES.items():
+        for t in texts:
+            cases.append((f"{endless}{t} {endless}", [(family, None)]))
+            if family != "isc":
+                cases.append((f"{calm}{isc} {t} {more}", [("isc", None), (family, None)]))
+    got = {r["doc_id"]: r["finds"] for r in licenses.scan_licenses(table([(i, t) for i, (t, _) in enumerate(cases)])).collect()}
+    for i, (text, want) in enumerate(cases):
+        # A notice that reaches over a cut is found on either side.
+        assert list(dict.fromkeys(f["family"] for f in got[i])) == [family for family, _ in want], text
+        for family, notice in want:
+            assert notice is None or any(notice in text[f["start"] : f["end"]] for f in got[i] if f["family"] == family)
+
+
 def test_licence_paragraphs_cover_a_text():
     text = " a b.\n\n" + "Some words of it. " * 50 + "\nend"
     parts = list(licenses.paragraphs(text))
