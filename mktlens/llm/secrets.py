@@ -2,15 +2,16 @@
 
 Strong finds (``BASE``) are reported wherever they stand. Weak finds (``WEAK``)
 alone say little: a long mixed token, an account name, a service address. They
-are parts of a credential, and a part is reported only when a complementary
-part (``COMPLEMENTS``) starts within ``SCOPE`` code points of it in the same
-document; strong finds count as parts, too.
+are parts of a credential, and a part is reported only when at most ``SCOPE``
+code points lie between it and a complementary part (``COMPLEMENTS``) in the
+same document, however long the two are; strong finds count as parts, too.
 
-The interval join runs on (document, role, bin of ``SCOPE`` code points).
-Before it the parts are reduced to the first and last start in each bin, which
-is all that an existence test needs, so a document full of parts makes no
-pairs. A text with no match of any pattern leaves no row. Places come from the
-gaps between matches, summed in order; texts themselves are never shuffled.
+The interval join runs on (document, role, bin of ``SCOPE`` code points), with a
+part in every bin that it reaches. Before it the parts are reduced to the least
+start and the greatest end in each bin, which is all that an existence test
+needs, so a document full of parts makes no pairs. A text with no match of any
+pattern leaves no row. Places come from the gaps between matches, summed in
+order; texts themselves are never shuffled.
 
 Defined results: null and empty texts have no finds; repeated rows are judged
 alike; other columns are ignored, or kept by ``redact_secrets``, whose working
@@ -114,16 +115,18 @@ def _role(kind: Column) -> Column:
 
 def _linked(parts: DataFrame) -> DataFrame:
     """The weak candidates with a complementary part in scope."""
-    parts = parts.withColumn("role", _role(F.col("kind"))).withColumn("bin", F.floor(F.col("start") / SCOPE))
+    bin_of = lambda c: F.floor(F.col(c) / SCOPE)
+    parts = parts.withColumn("role", _role(F.col("kind")))
+    parts = parts.withColumn("bin", bin_of("start")).withColumn("end_bin", bin_of("end"))
     upto = Window.partitionBy("row_key").orderBy("start", F.col("end").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     strong = F.col("kind").isin(*BASE_KINDS)
     parts = parts.withColumn("_inside", F.max(F.when(strong, F.col("end"))).over(upto))
     free = parts.where(strong | F.col("_inside").isNull() | (F.col("_inside") < F.col("end"))).drop("_inside")
-    bins = free.groupBy("row_key", "role", "bin").agg(F.min("start").alias("first"), F.max("start").alias("last"))
-    bins = bins.select(
-        "row_key", F.col("role").alias("other"), F.col("bin").alias("other_bin"), "first", "last"
+    reached = free.withColumn("other_bin", F.explode(F.sequence("bin", "end_bin")))
+    bins = reached.groupBy("row_key", F.col("role").alias("other"), "other_bin").agg(
+        F.min("start").alias("first"), F.max("end").alias("last")
     )
     others = F.coalesce(
         *[F.when(F.col("role") == r, F.array(*[F.lit(c) for c in cs])) for r, cs in COMPLEMENTS.items()]
@@ -131,10 +134,13 @@ def _linked(parts: DataFrame) -> DataFrame:
     weak = (
         free.where(~strong)
         .withColumn("other", F.explode(others))
-        .withColumn("other_bin", F.explode(F.sequence(F.col("bin") - 1, F.col("bin") + 1)))
+        .withColumn("other_bin", F.explode(F.sequence(F.col("bin") - 1, F.col("end_bin") + 1)))
     )
-    near = F.when(bins["other_bin"] < weak["bin"], bins["last"] >= weak["start"] - SCOPE).otherwise(
-        bins["first"] <= weak["start"] + SCOPE
+    # Parts that reach the same bin are less than a bin apart.
+    near = (
+        F.when(bins["other_bin"] < weak["bin"], bins["last"] >= weak["start"] - SCOPE)
+        .when(bins["other_bin"] > weak["end_bin"], bins["first"] <= weak["end"] + SCOPE)
+        .otherwise(F.lit(True))
     )
     same = [weak[c] == bins[c] for c in ("row_key", "other", "other_bin")]
     on = same[0] & same[1] & same[2] & near

@@ -80,6 +80,39 @@ def test_matches_brute_force_on_the_test_table(sf_docs):
         assert spans(r["finds"]) == sorted(base(rows[r["doc_id"]]) + weak(rows[r["doc_id"]]))
 
 
+def weak_by_gap(text):
+    """The linking rule by the gap between two parts, pair by pair."""
+    strong = base(text)
+    parts = [(a, b, k) for a, _, k, b in strong]
+    for kind, pattern, _, least in S.WEAK:
+        for m in re.finditer(pattern, text, re.A):
+            ok = kind != "key" or all(re.search(c, m[0]) for c in ("[A-Z]", "[a-z]", "[0-9]"))
+            if ok and len(m[0]) >= least and not any(a <= m.start() and m.end() <= b for a, _, _, b in strong):
+                parts.append((m.start(), m.end(), kind))
+    out = set()
+    for a, b, kind in parts:
+        near = {S.ROLE[k] for x, y, k in parts if x - b <= S.SCOPE and a - y <= S.SCOPE}
+        if kind not in S.BASE_KINDS and near & set(S.COMPLEMENTS[S.ROLE[kind]]):
+            out.add((a, S.KINDS.index(kind), kind, b))
+    return sorted(out)
+
+
+def test_long_parts_are_linked_by_the_gap_between_them(table):
+    key, url, ident = "aB3" * 83 + "x", "https://host.example/" + "p/" * 150 + "?sig=1", "client_id = my.name"
+    texts = [f"{key} {ident}", f"{ident} {key}", f"{url} {KEY}", f"{KEY} {url}", f"{'aB3' * 4000} {ident} {'.' * 300} {KEY}"]
+    linked = len(texts)
+    texts += [f"{key} {'. ' * 150}{ident}", f"{url} {'. ' * 150}{KEY}", f"{key}", f"{url}"]
+    for left, right in ((key, ident), (KEY, url), (ident, KEY), (url, key)):
+        texts += [f"{'é ' * lead}{left}{' ' * gap}{right}" for lead in (0, 37, 99) for gap in (1, 199, 200, 201, 202, 399)]
+    df = table(list(enumerate(texts)))
+    got = {r["doc_id"]: spans(r["finds"]) for r in S.secret_report(df).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == sorted(base(t) + weak_by_gap(t)), t
+    assert all(len(got[i]) == 2 for i in range(linked)) and not any(got[i] for i in range(linked, linked + 4))
+    masked = {r["doc_id"]: r["text"] for r in S.redact_secrets(df).collect()}
+    assert masked[0] == masked[1] == masked[2] == masked[3] == f"{S.MASK} {S.MASK}"
+
+
 def test_redaction_keeps_rows_and_the_rest_of_texts(table):
     df = table(ROWS)
     out = S.redact_secrets(df)
