@@ -39,6 +39,7 @@ result. Places count code points, the end is exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -350,25 +351,32 @@ class LicenseModel:
             sentences = (_bare(at + a, line[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
             parts += [f for f in (self.whole(*x) for x in sentences if x) if f]
         # A part that reaches over another family's notice gives way to its own shorter one.
-        within = {f: [x for x in parts if x != f and f.start <= x.start and x.end <= f.end] for f in parts}
-        parts = [
-            f
-            for f, less in within.items()
-            if not any(
-                x.foreign(f.family) and any(y.family == f.family and not y.meets(x) for y in less) for x in less
-            )
-        ]
-        chosen: list[Find] = []
+        parts.sort(key=lambda f: f.start)
+        starts = [f.start for f in parts]
+
+        def reaches_over(f: Find) -> bool:
+            near = parts[bisect_left(starts, f.start) : bisect_left(starts, f.end)]
+            less = [x for x in near if x != f and x.end <= f.end]
+            own = [x for x in less if x.family == f.family]
+            return bool(own) and any(x.foreign(f.family) and not all(x.meets(y) for y in own) for x in less)
+
+        parts = [f for f in parts if not reaches_over(f)]
+        chosen: list[Find] = []  # disjoint, by start
+        starts = []
         for f in sorted(parts, key=lambda f: (-len(f.pairs), f.end - f.start, f.start, f.family)):
-            if not any(f.meets(x) for x in chosen):
-                chosen.append(f)
-        out = []
+            i = bisect_left(starts, f.start)
+            if not any(f.meets(x) for x in chosen[max(i - 1, 0) : i + 1]):
+                chosen.insert(i, f)
+                starts.insert(i, f.start)
+        out, gone = [], set()
         for f in whole:
-            inside = [x for x in chosen if x.meets(f)]
+            near = chosen[max(bisect_left(starts, f.start) - 1, 0) : bisect_left(starts, f.end)]
+            inside = [x for x in near if x.meets(f) and x not in gone]
             others = [x for x in inside if x.foreign(f.family)]
-            chosen = [x for x in chosen if x not in inside or x in others]
+            gone.update(x for x in inside if x not in others)
             alike = [x for x in inside if x.family == f.family]
             out += alike if others and alike else [f]
+        chosen = [x for x in chosen if x not in gone]
         return sorted([*out, *chosen], key=lambda f: (f.start, f.end, f.family))
 
     def find(self, text: str | None) -> tuple[int, list[tuple[int, str, int, float]]]:
