@@ -18,6 +18,7 @@ from mktlens.llm import (
     shards,
     simhash,
     substring_dedup,
+    token_alignment,
     toxicity,
 )
 from mktlens.llm.common import table
@@ -130,3 +131,8 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("finds", span), ",").alias("spans"),
         F.round(F.coalesce(F.array_max("finds.probability"), F.lit(0.0)), 6).alias("probability"),
     )
+
+
+@register
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
