@@ -160,3 +160,57 @@ FROM doc LEFT JOIN found USING (r)
 
 
 SQL["op9_secret_scans"] = _secret_sql()
+
+# crc32 byte by byte: a table of 256 steps of eight bits, then one look-up for
+# each byte of '<doc_id>:<run>' in UTF-8 (letters up to U+00FF: one or two).
+SQL["op12_spelling_variants"] = rf"""
+WITH RECURSIVE step(i, k, c) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END FROM step WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS t FROM step WHERE k = 8
+), run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+  FROM documents
+), each_run AS (
+  SELECT id, w, count(*) AS m FROM run GROUP BY ALL
+), hashed AS (
+  SELECT w, m, xor(CAST(4294967295 AS BIGINT), list_reduce(
+           list_transform(string_split(id || ':' || w, ''), lambda c: CAST(unicode(c) AS BIGINT)),
+           lambda a, u: CASE WHEN u < 128 THEN xor(a >> 8, t[xor(a & 255, u) + 1])
+             ELSE xor(xor(a >> 8, t[xor(a & 255, 195) + 1]) >> 8, t[xor(xor(a >> 8, t[xor(a & 255, 195) + 1]) & 255, u - 64) + 1]) END,
+           CAST(4294967295 AS BIGINT))) AS h
+  FROM each_run, crc
+), word AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, m FROM hashed
+), vocab AS (
+  SELECT word, CAST(sum(m) AS BIGINT) AS n FROM word WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3
+), place AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab
+), blank AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r FROM place
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM blank AS a JOIN blank AS b ON a.i = b.i AND a.l = b.l AND a.r = b.r AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM blank AS a JOIN vocab AS b ON b.word = a.l || a.r
+  UNION
+  SELECT b.word, a.word, a.n FROM blank AS a JOIN vocab AS b ON b.word = a.l || a.r
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS top FROM near GROUP BY word
+), form AS (
+  SELECT v.word, v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+         CASE WHEN top >= 2 * v.n THEN (SELECT min(x.other) FROM near AS x WHERE x.word = v.word AND x.n = top) END AS form,
+         CASE WHEN top >= 2 * v.n THEN top END AS form_n
+  FROM vocab AS v LEFT JOIN best ON v.word = best.word
+), chain(word, goal, depth) AS (
+  SELECT word, word, 0 FROM form
+  UNION ALL
+  SELECT chain.word, form.form, depth + 1 FROM chain JOIN form ON chain.goal = form.word WHERE form.form IS NOT NULL
+), root AS (
+  SELECT word, arg_max(goal, depth) AS root FROM chain GROUP BY word
+)
+SELECT form.word, form, root, n, n_near, form_n FROM form JOIN root ON form.word = root.word
+"""

@@ -17,6 +17,7 @@ from mktlens.llm import (
     sentencepiece_lattice,
     shards,
     simhash,
+    spelling,
     substring_dedup,
     token_alignment,
     toxicity,
@@ -136,3 +137,8 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), drop_every=97)
