@@ -12,6 +12,7 @@ from mktlens.llm import (
     licenses,
     oracle,
     ordinal,
+    pii,
     quality_rules,
     secrets,
     sentencepiece_lattice,
@@ -142,3 +143,16 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"), drop_every=97)
+
+
+@register
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("finds", lambda x: x["base"])
+    count = lambda kind: F.size(F.filter("finds", lambda x: x["base"] & (x["kind"] == kind))).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.col("finds")).alias("spans"),
+    )
