@@ -2,7 +2,7 @@
 
 from mktlens.operators.following import totals_from
 from mktlens.operators.keys import duplicate_key_rows, grain_violations, join_coverage, tracked_keys
-from mktlens.operators.ranking import attach_ranks, rank_desc, rank_desc_window, rank_table
+from mktlens.operators.ranking import attach_ranks, rank_desc, rank_desc_window, rank_rollup, rank_table
 from mktlens.operators.reconcile import check_summary, comparison_table, scalar
 
 __all__ = [
@@ -13,6 +13,7 @@ __all__ = [
     "join_coverage",
     "attach_ranks",
     "rank_desc",
+    "rank_rollup",
     "rank_table",
     "rank_desc_window",
     "scalar",

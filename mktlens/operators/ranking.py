@@ -20,7 +20,9 @@ that whole group into one task. ``rank_desc`` never does either:
    other side is unique per key, so AQE's skew-join split can cut a hot value
    on the input side.
 
-NULL values sort last (``DESC NULLS LAST``) and tie among themselves.
+``rank_rollup`` gives the rank among all rows and the rank within a group from
+one count table. NULL values sort last (``DESC NULLS LAST``) and tie among
+themselves; NULL group keys are a group.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_N, _B, _BEFORE, _TOTAL, _OFF, _RANK = "_rk_n", "_rk_b", "_rk_before", "_rk_total", "_rk_off", "_rk_rank"
+_N, _B, _BEFORE, _TOTAL, _OFF = "_rk_n", "_rk_b", "_rk_before", "_rk_total", "_rk_off"
 
 
 def _buckets(df: DataFrame) -> int:
@@ -38,14 +40,10 @@ def _buckets(df: DataFrame) -> int:
     return max(16, min(512, 2 * parts))
 
 
-def rank_table(df: DataFrame, value: str, out: str, partition_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
-    """One row per distinct (partition_by..., value) with its descending rank ``out``."""
-    keys = list(partition_by)
-    k = buckets or _buckets(df)
+def _bucketed(vc: DataFrame, value: str, k: int) -> DataFrame:
+    """``vc`` (one row per value) with its bucket of the value axis: ``k`` ranges
+    of about as many values, highest first, and one more for NULL."""
     v = F.col(value)
-
-    vc = df.groupBy(*keys, value).agg(F.count("*").alias(_N))
-
     probs = [i / k for i in range(1, k)]
     cuts = (
         vc.where(v.isNotNull())
@@ -53,27 +51,59 @@ def rank_table(df: DataFrame, value: str, out: str, partition_by: Sequence[str]
         .scalar()
     )
     # the cut array is projected first: a subquery may not sit inside a lambda
-    with_cuts = vc.withColumn("_rk_cuts", cuts)
     bucket: Column = F.when(v.isNull(), F.lit(k)).otherwise(
         F.coalesce(F.size(F.filter("_rk_cuts", lambda c: c > v)), F.lit(0))
     )
-    vcb = with_cuts.withColumn(_B, bucket).drop("_rk_cuts")
+    return vc.withColumn("_rk_cuts", cuts).withColumn(_B, bucket).drop("_rk_cuts")
+
 
-    in_bucket = Window.partitionBy(*keys, _B).orderBy(v.desc_nulls_last()).rowsBetween(
+def _ranked(vcb: DataFrame, value: str, keys: Sequence[str], out: str) -> DataFrame:
+    """Adds ``out`` to bucketed counts ``(keys..., value)``: rows of higher
+    buckets of the group, and greater values of the same bucket, plus one."""
+    in_bucket = Window.partitionBy(*keys, _B).orderBy(F.col(value).desc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     vcb = vcb.withColumn(_BEFORE, F.sum(_N).over(in_bucket) - F.col(_N))
-
     totals = vcb.groupBy(*keys, _B).agg(F.sum(_N).alias(_TOTAL))
     higher = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, _B, F.coalesce(F.sum(_TOTAL).over(higher), F.lit(0)).alias(_OFF))
     if not keys:
         # at most K + 1 rows: a proven bound, safe to broadcast
         offsets = F.broadcast(offsets)
+    names = [f"_rk_{i}" for i in range(len(keys))]
+    same = F.col(_B) == F.col("_rk_b2")
+    for c, n in zip(keys, names, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    offsets = offsets.select(*[F.col(c).alias(n) for c, n in zip(keys, names, strict=True)], F.col(_B).alias("_rk_b2"), _OFF)
+    rank = (F.col(_OFF) + F.col(_BEFORE) + 1).cast("int").alias(out)
+    return vcb.join(offsets, same).select(*[c for c in vcb.columns if c != _BEFORE], rank)
 
-    return vcb.join(offsets, [*keys, _B]).select(
-        *keys, value, (F.col(_OFF) + F.col(_BEFORE) + 1).cast("int").alias(out)
-    )
+
+def rank_table(df: DataFrame, value: str, out: str, partition_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """One row per distinct (partition_by..., value) with its descending rank ``out``."""
+    keys = list(partition_by)
+    vc = df.groupBy(*keys, value).agg(F.count("*").alias(_N))
+    return _ranked(_bucketed(vc, value, buckets or _buckets(df)), value, keys, out).select(*keys, value, out)
+
+
+def rank_rollup(
+    df: DataFrame, value: str, overall: str, within: str, partition_by: Sequence[str], buckets: int | None = None
+) -> DataFrame:
+    """One row per distinct (partition_by..., value) with two descending ranks:
+    ``overall`` among all rows and ``within`` among the rows of its group.
+
+    Rows are counted once, by group and value. Those counts are rolled up to the
+    value, which alone is cut into buckets and ranked; the groups' counts take
+    bucket and overall rank over from their value (a third of all groups may
+    share one: that join splits on the side of the groups), so rows need a
+    single join to get both ranks.
+    """
+    keys = list(partition_by)
+    gv = df.groupBy(*keys, value).agg(F.count("*").alias(_N))
+    vt = _bucketed(gv.groupBy(value).agg(F.sum(_N).alias(_N)), value, buckets or _buckets(df))
+    of_value = _ranked(vt, value, [], overall).select(F.col(value).alias("_rk_v"), _B, overall)
+    placed = gv.join(of_value, F.col(value).eqNullSafe(F.col("_rk_v"))).drop("_rk_v")
+    return _ranked(placed, value, keys, within).select(*keys, value, overall, within)
 
 
 def attach_ranks(df: DataFrame, tables: Sequence[tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:

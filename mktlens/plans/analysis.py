@@ -16,8 +16,9 @@ from mktlens.functions import (
     round_double,
     rounded_quotient,
 )
-from mktlens.operators import attach_ranks, rank_table
+from mktlens.operators import attach_ranks, rank_rollup, rank_table
 from mktlens.plans.marts import review_summary
+from mktlens.sources.sinks import materialize
 
 
 def acquisition_channel_quality(m3: DataFrame, m4: DataFrame) -> DataFrame:
@@ -64,8 +65,9 @@ def acquisition_channel_quality(m3: DataFrame, m4: DataFrame) -> DataFrame:
 
 def seller_activation_performance(m4: DataFrame) -> DataFrame:
     """Grain: activated won lead (17 columns) with three ranks (ties share a
-    rank and leave gaps), each by the distributed ``rank_table``: no window
-    takes all rows, or all rows of an origin, into one task."""
+    rank and leave gaps). Both ranks by product value come from one count table
+    and one join; no window takes all rows, or all rows of an origin, into one
+    task."""
     base = m4.where(F.col("is_activated")).select(
         "mql_id",
         "seller_id",
@@ -84,19 +86,14 @@ def seller_activation_performance(m4: DataFrame) -> DataFrame:
         "average_review_score",
         "on_time_delivery_rate_pct",
     )
-    # The rows and the rank tables read one base: the exchange makes it a stage
-    # of its own, which the plan reuses instead of running the lifecycle again.
-    base = base.repartition("mql_id")
+    # Written once: rows, count tables, cut points and offsets all read it, and
+    # each would otherwise carry a copy of the whole lifecycle in its plan.
+    base = materialize(base, "activated-leads")
     pv, n = "post_win_product_value", "post_win_order_count"
-    r = attach_ranks(
-        base,
-        [
-            (rank_table(base, pv, "overall_product_value_rank"), pv, []),
-            (rank_table(base, pv, "origin_product_value_rank", ["origin"]), pv, ["origin"]),
-            (rank_table(base, n, "overall_order_count_rank"), n, []),
-        ],
-    )
-    return r.select(*base.columns, "overall_product_value_rank", "origin_product_value_rank", "overall_order_count_rank")
+    overall, within, orders = "overall_product_value_rank", "origin_product_value_rank", "overall_order_count_rank"
+    by_value = rank_rollup(base, pv, overall, within, ["origin"])
+    r = attach_ranks(base, [(by_value, pv, ["origin"]), (rank_table(base, n, orders), n, [])])
+    return r.select(*base.columns, overall, within, orders)
 
 
 def order_review_base(m1: DataFrame, reviews: DataFrame) -> DataFrame:
