@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mktlens.functions import (
@@ -27,6 +27,7 @@ from mktlens.functions import (
     rounded_quotient,
 )
 from mktlens.functions.status import LATE, NOT_DELIVERED, ON_TIME
+from mktlens.operators import totals_from
 from mktlens.plans.marts import review_summary, seller_daily_activity
 
 
@@ -159,18 +160,53 @@ def kpi_seller(facts: DataFrame, sellers: DataFrame) -> DataFrame:
 def post_win_sales(funnel: DataFrame, facts: DataFrame) -> DataFrame:
     """Order-seller sales on or after the win day of a closed seller, by
     lead origin and purchase month (a seller with two won leads counts under
-    both). Uses the per-(seller, day) activity, so no seller is hot."""
-    won = funnel.where(F.col("is_won")).select(
-        "mql_id", "seller_id", "origin", day_of("won_date").alias("won_day")
-    ).alias("w")
-    d = seller_daily_activity(facts).alias("d")
-    j = won.join(
-        d, (F.col("w.seller_id") == F.col("d.seller_id")) & (F.col("d.purchase_date") >= F.col("w.won_day"))
-    )
-    return j.groupBy(F.col("w.origin").alias("origin"), month_of("d.purchase_date").alias("purchase_month")).agg(
-        F.sum("d.orders").cast("bigint").alias("post_win_orders"),
-        F.sum("d.items").cast("bigint").alias("post_win_items"),
-        F.sum("d.product_value").alias("post_win_product_value"),
+    both).
+
+    No lead is paired with days. In the month of the win a lead gets the running
+    total of its seller's days from the win on (``totals_from``). In a later
+    month all leads of a seller and origin get the same total, so it is taken
+    once and weighted by the leads won in the months before, a running count
+    over the seller's months. Rows grow with leads plus days, and with the
+    (origin, month) pairs of a seller, which are its rows of the result.
+    """
+    won = (
+        funnel.where(F.col("is_won"))
+        .groupBy("seller_id", "origin", day_of("won_date").alias("won_day"))
+        .agg(F.count("*").alias("leads"))
+        .where(F.col("seller_id").isNotNull() & F.col("won_day").isNotNull())
+        .withColumn("month", month_of("won_day"))
+    )
+    sums = ("orders", "items", "product_value")
+    daily = (
+        seller_daily_activity(facts)
+        .where(F.col("seller_id").isNotNull() & F.col("purchase_date").isNotNull())
+        .select("seller_id", month_of("purchase_date").alias("month"), "purchase_date", *sums)
+    )
+    cell = F.struct("seller_id", "month").alias("cell")
+    first = totals_from(won.withColumn("cell", cell), daily.withColumn("cell", cell), "cell", "won_day", "purchase_date", sums)
+    first = first.where(F.col("first_day").isNotNull()).select("origin", "month", "leads", *sums)
+
+    monthly = daily.groupBy("seller_id", "month").agg(*[F.sum(c).alias(c) for c in sums])
+    origins = won.select("seller_id", "origin").distinct()
+    sales = monthly.join(origins, "seller_id").select("seller_id", "origin", "month", F.lit(0).cast("bigint").alias("leads"), *sums)
+    wins = won.groupBy("seller_id", "origin", "month").agg(F.sum("leads").alias("leads"))
+    # A month's sales stand before its wins: they see the leads of earlier months.
+    before = (
+        Window.partitionBy("seller_id", "origin")
+        .orderBy("month", F.col("orders").isNull().asc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    later = (
+        sales.unionByName(wins, allowMissingColumns=True)
+        .withColumn("leads", F.sum("leads").over(before))
+        .where(F.col("orders").isNotNull() & (F.col("leads") > 0))
+        .select("origin", "month", "leads", *sums)
+    )
+    times = F.col("leads")
+    return first.unionByName(later).groupBy("origin", F.col("month").alias("purchase_month")).agg(
+        F.sum(F.col("orders") * times).cast("bigint").alias("post_win_orders"),
+        F.sum(F.col("items") * times).cast("bigint").alias("post_win_items"),
+        F.sum((F.col("product_value") * times).cast("decimal(38,2)")).alias("post_win_product_value"),
     )
 
 

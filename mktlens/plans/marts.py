@@ -27,25 +27,54 @@ from mktlens.functions import (
     string_set_agg,
 )
 from mktlens.functions.status import LATE, ON_TIME
-from mktlens.operators import totals_from
+from mktlens.operators import LEAST_ROWS, split_hot, totals_from
 
 # ------------------------------------------------------------------ M1
 
 
-def order_item_summary(items: DataFrame) -> DataFrame:
+def _summed_items(items: DataFrame) -> DataFrame:
+    """The order summary in two stages. Each item stands twice, under its product
+    (with its measures) and under its seller; rows of one order and id become
+    one, and then the rows of an order are counted and summed."""
+    of_product = F.col("of_product")
+    measures = ("item_price", "freight_value", "item_total_value")
+    twice = items.select("order_id", "product_id", "seller_id", *measures, F.explode(F.array(F.lit(True), F.lit(False))).alias("of_product"))
+    ids = (
+        twice.withColumn("id", F.when(of_product, F.col("product_id")).otherwise(F.col("seller_id")))
+        .groupBy("order_id", "of_product", "id")
+        .agg(F.count("*").alias("n"), *[money_sum(F.when(of_product, F.col(c))).alias(c) for c in measures])
+    )
+    total = lambda c: money_sum(F.when(of_product, F.col(c)))
+    return ids.groupBy("order_id").agg(
+        F.sum(F.when(of_product, F.col("n"))).cast("bigint").alias("item_count"),
+        F.count(F.when(of_product, F.col("id"))).cast("bigint").alias("product_count"),
+        F.count(F.when(~of_product, F.col("id"))).cast("bigint").alias("seller_count"),
+        total("item_price").alias("product_value"),
+        total("freight_value").alias("freight_value"),
+        total("item_total_value").alias("item_total_value"),
+    )
+
+
+def regular_item_summary(items: DataFrame) -> DataFrame:
+    """``order_item_summary`` of orders that one task can read: items travel
+    once, by order; both stages work behind that exchange."""
+    return _summed_items(items.repartition("order_id"))
+
+
+def crowded_item_summary(items: DataFrame) -> DataFrame:
+    """``order_item_summary`` of crowded orders: rows travel by order and id, so
+    an order is spread over all tasks, each of which sends on one row of it."""
+    return _summed_items(items)
+
+
+def order_item_summary(items: DataFrame, least: int = LEAST_ROWS) -> DataFrame:
     """Per order: item rows, distinct products and sellers, money sums.
 
-    The distinct counts are the sizes of sets, which combine on the map side
-    like the sums; two COUNT(DISTINCT) in one group would be planned with every
-    item tripled before the exchange."""
-    return items.groupBy("order_id").agg(
-        F.count("*").cast("bigint").alias("item_count"),
-        F.size(F.collect_set("product_id")).cast("bigint").alias("product_count"),
-        F.size(F.collect_set("seller_id")).cast("bigint").alias("seller_count"),
-        money_sum("item_price").alias("product_value"),
-        money_sum("freight_value").alias("freight_value"),
-        money_sum("item_total_value").alias("item_total_value"),
-    )
+    Both distinct counts are exact and hold no set. Orders with a large share of
+    all items (``split_hot``) take the plan that splits them; all others keep
+    the one that moves an item once."""
+    regular, crowded = split_hot(items, "order_id", least)
+    return regular_item_summary(regular).unionByName(crowded_item_summary(crowded))
 
 
 def order_payment_summary(payments: DataFrame) -> DataFrame:
@@ -59,25 +88,35 @@ def order_payment_summary(payments: DataFrame) -> DataFrame:
 
 
 def mart_orders(
-    stg_orders: DataFrame, stg_items: DataFrame, stg_payments: DataFrame, customers: DataFrame
+    stg_orders: DataFrame,
+    stg_items: DataFrame,
+    stg_payments: DataFrame,
+    customers: DataFrame,
+    least: int = LEAST_ROWS,
 ) -> DataFrame:
     """Grain: order_id (23 columns).
 
     Orders meet customers first, while the row is still narrow; the joined
-    rows are then shuffled once on order_id, where both summaries already sit
-    hash-partitioned by their own aggregation, so they join without another
-    exchange.
+    rows are then shuffled once on order_id, where the summaries of regular
+    orders already sit hash-partitioned by their own aggregation, so they join
+    without another exchange. The summaries of crowded orders are at most
+    ``MOST_HOT`` rows and are broadcast.
     """
     o = stg_orders.alias("o")
     c = customers.select(
         F.col("customer_id").alias("c_customer_id"), "customer_unique_id", "customer_city", "customer_state"
     )
     oc = o.join(c, F.col("o.customer_id") == F.col("c_customer_id"), "left")
-    i = order_item_summary(stg_items).alias("i")
+    regular, crowded = split_hot(stg_items, "order_id", least)
+    i = regular_item_summary(regular).alias("i")
+    h = F.broadcast(crowded_item_summary(crowded)).alias("h")
     p = order_payment_summary(stg_payments).alias("p")
-    j = oc.join(i, F.col("o.order_id") == F.col("i.order_id"), "left").join(
-        p, F.col("o.order_id") == F.col("p.order_id"), "left"
+    j = (
+        oc.join(i, F.col("o.order_id") == F.col("i.order_id"), "left")
+        .join(p, F.col("o.order_id") == F.col("p.order_id"), "left")
+        .join(h, F.col("o.order_id") == F.col("h.order_id"), "left")
     )
+    of_items = lambda c: F.coalesce(F.col(f"i.{c}"), F.col(f"h.{c}"), F.lit(0)).alias(c)
     zero = F.lit(0)
     return j.select(
         F.col("o.order_id").alias("order_id"),
@@ -91,12 +130,12 @@ def mart_orders(
         F.col("o.order_purchase_timestamp").alias("order_purchase_timestamp"),
         F.col("o.order_delivered_customer_date").alias("order_delivered_customer_date"),
         F.col("o.order_estimated_delivery_date").alias("order_estimated_delivery_date"),
-        F.coalesce(F.col("i.item_count"), zero).alias("item_count"),
-        F.coalesce(F.col("i.product_count"), zero).alias("product_count"),
-        F.coalesce(F.col("i.seller_count"), zero).alias("seller_count"),
-        F.coalesce(F.col("i.product_value"), zero).alias("product_value"),
-        F.coalesce(F.col("i.freight_value"), zero).alias("freight_value"),
-        F.coalesce(F.col("i.item_total_value"), zero).alias("item_total_value"),
+        of_items("item_count"),
+        of_items("product_count"),
+        of_items("seller_count"),
+        of_items("product_value"),
+        of_items("freight_value"),
+        of_items("item_total_value"),
         F.coalesce(F.col("p.payment_record_count"), zero).alias("payment_record_count"),
         F.col("p.payment_types").alias("payment_types"),
         F.col("p.maximum_installments").alias("maximum_installments"),
@@ -142,9 +181,10 @@ def order_seller_summary(stg_items: DataFrame, products: DataFrame, translation:
     """Per (order, seller): items, distinct products, money, sorted categories.
 
     Items meet the product's category on the raw product id (a product without
-    one is ``unknown``) and travel once, by order: the groups are nearly the
-    item rows themselves, so combining them before the exchange would gain
-    nothing, and the joins on the order that follow need no further exchange.
+    one is ``unknown``). The distinct count is planned in two stages: items
+    travel once, by order, seller and product, combined where they are read;
+    what is left of a pair is combined again before it travels by its own key.
+    A pair or an order with a third of all items is spread over all tasks.
     """
     c = product_categories(products, translation)
     items = stg_items.join(c, stg_items["product_id"] == c["p_product_id"], "left").select(
@@ -156,9 +196,9 @@ def order_seller_summary(stg_items: DataFrame, products: DataFrame, translation:
         "item_total_value",
         F.coalesce("category", F.lit("unknown")).alias("category"),
     )
-    return items.repartition("order_id").groupBy("order_id", "seller_id").agg(
+    return items.groupBy("order_id", "seller_id").agg(
         *_pair_sums(),
-        F.size(F.collect_set("product_id")).cast("bigint").alias("product_count"),
+        F.count_distinct("product_id").cast("bigint").alias("product_count"),
         string_set_agg("category").alias("product_categories"),
     )
 
@@ -166,13 +206,10 @@ def order_seller_summary(stg_items: DataFrame, products: DataFrame, translation:
 def order_seller_facts(stg_items: DataFrame, stg_orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """The measures of ``mart_order_seller`` without its dimensions: what the
     seller lifecycle and the seller KPIs need of it, one row per (order,
-    seller). No products, categories or sellers are read."""
-    pairs = (
-        stg_items.select("order_id", "seller_id", "item_price", "freight_value", "item_total_value")
-        .repartition("order_id")
-        .groupBy("order_id", "seller_id")
-        .agg(*_pair_sums())
-    )
+    seller). No products, categories or sellers are read. Items are combined
+    where they are read and travel once, by order and seller; the pairs of an
+    order meet it by a join, whose skew adaptive execution splits."""
+    pairs = stg_items.groupBy("order_id", "seller_id").agg(*_pair_sums())
     o = stg_orders.select(
         "order_id",
         "purchase_date",

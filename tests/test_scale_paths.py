@@ -92,19 +92,28 @@ def _exchanges(plan, *columns):
 
 
 def test_plans_at_scale(spark):
-    """With nothing broadcast: no row is tripled, items travel once by order,
-    never by category, and a hot seller is combined before its exchange."""
+    """With nothing broadcast: items travel once by order (or spread, if the
+    order is crowded), never by category, and hot sellers are combined before
+    their exchange. No set of ids is held anywhere."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         w = Warehouse.at(spark, SF)
-        m1, m2 = _plan(w.mart_orders), _plan(w.mart_order_seller)
-        assert "Expand" not in m1 and "SinglePartition" not in m1
-        assert "Expand" not in m2.replace("ExpandExec", "")
+        m1 = _plan(w.mart_orders)
+        assert "collect_set(product_id" not in m1 and "collect_set(seller_id" not in m1
+        regular = _plan(marts.regular_item_summary(w.stg_order_items))
+        assert regular.count("Exchange hashpartitioning") == _exchanges(regular, "order_id") == 1
+        assert regular.index("Generate") < regular.index("Exchange")  # items stand twice behind the exchange only
+        crowded = _plan(marts.crowded_item_summary(w.stg_order_items))
+        assert crowded.count("Exchange hashpartitioning") == 2 and _exchanges(crowded, "order_id") == 1
         summary = _plan(marts.order_seller_summary(w.stg_order_items, w.raw["products"], w.raw["product_category_translation"]))
-        assert _exchanges(summary, "order_id") == 1
-        assert not _exchanges(summary, "order_id", "seller_id")
+        assert "Expand" not in summary and "collect_set(product_id" not in summary
+        # an order is spread by seller and product: items met their product, and stay where it is
+        assert not _exchanges(summary, "order_id") and _exchanges(summary, "order_id", "seller_id") == 1
         assert _exchanges(summary, "product_category_name") <= 1  # products, not items
+        facts = _plan(w.order_seller_facts)
+        pairs = facts.index("hashpartitioning(order_id#", 0), facts.index("partial_sum")
+        assert _exchanges(facts, "order_id", "seller_id") == 1 and pairs[0] < pairs[1]  # combined, then by order
         m4 = _plan(w.mart_seller_lifecycle)
         assert "part.parquet" not in m4 and "supplier.parquet, " not in m4 and "p_type" not in m4 and "n_name" not in m4
         daily = _plan(marts.seller_daily_activity(w.order_seller_facts))
@@ -114,6 +123,67 @@ def test_plans_at_scale(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def _crowded(spark):
+    """One order with a third of all items, one with a single seller, and more."""
+    items = []
+    for k in range(900):
+        if k < 300:
+            item = ("hot", f"p{k % 70}", f"s{k % 40}")
+        elif k < 500:
+            item = ("one seller", f"p{k % 30}", "s1")
+        else:
+            item = (f"o{k // 3}", f"p{k % 5}", f"s{k % 2}")
+        order, product, seller = item
+        items.append({"order_id": order, "order_item_id": k, "product_id": product, "seller_id": seller, "price": k / 4, "freight_value": 0.5})
+    items += [{"order_id": "hot", "order_item_id": 1, "product_id": None, "seller_id": "s1", "price": 1.0, "freight_value": 0.0}]
+    orders = [{"order_id": o, "customer_id": "c", "order_purchase_timestamp": dt.datetime(2020, 1, 2, 9)} for o in sorted({i["order_id"] for i in items})]
+    empty = ("order_payments", "order_reviews", "customers", "sellers", "products", "product_category_translation")
+    tables = {"orders": orders, "order_items": items, **{t: [] for t in empty}}
+    return items, Warehouse(Frames(spark, **{t: raw_frame(spark, t, r) for t, r in tables.items()}))
+
+
+def test_a_crowded_order_is_split_and_correct(spark):
+    from mktlens.operators import hot_keys, split_hot
+
+    rows, w = _crowded(spark)
+    items = w.stg_order_items
+    # staging keeps the rows it keeps; the expectation is built from those
+    kept = [r.asDict() for r in items.collect()]
+    assert len(kept) > 800
+    want = {}
+    for r in kept:
+        want.setdefault(r["order_id"], []).append(r)
+    expect = sorted(
+        (
+            o,
+            len(rs),
+            len({r["product_id"] for r in rs} - {None}),
+            len({r["seller_id"] for r in rs} - {None}),
+            sum(r["item_price"] for r in rs),
+        )
+        for o, rs in want.items()
+    )
+    cols = ["order_id", "item_count", "product_count", "seller_count", "product_value"]
+    for least in (100, 10**6):  # two crowded orders, and none
+        regular, crowded = split_hot(items, "order_id", least)
+        assert crowded.select("order_id").distinct().count() == (2 if least == 100 else 0)
+        assert regular.count() + crowded.count() == len(kept)
+        got = marts.order_item_summary(items, least).select(*cols)
+        assert sorted(map(tuple, got.collect())) == expect
+        m1 = marts.mart_orders(w.stg_orders, items, w.stg_order_payments, w.raw["customers"], least)
+        assert sorted(map(tuple, m1.select(*cols).collect())) == expect
+    pairs = {}
+    for r in kept:
+        pairs.setdefault((r["order_id"], r["seller_id"]), []).append(r)
+    got = w.mart_order_seller.select("order_id", "seller_id", "item_count", "product_count", "product_value").collect()
+    assert sorted(map(tuple, got)) == sorted(
+        (*k, len(rs), len({r["product_id"] for r in rs} - {None}), sum(r["item_price"] for r in rs)) for k, rs in pairs.items()
+    )
+    assert hot_keys(items.where("false"), "order_id").count() == 0
+    nulls = items.select(F.lit(None).cast("string").alias("k"))
+    assert split_hot(nulls, "k", 10)[1].count() == nulls.count()
+
+
 def test_build_warehouse_writes_layers_and_passes_gate(spark):
     from mktlens.plans.run import build_warehouse, published
 
