@@ -42,7 +42,6 @@ from __future__ import annotations
 import heapq
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -315,24 +314,36 @@ class Lattices:
         """Probability of avoiding the segmentations ``taken`` (sizes, last
         first) of a chunk, and the probability of each last piece of those
         that do; no term is the difference of nearly equal numbers."""
-        sys.setrecursionlimit(max(sys.getrecursionlimit(), 2 * int(self.lens[chunk]) + 1000))
-        return self._mass(int(self.rank[chunk]), int(self.lens[chunk] - 1), taken)
-
-    def _mass(self, rank: int, end: int, paths: list[tuple[int, ...]]) -> tuple[float, list]:
-        firsts: dict[int, list] = {}
-        for p in paths:
-            firsts.setdefault(p[0], []).append(p[1:])
-        left, total = [], 0.0
-        for size, p in enumerate(self.prob[self.level[end] + rank].tolist(), 1):
-            if p > 0:
-                below, tree = firsts.get(size), None
-                if below is not None:
-                    inner, tree = self._mass(rank, end - size, below) if all(below) else (0.0, None)
-                    p *= inner
+        rank = int(self.rank[chunk])
+        # Places that the taken paths pass, each after the one that leads to it:
+        # (end, paths that share it, their pieces so far).
+        nodes, below = [(int(self.lens[chunk] - 1), list(range(len(taken))), 0)], []
+        for end, shared, depth in nodes:
+            inner: dict[int, int] = {}
+            for i in shared:
+                size = taken[i][depth]
+                if depth + 1 == len(taken[i]):
+                    inner[size] = -1  # the path itself, and nothing else
+                elif size not in inner:
+                    inner[size] = len(nodes)
+                    nodes.append((end - size, [i], depth + 1))
+                else:
+                    nodes[inner[size]][1].append(i)
+            below.append(inner)
+        done: list = [None] * len(nodes)
+        for at in range(len(nodes) - 1, -1, -1):
+            left, total = [], 0.0
+            for size, p in enumerate(self.prob[self.level[nodes[at][0]] + rank].tolist(), 1):
                 if p > 0:
-                    left.append((size, p, tree))
-                    total += p
-        return total, left
+                    node, tree = below[at].get(size), None
+                    if node is not None:
+                        mass, tree = done[node] if node >= 0 else (0.0, None)
+                        p *= mass
+                    if p > 0:
+                        left.append((size, p, tree))
+                        total += p
+            done[at] = (total, left)
+        return done[0]
 
     def sample_rest(self, chunk: int, taken: list[tuple[int, ...]], seed: int):
         """(log_prob, edges, sizes), in text order, of a segmentation drawn

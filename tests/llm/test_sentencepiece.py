@@ -113,3 +113,22 @@ def test_query_and_edges(edges):
     key = lambda r: str((r["doc_id"], r["row_key"], r["sample"], r["ids"][:50]))
     assert sorted(map(key, rows)) == sorted(map(key, again))
     assert S.encode(edges.where("false")).count() == 0
+
+
+def test_a_long_unbroken_text_takes_memory_in_proportion(vocab):
+    """Letters and digits without a space: the walk that avoids the first
+    sample holds each place once, not each place with the path behind it."""
+    import random
+    import tracemalloc
+
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=300_000))
+    peaks = []
+    for n in (75_000, 300_000):
+        tracemalloc.start()
+        (samples,) = S.sample_block(vocab, [text[:n]], [1], 2)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        ids = [S.edge_ids(vocab, e).tolist() for e, *_ in samples]
+        assert ids[0] != ids[1] and all(vocab.decode(i) == text[:n] for i in ids)
+    assert peaks[1] < 5 * peaks[0] and peaks[1] < 1 << 30
