@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mktlens.functions import count_where, day_of, days_between, rounded_quotient
-from mktlens.operators import duplicate_key_rows, join_coverage, totals_from
+from mktlens.operators import coverages, duplicate_key_rows, totals_from
 from mktlens.sources.raw import RawTables
 from mktlens.sources.schemas import KEY_FIELDS, RAW_SCHEMAS, RELATIONSHIPS
 
@@ -80,7 +80,7 @@ def orders_with_multiple_reviews(reviews: DataFrame) -> DataFrame:
 
 def _missing(c: str, dtype: T.DataType) -> F.Column:
     """A value is missing when NULL; for text also when empty."""
-    col = F.col(c)
+    col = F.col("`" + c.replace("`", "``") + "`")
     if isinstance(dtype, T.StringType):
         return col.isNull() | (col == "")
     return col.isNull()
@@ -88,11 +88,17 @@ def _missing(c: str, dtype: T.DataType) -> F.Column:
 
 def null_counts(df: DataFrame, table: str) -> DataFrame:
     """Long form (table_name, column_name, column_position, missing_count):
-    one aggregation pass computes every column, ``stack`` unpivots it."""
+    one aggregation pass computes every column, ``inline`` unpivots it."""
     fields = df.schema.fields
-    agg = df.agg(*[count_where(_missing(f.name, f.dataType)).alias(f"c{i}") for i, f in enumerate(fields)])
-    pairs = ", ".join(f"'{f.name}', {i + 1}L, c{i}" for i, f in enumerate(fields))
-    return agg.selectExpr(f"stack({len(fields)}, {pairs}) AS (column_name, column_position, missing_count)").select(
+    counts = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(i).cast("bigint").alias("column_position"),
+            count_where(_missing(f.name, f.dataType)).alias("missing_count"),
+        )
+        for i, f in enumerate(fields, 1)
+    ]
+    return df.agg(F.array(*counts).alias("rows")).select(F.inline("rows")).select(
         F.lit(table).alias("table_name"), "column_name", "column_position", "missing_count"
     )
 
@@ -172,20 +178,28 @@ def raw_null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def coverage_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Key coverage of the nine declared relationships; a table that is not
-    there is an error (``KeyError``), never a relationship left out."""
-    parts = []
-    for name, lt, lc, rt, rc in RELATIONSHIPS:
-        cov = join_coverage(tables[lt], lc, tables[rt], rc)
-        parts.append(
-            cov.select(
-                F.lit(name).alias("relationship"),
-                F.lit(f"{lt}.{lc}").alias("left_key"),
-                F.lit(f"{rt}.{rc}").alias("right_key"),
-                *cov.columns,
-            )
-        )
-    return _union(parts)
+    """Key coverage of the nine declared relationships, from one exchange of
+    keys; a table that is not there is an error (``KeyError``), never a
+    relationship left out."""
+    return coverages(tables, RELATIONSHIPS)
+
+
+def profile_report(tables: RawTables, sizes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All parts of the source report: ``files`` (one row per table, with
+    ``sizes`` the bytes as well), ``null_counts``, ``join_coverage``, and the
+    activation feasibility in total and by origin. Nothing runs yet."""
+    leads, deals = tables["marketing_qualified_leads"], tables["closed_deals"]
+    items, orders = tables["order_items"], tables["orders"]
+    files = raw_profile(tables)
+    if sizes is not None:
+        files = files.join(sizes.select("table_name", "size_bytes"), "table_name", "left")
+    return {
+        "files": files,
+        "null_counts": raw_null_counts(tables),
+        "join_coverage": coverage_report(tables),
+        "activation": activation_summary(leads, deals, items, orders),
+        "activation_by_origin": activation_by_origin(leads, deals, items, orders),
+    }
 
 
 # ------------------------------------------------------------ F1 - F2
@@ -199,10 +213,11 @@ def _profiler_origin(origin: F.Column) -> F.Column:
 def seller_order_days(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Distinct (seller_id, order_day) for sellers' orders that have a date.
 
-    Reduced to one row per seller and day before any join with deals, so a
-    seller with a third of all orders still contributes a bounded row set.
+    Items meet their order first; what a task has met of a seller and day is one
+    row before it travels. A seller with a third of all orders contributes a
+    bounded row set to any join with deals.
     """
-    so = items.select("seller_id", "order_id").where(F.col("seller_id").isNotNull()).distinct()
+    so = items.select("seller_id", "order_id").where(F.col("seller_id").isNotNull())
     od = orders.select("order_id", day_of("order_purchase_timestamp").alias("order_day")).where(
         F.col("order_day").isNotNull()
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mktlens.operators import check_summary, comparison_table, scalar
@@ -45,6 +47,31 @@ def join_fanout_reconciliation(
     return comparison_table(stg_orders, metrics, FANOUT_TYPE)
 
 
+# Columns whose totals the fan-out checks compare, by view.
+FANOUT_MEASURES = {
+    "stg_order_items": ("item_price", "freight_value"),
+    "stg_order_payments": ("payment_value",),
+    "mart_orders": ("product_value", "freight_value", "payment_value"),
+    "mart_order_seller": ("product_value", "freight_value"),
+}
+
+
+def fanout_of_totals(spark: SparkSession, totals: Mapping[str, Mapping]) -> DataFrame:
+    """``join_fanout_reconciliation`` from totals known already: for every view
+    its ``rows`` and the sums of its ``FANOUT_MEASURES``."""
+    of = lambda view, what: F.lit(totals[view][what])
+    items, m1, m2 = "stg_order_items", "mart_orders", "mart_order_seller"
+    metrics = [
+        ("order_row_count", of("stg_orders", "rows"), of(m1, "rows")),
+        ("order_product_value", of(items, "item_price"), of(m1, "product_value")),
+        ("order_freight_value", of(items, "freight_value"), of(m1, "freight_value")),
+        ("order_payment_value", of("stg_order_payments", "payment_value"), of(m1, "payment_value")),
+        ("order_seller_product_value", of(items, "item_price"), of(m2, "product_value")),
+        ("order_seller_freight_value", of(items, "freight_value"), of(m2, "freight_value")),
+    ]
+    return comparison_table(spark.range(1), metrics, FANOUT_TYPE)
+
+
 def final_kpi_validation(
     raw_orders: DataFrame,
     raw_leads: DataFrame,

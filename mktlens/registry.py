@@ -772,12 +772,43 @@ def q_source_files(spark, sf):
     return S.file_inventory(spark, sf, TEST_TABLES)
 
 
-@register("file_set_diff")
+@register(
+    "file_set_diff",
+    "SELECT name, CAST(1 AS BIGINT) AS found_count, 'ok' AS status FROM (VALUES "
+    + ", ".join(f"('{n}')" for n in TEST_TABLE_FILES)
+    + ") AS t(name)",
+)
 def q_file_set_diff(spark, sf):
-    """The tables' files as read (a table may be one file or a folder of
-    files) against the expected set."""
-    table_file = F.concat("table_name", F.lit(".parquet")).alias("name")
-    return S.file_set_diff(S.file_inventory(spark, sf, TEST_TABLES).select(table_file).distinct(), TEST_TABLE_FILES)
+    """The table files (or folders) listed below the directory against the
+    expected set."""
+    return S.file_set_diff(S.list_tables(spark, sf), TEST_TABLE_FILES)
+
+
+@register(
+    "find_source",
+    "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{t}.parquet' AS name, count(*) AS row_count FROM {t}" for t in TEST_TABLES
+    ),
+)
+def q_find_source(spark, sf):
+    """Every expected table found by its name below the directory, and read from
+    the place where it was found."""
+    out = None
+    for name, path in S.find_tables(spark, sf, TEST_TABLE_FILES).items():
+        rows = spark.read.parquet(path).agg(F.count("*").cast("bigint").alias("row_count"))
+        part = rows.select(F.lit(name.removesuffix(".parquet")).alias("table_name"), F.lit(name).alias("name"), "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("schema_view", O.select_view("mart_marketing_funnel"))
+def q_schema_view(spark, sf):
+    """The funnel mart written, and read back through a view of its layer's schema."""
+    m3 = wh(spark, sf).mart_marketing_funnel
+    path = S.scratch_path(spark, "schema-view")
+    m3.write.parquet(path)
+    S.create_view(spark, "marts", "mart_marketing_funnel", m3.columns, path)
+    return spark.table("marts.mart_marketing_funnel")
 
 
 @register(

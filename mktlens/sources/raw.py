@@ -140,6 +140,22 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     )
 
 
+def list_tables(spark: SparkSession, root: str, ending: str = ".parquet") -> DataFrame:
+    """The table files below ``root`` as (path, name, size_bytes): what a path
+    has up to its first part with this ending. A folder of that name is one table
+    however many files it holds."""
+    # up to the end of the first part of the path that has the ending
+    cut = F.regexp_extract(F.col("path"), r"^(.*?" + ending.replace(".", r"\.") + r")(?:/.*)?$", 1)
+    return (
+        list_files(spark, root)
+        .withColumn("path", cut)
+        .where(F.col("path") != "")
+        .groupBy("path")
+        .agg(F.sum("size_bytes").cast("bigint").alias("size_bytes"))
+        .select("path", F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("name"), "size_bytes")
+    )
+
+
 def find_source(spark: SparkSession, root: str, name: str) -> str:
     """The single file called ``name`` below ``root``; error on 0 or >1."""
     found = list_files(spark, root, name).select("path").limit(2).collect()
@@ -148,6 +164,27 @@ def find_source(spark: SparkSession, root: str, name: str) -> str:
     return found[0].path
 
 
+def find_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, str]:
+    """``find_source`` for several table files or folders from one listing; at
+    most one row for each name and one more reaches the driver."""
+    names = list(names)
+    listed = list_tables(spark, root).where(F.col("name").isin(names))
+    found = {r["name"]: r for r in listed.groupBy("name").agg(F.count("*").alias("n"), F.min("path").alias("path")).collect()}
+    for name in names:
+        n = found[name]["n"] if name in found else 0
+        if n != 1:
+            raise FileNotFoundError(f"Expected exactly one {name} below {root}; found {n}")
+    return {name: found[name]["path"] for name in names}
+
+
+def require_file_set(found: DataFrame, expected: Iterable[str]) -> None:
+    """Stops a load whose files are not the expected ones, naming those that are
+    missing, extra or there twice."""
+    bad = file_set_diff(found, expected).where(F.col("status") != "ok").orderBy("name").limit(100).collect()
+    if bad:
+        raise FileNotFoundError("file set mismatch: " + ", ".join(f"{r['name']} {r['status']}" for r in bad))
+
+
 def file_set_diff(found: DataFrame, expected: Iterable[str]) -> DataFrame:
     """Compare found file names with the expected set.
 

@@ -37,6 +37,13 @@ def ensure_layer(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def create_view(spark: SparkSession, layer: str, name: str, columns: list[str], path: str) -> None:
+    """``CREATE OR REPLACE VIEW <layer>.<name>`` over a written table."""
+    ensure_layer(spark, layer)
+    listed = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS SELECT {listed} FROM parquet.`{path}`")
+
+
 def register(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """``CREATE OR REPLACE VIEW``: a logical, non-materialised view."""
     df.createOrReplaceTempView(name)
@@ -63,3 +70,12 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
 def write_profile(df: DataFrame, path: str) -> None:
     """JSON-lines sink for profile reports (one object per row)."""
     df.write.mode("overwrite").json(path)
+
+
+def write_report(parts: dict[str, DataFrame], path: str) -> dict[str, str]:
+    """Every part of a report as JSON lines below ``path``, in a folder of its
+    own; returns the folders."""
+    folders = {name: f"{path.rstrip('/')}/{name}" for name in parts}
+    for name, df in parts.items():
+        write_profile(df, folders[name])
+    return folders

@@ -220,3 +220,62 @@ def test_failed_gate_leaves_the_published_tables(spark):
         build_warehouse(spark, src, out)
     assert published(spark, out) == good
     assert spark.read.parquet(published(spark, out)["mart_orders"]).count() == before
+
+
+def test_checks_compare_what_the_writes_observed(spark, monkeypatch):
+    from mktlens.plans import quality, run
+
+    out = tempfile.mkdtemp(prefix="mktlens-observe-")
+    scan = quality.join_fanout_reconciliation
+    want = sorted(map(tuple, Warehouse.at(spark, SF).join_fanout_reconciliation.collect()))
+
+    def no_scan(*tables):
+        raise AssertionError("scanned again")
+
+    monkeypatch.setattr(quality, "join_fanout_reconciliation", no_scan)
+    paths = run.build_warehouse(spark, SF, out)
+    assert sorted(map(tuple, spark.read.parquet(paths["join_fanout_reconciliation"]).collect())) == want
+    w = Warehouse.at(spark, SF)
+    for r in spark.read.parquet(paths["staging_reconciliation"]).collect():
+        assert (r["raw_rows"], r["staging_rows"]) == (w.raw[r["raw_table"]].count(), getattr(w, r["view"]).count())
+    # totals that do not agree are looked up again, and only then believed
+    totals = {v: {"rows": 1, **{c: 1 for c in quality.FANOUT_MEASURES.get(v, ())}} for v in run.GRAINS}
+    totals["mart_orders"] = {**totals["mart_orders"], "rows": 2}
+    monkeypatch.setattr(quality, "join_fanout_reconciliation", scan)
+    assert sorted(map(tuple, run._fanout(spark, w, totals).collect())) == want
+
+
+def test_a_stopped_publication_leaves_the_former_one(spark):
+    from pyspark.sql import DataFrameWriter
+
+    from mktlens.plans.run import POINTER, drop_old_runs, publish, published
+
+    out = tempfile.mkdtemp(prefix="mktlens-pointer-")
+    runs = []
+    for n in range(4):
+        run = os.path.join(out, f"run-{n:032x}")
+        os.makedirs(os.path.join(run, "v"))
+        runs.append({"v": f"{run}/v", "w": f"{run}/w"})
+    assert published(spark, out) == {} and drop_old_runs(spark, out) == []
+    assert publish(spark, out, runs[0]) == 1 and published(spark, out) == runs[0]
+    # stopped before the commit: the folder is there, its file is not
+    os.makedirs(os.path.join(out, POINTER, "version=2", "_temporary", "0"))
+    assert published(spark, out) == runs[0]
+    assert publish(spark, out, runs[1]) == 2 and published(spark, out) == runs[1]
+    real = DataFrameWriter.parquet
+
+    def stopped(self, path, *args, **kwargs):
+        raise KeyboardInterrupt
+
+    DataFrameWriter.parquet = stopped
+    try:
+        publish(spark, out, runs[2])
+    except KeyboardInterrupt:
+        pass
+    finally:
+        DataFrameWriter.parquet = real
+    assert published(spark, out) == runs[1]
+    assert publish(spark, out, runs[2]) == 3 and publish(spark, out, runs[2]) == 4
+    assert drop_old_runs(spark, out, keep=1) == [os.path.dirname(runs[0]["v"]), os.path.dirname(runs[1]["v"])]
+    assert published(spark, out) == runs[2] and os.path.isdir(os.path.dirname(runs[2]["v"]))
+    assert not os.path.exists(runs[0]["v"]) and os.path.isdir(os.path.dirname(runs[3]["v"]))

@@ -166,3 +166,70 @@ def test_every_deal_counts_once_per_row(spark):
     assert r.median_days_to_first_post_win_sale == 6.0
     by = {x.origin: (x.mqls, x.closed_deals, x.post_win_activated_sellers) for x in profiling.activation_by_origin(*frames).collect()}
     assert by == {"a": (2, 2, 2), "unknown": (1, 2, 0)}
+
+
+def test_table_files_and_folders_are_listed_and_required(spark):
+    from mktlens.sources import find_tables, list_tables, require_file_set
+
+    d = tempfile.mkdtemp(prefix="mktlens-tables-")
+    one = spark.range(5)
+    one.coalesce(1).write.parquet(os.path.join(d, "a.parquet"))
+    one.repartition(3).write.parquet(os.path.join(d, "sub", "b.parquet"))
+    one.write.parquet(os.path.join(d, "other", "a.parquet"))
+    with open(os.path.join(d, "note.txt"), "w") as fh:
+        fh.write("x")
+    rows = {(r["name"], r["path"].removeprefix("file:").removeprefix(d + "/")) for r in list_tables(spark, d).collect()}
+    assert rows == {("a.parquet", "a.parquet"), ("a.parquet", "other/a.parquet"), ("b.parquet", "sub/b.parquet")}
+    got = {r["name"]: (r["found_count"], r["status"]) for r in file_set_diff(list_tables(spark, d), ["a.parquet", "c.parquet"]).collect()}
+    assert got == {"a.parquet": (2, "duplicate"), "b.parquet": (1, "extra"), "c.parquet": (0, "missing")}
+    with pytest.raises(FileNotFoundError, match="a.parquet duplicate, b.parquet extra, c.parquet missing"):
+        require_file_set(list_tables(spark, d), ["a.parquet", "c.parquet"])
+    require_file_set(list_tables(spark, os.path.join(d, "sub")), ["b.parquet"])
+    assert spark.read.parquet(find_tables(spark, d, ["b.parquet"])["b.parquet"]).count() == 5
+    for bad in ("a.parquet", "c.parquet"):
+        with pytest.raises(FileNotFoundError, match=bad):
+            find_tables(spark, d, ["b.parquet", bad])
+
+
+def test_coverages_match_pairs(spark):
+    import random
+
+    from mktlens.operators import coverages
+
+    rng = random.Random(9)
+    values = ["", None, *[f"k{i}" for i in range(12)]]
+    tables = {
+        t: spark.createDataFrame([(rng.choice(values), rng.choice(values)) for _ in range(n)], "x string, `y z` string")
+        for t, n in (("a", 40), ("b", 9), ("c", 6), ("d", 0))
+    }
+    relationships = [
+        ("r1", "a", "x", "b", "x"),
+        ("r2", "c", "x", "b", "x"),
+        ("r3", "a", "x", "c", "x"),
+        ("r4", "a", "y z", "c", "y z"),
+        ("r5", "d", "x", "a", "x"),
+        ("r6", "b", "y z", "d", "y z"),
+    ]
+    df = coverages(tables, relationships)
+    got = {r["relationship"]: tuple(r)[1:] for r in df.collect()}
+    for name, lt, lc, rt, rc in relationships:
+        want = join_coverage(tables[lt], f"`{lc}`", tables[rt], f"`{rc}`").first()
+        assert got[name] == (f"{lt}.{lc}", f"{rt}.{rc}", *want)
+    plan = coverages(tables, relationships)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(domain#") == 2 and "Join" not in plan
+
+
+def test_report_of_all_parts(spark):
+    from mktlens.plans.profiling import null_counts, profile_report
+    from mktlens.sources import load_raw, write_report
+
+    sf = "/root/testdata/sf0.001"
+    raw = load_raw(spark, sf)
+    sizes = spark.createDataFrame([(t, 100 + i) for i, t in enumerate(sorted(raw))], "table_name string, size_bytes long")
+    folders = write_report(profile_report(raw, sizes), tempfile.mkdtemp(prefix="mktlens-report-") + "/r")
+    back = {name: spark.read.json(path) for name, path in folders.items()}
+    assert set(back) == {"files", "null_counts", "join_coverage", "activation", "activation_by_origin"}
+    assert {r["table_name"]: r["size_bytes"] for r in back["files"].collect()} == {r[0]: r[1] for r in sizes.collect()}
+    assert back["join_coverage"].count() == 9 and back["activation"].count() == 1
+    odd = spark.createDataFrame([("", 1), (None, None)], "`it's` string, `a``b.c` int")
+    assert [tuple(r) for r in null_counts(odd, "t").collect()] == [("t", "it's", 1, 2), ("t", "a`b.c", 2, 1)]
