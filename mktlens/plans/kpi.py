@@ -96,6 +96,81 @@ def kpi_monthly(
     )
 
 
+def kpi_contexts(
+    m1: DataFrame,
+    stg_items: DataFrame,
+    reviews: DataFrame,
+    dims: Sequence[str] = ("purchase_month", "customer_state"),
+    contexts: Sequence[Sequence[str]] = (("purchase_month", "customer_state"), ("purchase_month",), ("customer_state",), ()),
+) -> DataFrame:
+    """The measures of ``kpi_monthly`` in several filter contexts at once, as
+    (context, dims..., measures): ``context`` names the columns that a row is
+    for, ``total`` for none; the other dims are NULL.
+
+    Orders are read once, into the states of the finest cells (counts, sums of
+    money and of scores), which are additive; grouping sets roll those few rows
+    up. Active sellers are not additive: each distinct (cell, seller) is rolled
+    up to the contexts, made distinct there and counted, in two stages, so a
+    month with a third of all sellers is no single row's set.
+    """
+    dims = list(dims)
+    full = (1 << len(dims)) - 1
+    number = {c: full - sum(1 << (len(dims) - 1 - dims.index(d)) for d in c) for c in map(tuple, contexts)}
+    context = F.coalesce(*[F.when(F.col("_set") == n, F.lit(", ".join(c) or "total")) for c, n in number.items()])
+    r = review_summary(reviews, rounded=False).select("order_id", F.col("average_review_score").alias("score"))
+    status, score = F.col("delivery_status"), F.col("score")
+    cells = (
+        m1.join(r, "order_id", "left")
+        .groupBy(*dims)
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if(F.col("item_count") > 0).alias("with_items"),
+            F.sum("product_value").alias("gmv"),
+            F.count_if(status != NOT_DELIVERED).alias("delivered"),
+            F.count_if(status == ON_TIME).alias("on_time"),
+            F.count_if(status == LATE).alias("late"),
+            F.count(score).alias("reviewed"),
+            F.sum(score.cast("decimal(20,12)")).alias("scores"),
+        )
+    )
+    total = lambda c: F.sum(c).cast("bigint")
+    rolled = cells.groupingSets([[F.col(d) for d in c] for c in contexts], *dims).agg(
+        F.grouping_id().cast("int").alias("_set"),
+        total("n").alias("order_count"),
+        total("with_items").alias("orders_with_items"),
+        F.sum("gmv").alias("product_gmv"),
+        rounded_quotient(cents(F.sum("gmv")), F.sum("n") * 100).alias("aov"),
+        total("delivered").alias("delivered_orders"),
+        total("on_time").alias("on_time_orders"),
+        total("late").alias("late_orders"),
+        pct(F.sum("on_time"), F.sum("on_time") + F.sum("late")).alias("on_time_rate_pct"),
+        total("reviewed").alias("reviewed_orders"),
+        F.when(F.sum("reviewed") > 0, round_double(F.sum("scores").cast("double") / F.sum("reviewed"))).alias(
+            "average_review_score"
+        ),
+    )
+    sold = stg_items.select("order_id", "seller_id").join(m1.select("order_id", *dims), "order_id").select(*dims, "seller_id")
+    sellers = (
+        sold.where(F.col("seller_id").isNotNull())
+        .distinct()
+        .groupingSets([[*[F.col(d) for d in c], F.col("seller_id")] for c in contexts], *dims, "seller_id")
+        .agg(F.shiftright(F.grouping_id(), 1).cast("int").alias("_of"))
+        .groupBy("_of", *[F.col(d).alias(f"_{d}") for d in dims])
+        .agg(F.count("*").alias("active_sellers"))
+    )
+    same = reduce(and_, [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in dims], F.col("_set") == F.col("_of"))
+    return rolled.join(sellers, same, "left").select(
+        context.alias("context"),
+        *dims,
+        "order_count",
+        "orders_with_items",
+        "product_gmv",
+        "aov",
+        F.coalesce("active_sellers", F.lit(0)).cast("bigint").alias("active_sellers"),
+        *[c for c in rolled.columns[rolled.columns.index("delivered_orders") :]],
+    )
+
+
 def kpi_channel(funnel: DataFrame, m4: DataFrame, dims: Sequence[str] = ("origin",)) -> DataFrame:
     """Leads, won leads, activated sellers and the two conversion rates."""
     dims = list(dims)

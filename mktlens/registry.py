@@ -595,6 +595,44 @@ def q_kpi_monthly_by_state(spark, sf):
     return k.select(*by, "order_count", "product_gmv", "aov", "active_sellers")
 
 
+def _context_sql(columns: tuple[str, ...]) -> str:
+    shown = ", ".join(f"o.{c} AS {c}" if c in columns else f"NULL AS {c}" for c in ("purchase_month", "customer_state"))
+    grouped = "GROUP BY " + ", ".join(f"o.{c}" for c in columns) if columns else "HAVING count(*) > 0"
+    return f"""SELECT '{", ".join(columns) or "total"}' AS context, {shown}, count(DISTINCT o.order_id) AS order_count,
+  count(DISTINCT CASE WHEN o.item_count > 0 THEN o.order_id END) AS orders_with_items,
+  CAST(sum(CASE WHEN o.first THEN o.product_value END) AS DOUBLE) AS product_gmv,
+  {O.rq('CAST(round(sum(CASE WHEN o.first THEN o.product_value END) * 100) AS BIGINT)', '(count(DISTINCT o.order_id) * 100)')} AS aov,
+  count(DISTINCT o.seller_id) AS active_sellers,
+  count_if(o.first AND o.delivery_status <> 'not_delivered') AS delivered_orders,
+  count_if(o.first AND o.delivery_status = 'on_time') AS on_time_orders, count_if(o.first AND o.delivery_status = 'late') AS late_orders,
+  {O.pct("count_if(o.first AND o.delivery_status = 'on_time')", "count_if(o.first AND o.delivery_status IN ('on_time', 'late'))")} AS on_time_rate_pct,
+  count_if(o.first AND o.score IS NOT NULL) AS reviewed_orders,
+  {O.round_d('avg(CASE WHEN o.first THEN o.score END)')} AS average_review_score
+FROM sold AS o {grouped}"""
+
+
+@register(
+    "kpi_contexts",
+    O.with_views(
+        ("mart_orders", "stg_order_items", "review_summary_raw"),
+        """WITH sold AS (
+  SELECT m.*, r.average_review_score AS score, i.seller_id,
+         row_number() OVER (PARTITION BY m.order_id ORDER BY i.seller_id) = 1 AS first
+  FROM mart_orders AS m LEFT JOIN review_summary_raw AS r ON m.order_id = r.order_id
+  LEFT JOIN (SELECT DISTINCT order_id, seller_id FROM stg_order_items) AS i ON m.order_id = i.order_id
+)
+"""
+        + "\nUNION ALL\n".join(
+            _context_sql(c) for c in (("purchase_month", "customer_state"), ("purchase_month",), ("customer_state",), ())
+        ),
+    ),
+)
+def q_kpi_contexts(spark, sf):
+    """Month and state, month, state and total rows together."""
+    w = wh(spark, sf)
+    return kpi.kpi_contexts(w.mart_orders, w.stg_order_items, w.raw["order_reviews"])
+
+
 @register(
     "kpi_channel",
     O.with_views(
