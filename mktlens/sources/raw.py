@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mktlens.sources import adapters
+from mktlens.sources.csv_records import csv_records
 from mktlens.sources.schemas import RAW_SCHEMAS
 
 
@@ -102,21 +104,48 @@ CSV_OPTIONS = {
 READ_TIMESTAMP = "yyyy-MM-dd['T'][ ]HH:mm:ss[.SSSSSS][.SSS]"
 
 
+MOST_HEADERS = 100
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read raw CSV exports.
 
-    ``multiLine`` keeps a quoted line break inside its field (the file is then
-    split per file, not per block); the header is matched by name so a
-    reordered file still binds columns correctly. An empty field, quoted or
-    not, reads as NULL; every consumer treats NULL and blank text alike. A
-    value that does not parse as its column's type stops the read: as NULL it
-    would drop its row unseen in staging.
+    With a schema, files are read in splits and records cut in parallel
+    (``csv_records``), quoted line breaks kept; the header of each file is
+    matched by name, so a reordered file still binds its columns, a column that
+    the contract lacks is left out and one that a file lacks is an error. An
+    empty field, quoted or not, reads as NULL; every consumer treats NULL and
+    blank text alike. A value that does not parse as its column's type, or a
+    record of another width, stops the read: as NULL it would drop its row
+    unseen in staging. The distinct headers (at most ``MOST_HEADERS``) reach the
+    driver. Without a schema Spark infers one, a file per task.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", True).option("enforceSchema", False)
-    reader = reader.options(mode="FAILFAST", timestampNTZFormat=READ_TIMESTAMP)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        reader = spark.read.options(**CSV_OPTIONS).option("multiLine", True).option("enforceSchema", False)
+        return reader.options(mode="FAILFAST", timestampNTZFormat=READ_TIMESTAMP).csv(path)
+    records = csv_records(spark, path)
+    files = records.where("is_first").select(F.col("file").alias("_file"), F.col("record").alias("_header"))
+    headers = [r["_header"] for r in files.select("_header").distinct().limit(MOST_HEADERS + 1).collect()]
+    if len(headers) > MOST_HEADERS:
+        raise ValueError(f"{path} has over {MOST_HEADERS} different headers")
+    if not headers:
+        return spark.createDataFrame([], schema)
+    data = records.where(~F.col("is_first"))
+    if len(headers) > 1:
+        data = data.join(files, F.col("file") == F.col("_file"))
+    options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "encoding")}
+    options |= {"mode": "FAILFAST", "timestampNTZFormat": READ_TIMESTAMP}
+    parsed = None
+    for header in headers:
+        names = next(csv.reader([header], quotechar='"', doublequote=True))
+        absent = [f.name for f in schema.fields if f.name not in names]
+        if absent:
+            raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
+        found = T.StructType([schema[n] if n in schema.names else T.StructField(n, T.StringType()) for n in names])
+        row = F.from_csv("record", F.lit(found.toDDL()), options)
+        row = F.struct(*[row[f.name].alias(f.name) for f in schema.fields])
+        parsed = row if parsed is None else F.when(F.col("_header") == header, row).otherwise(parsed)
+    return data.select(parsed.alias("r")).select("r.*")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -233,3 +233,64 @@ def test_report_of_all_parts(spark):
     assert back["join_coverage"].count() == 9 and back["activation"].count() == 1
     odd = spark.createDataFrame([("", 1), (None, None)], "`it's` string, `a``b.c` int")
     assert [tuple(r) for r in null_counts(odd, "t").collect()] == [("t", "it's", 1, 2), ("t", "a`b.c", 2, 1)]
+
+
+@pytest.mark.parametrize("split", [7, 64, 1 << 20])
+def test_records_are_cut_alike_in_any_splits(spark, split):
+    """Quoted line breaks, doubled quotes, blank lines and fields longer than a
+    split, against the standard library's reader of the whole file."""
+    import csv
+    import io
+    import random
+
+    from pyspark.sql import types as T
+
+    from mktlens.sources.csv_records import csv_records
+
+    rng = random.Random(split)
+    d = tempfile.mkdtemp(prefix="mktlens-split-")
+    fields = ["plain", 'say ""hi""', "two\nlines", "a,b", "", "\n\n", 'x"y', "é日本😀", "\r\n", "long " * 30, " kept "]
+    want = []
+    for n in range(3):
+        rows = [[f"{n}-{i}", rng.choice(fields), rng.choice(fields)] for i in range(25)]
+        want += [tuple(x or None for x in r) for r in rows]
+        text = io.StringIO()
+        order = [0, 1, 2] if n != 1 else [2, 0, 1]
+        names = ["k", "a", "b"]
+        writer = csv.writer(text, lineterminator="\r\n" if n == 2 else "\n")
+        writer.writerow([names[i] for i in order])
+        writer.writerows([[r[i] for i in order] for r in rows])
+        with open(os.path.join(d, f"{n}.csv"), "w", encoding="utf-8-sig" if n else "utf-8", newline="") as fh:
+            fh.write(text.getvalue() + ("\n" if n == 0 else ""))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in "kab"])
+        got = read_csv(spark, d, schema)
+        records = csv_records(spark, d)
+        assert records.count() == 78 and records.where("is_first").count() == 3
+        if split == 64:
+            lines = spark.read.option("lineSep", "\n").text(os.path.join(d, "0.csv"))
+            assert lines.rdd.getNumPartitions() > 10
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_csv_headers(spark):
+    from pyspark.sql import types as T
+
+    d = tempfile.mkdtemp(prefix="mktlens-head-")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    with open(os.path.join(d, "1.csv"), "w") as fh:
+        fh.write("b,other,a\nx,?,1\n")
+    assert [tuple(r) for r in read_csv(spark, d, schema).collect()] == [(1, "x")]
+    with open(os.path.join(d, "2.csv"), "w") as fh:
+        fh.write("a,c\n1,2\n")
+    with pytest.raises(ValueError, match="lacks the columns b"):
+        read_csv(spark, d, schema)
+    empty = tempfile.mkdtemp(prefix="mktlens-head-")
+    open(os.path.join(empty, "1.csv"), "w").close()
+    assert read_csv(spark, empty, schema).count() == 0
