@@ -6,8 +6,9 @@ so a rule set is changed without touching code. Only built-in functions are
 used; a document is judged within its own row, so there is no shuffle.
 
 Defined results: null text has no words and fails; empty, blank and very long
-texts are judged whole; repeated rows are judged alike; columns of the input
-are kept and win no name clash, because all working columns carry a prefix.
+texts are judged whole; repeated rows are judged alike. Columns of the input are
+kept under any name: rules work on columns named by their place. Only a name of
+``RESULTS`` in the input of ``quality_rules`` is an error.
 """
 
 from __future__ import annotations
@@ -144,21 +145,37 @@ def verdict(measures: Column, rules=RULES) -> Column:
     return ~measures["base_failed"] & (F.size(failed_rules(measures, rules)) == 0)
 
 
+RESULTS = ("quality", "quality_failed", "quality_kept")
+
+
+def _by_place(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with its columns named by their place, so that none can have the
+    name of a working column, and what the text column is called then."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text = docs.select(text_col).columns[0].lower()
+    return docs.toDF(*names), names[[c.lower() for c in docs.columns].index(text)]
+
+
 def quality_rules(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     """``docs`` plus ``quality`` (measures), ``quality_failed`` (broken rules)
-    and ``quality_kept``."""
+    and ``quality_kept``; an input that has one of these columns already is an
+    error that names it."""
+    taken = sorted(set(RESULTS) & {c.lower() for c in docs.columns})
+    if taken:
+        raise ValueError(f"the table already has columns named {', '.join(taken)}")
+    inner, text = _by_place(docs, text_col)
     m = F.col("_quality")
-    return measure(docs, text_col).withColumns(
-        {"quality_failed": failed_rules(m, rules), "quality_kept": verdict(m, rules)}
-    ).withColumnRenamed("_quality", "quality")
+    judged = measure(inner, text).withColumns({"_failed": failed_rules(m, rules), "_kept": verdict(m, rules)})
+    return judged.select(*inner.columns, "_quality", "_failed", "_kept").toDF(*docs.columns, *RESULTS)
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
-    """The rows that pass, with the columns of the input.
+    """The rows that pass, with the columns of the input, whatever their names.
 
     The verdict passes through a one-element explode: a filter straight on it
     would be moved under the columns it is made of and evaluate them anew."""
-    judged = measure(docs, text_col).select(
-        *docs.columns, F.explode_outer(F.array(verdict(F.col("_quality"), rules))).alias("_q_kept")
+    inner, text = _by_place(docs, text_col)
+    judged = measure(inner, text).select(
+        *inner.columns, F.explode_outer(F.array(verdict(F.col("_quality"), rules))).alias("_q_kept")
     )
-    return judged.where("_q_kept").select(*docs.columns)
+    return judged.where("_q_kept").select(*inner.columns).toDF(*docs.columns)

@@ -1,6 +1,6 @@
 import re
 
-from llm_fixtures import EDGES, edges, table  # noqa: F401
+from llm_fixtures import EDGES, edges, sf_docs, table  # noqa: F401
 
 from mktlens.llm import quality_rules as Q
 
@@ -78,3 +78,20 @@ def test_empty_table(edges):
 def test_filter_stays_above_the_measures(edges):
     plan = Q.keep_quality(edges)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") <= 2 * 2  # words and lines, each made once, shown with its alias
+
+
+def test_names_of_results_and_working_columns(sf_docs):
+    import pytest
+
+    own = ("_q_n", "_q_words", "_q_lines", "_q_repeat", "_q_kept", "_quality", "c0", "c1")
+    named = sf_docs.selectExpr("doc_id AS _q_n", "text AS c0", *[f"'{c}' AS {c}" for c in own if c not in ("_q_n", "c0")])
+    want = {r["doc_id"]: r["quality_kept"] for r in Q.quality_rules(sf_docs).collect()}
+    got = Q.quality_rules(named, text_col="C0")
+    assert got.columns == [*named.columns, *Q.RESULTS]
+    assert {r["_q_n"]: r["quality_kept"] for r in got.collect()} == want
+    assert all(r["_q_words"] == "_q_words" and r["_quality"] == "_quality" for r in got.collect())
+    with_results = named.selectExpr("*", "1 AS quality", "2 AS quality_kept")
+    kept = Q.keep_quality(with_results, text_col="c0")
+    assert kept.columns == with_results.columns and {r["_q_n"] for r in kept.collect()} == {i for i, k in want.items() if k}
+    with pytest.raises(ValueError, match="quality, quality_kept"):
+        Q.quality_rules(with_results, text_col="c0")
