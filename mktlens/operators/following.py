@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 
 def totals_from(
-    points: DataFrame, daily: DataFrame, key: str, at: str, day: str, sums: Sequence[str]
+    points: DataFrame, daily: DataFrame, key: str, at: str, day: str, sums: Sequence[str], least: bool = True
 ) -> DataFrame:
     """``points`` plus, over the daily rows of the same key with day >= at:
-    the sum of each column of ``sums`` and ``first_day``; plus ``least_day``,
-    the key's first day of all. NULL where there is no such row, and for a
-    point without a key; a point without a time has no following days.
+    the sum of each column of ``sums`` and ``first_day``; with ``least`` also
+    ``least_day``, the key's first day of all. NULL where there is no such row,
+    and for a point without a key; a point without a time has no following days.
+    The rows of a key take one pass in order of time, on disk if they are many.
 
     ``daily`` has at most one row per key and day; rows without either are
     left out. Columns of ``points`` are kept in one struct meanwhile.
@@ -41,8 +42,13 @@ def totals_from(
         "_point",
         *[F.when(timed, F.sum(f"_{c}").over(upto)).alias(c) for c in sums],
         F.when(timed, F.min("_day").over(upto)).alias("first_day"),
-        F.min("_day").over(Window.partitionBy("_key")).alias("least_day"),
+        "_key",
     ).where(F.col("_point").isNotNull())
-    out = seen.select("_point.*", *sums, "first_day", "least_day")
+    shown = ["first_day"]
+    if least:
+        days = rows.groupBy(F.col("_key").alias("_of")).agg(F.min("_day").alias("least_day"))
+        seen = seen.join(days, F.col("_key") == F.col("_of"), "left")
+        shown.append("least_day")
+    out = seen.select("_point.*", *sums, *shown)
     keyless = points.where(F.col(key).isNull())
     return out.unionByName(keyless, allowMissingColumns=True)

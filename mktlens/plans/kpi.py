@@ -258,7 +258,7 @@ def post_win_sales(funnel: DataFrame, facts: DataFrame) -> DataFrame:
         .select("seller_id", month_of("purchase_date").alias("month"), "purchase_date", *sums)
     )
     cell = F.struct("seller_id", "month").alias("cell")
-    first = totals_from(won.withColumn("cell", cell), daily.withColumn("cell", cell), "cell", "won_day", "purchase_date", sums)
+    first = totals_from(won.withColumn("cell", cell), daily.withColumn("cell", cell), "cell", "won_day", "purchase_date", sums, least=False)
     first = first.where(F.col("first_day").isNotNull()).select("origin", "month", "leads", *sums)
 
     monthly = daily.groupBy("seller_id", "month").agg(*[F.sum(c).alias(c) for c in sums])

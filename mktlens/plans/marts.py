@@ -352,7 +352,7 @@ def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
         .agg(F.count("*").cast("bigint").alias("m"))
     )
     sums = ["orders", "items", "product_value", "freight_value", "score_hundredths", "scored_rows", "on_time", "late"]
-    per_window = totals_from(won, seller_daily_activity(order_seller), "seller_id", "won_day", "purchase_date", sums)
+    per_window = totals_from(won, seller_daily_activity(order_seller), "seller_id", "won_day", "purchase_date", sums, least=False)
     m = F.col("m")
     zero = F.lit(0).cast("bigint")
     # COUNT and COUNTIF are 0 over no matching rows; SUM, MIN and AVG are NULL
