@@ -8,6 +8,8 @@ bounded sample of labelled texts, so a misspelt word that training never saw
 still gets most of its n-grams' weight. Training starts from n-grams that stand
 out among toxic texts and stops where a held-out part of the sample is
 predicted best, so a few hundred labels do not lead to learning single texts.
+Only passes that moved the bucket vectors are judged; ``SubwordModel.passes``
+says how many of them the kept model had.
 
 Scoring runs in Spark tasks. As everything after the buckets is linear, a word
 contributes one number, which a task keeps for words met again; that cache is
@@ -75,6 +77,7 @@ class SubwordModel:
 
     weights: np.ndarray
     bias: float
+    passes: int = 0  # joint passes that the kept weights had; 0 if untrained
 
     def word(self, word: str) -> float:
         return float(self.weights[subwords(word, buckets=len(self.weights))].mean())
@@ -232,18 +235,19 @@ def train(
                 second[i] += 0.001 * (g * g - second[i])
                 q -= RATES[i] * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
         odds = (embed @ (soft[:, 1] - soft[:, 0])) * SCALE
+        joint = epoch + 1 - WARM
         if judge is None:
-            kept = (odds, float(bias[1] - bias[0]), 1.0, prior)
-        elif epoch >= WARM - 1:
+            kept = (odds, float(bias[1] - bias[0]), joint, 1.0, prior)
+        elif joint > 0:
             # Classes were weighed alike; their true odds come back with the scale.
             logit = judge.read(odds) + bias[1] - bias[0]
             scale, loss = _calibrated(logit, judge.target, prior)
             if loss < best:
-                best, kept = loss, (odds, float(bias[1] - bias[0]), *scale)
+                best, kept = loss, (odds, float(bias[1] - bias[0]), joint, *scale)
             elif loss > best * 2:
                 break
-    odds, intercept, slope, shift = kept
-    return SubwordModel(odds * slope, intercept * slope + shift)
+    odds, intercept, passes, slope, shift = kept
+    return SubwordModel(odds * slope, intercept * slope + shift, passes)
 
 
 def score_documents(docs: DataFrame, model: SubwordModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

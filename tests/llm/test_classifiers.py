@@ -47,6 +47,18 @@ def test_misspellings_share_ngrams():
         assert model.word(unseen) > max(0, max(seen) / 2)
 
 
+def test_kept_bucket_vectors_were_trained(monkeypatch):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
+    sample = [(" ".join(word() for _ in range(20)) + (" awful" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(120)]
+    model = toxicity.train(sample, [90, 30])
+    assert 1 <= model.passes <= toxicity.EPOCHS
+    monkeypatch.setattr(toxicity, "RATES", (0.0, *toxicity.RATES[1:]))
+    unmoved = toxicity.train(sample, [90, 30])
+    shape = lambda m: m.weights / np.linalg.norm(m.weights)
+    assert np.abs(shape(model) - shape(unmoved)).max() > 1e-4
+
+
 def test_toxicity_query_and_edges(spark, table):
     rows = EDGES + [(i, f"calm words number {i} here") for i in range(20, 80)]
     rows += [(i, f"horrible nasty words number {i}") for i in range(80, 120)]
