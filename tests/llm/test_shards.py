@@ -65,5 +65,31 @@ def test_written_shards_hold_every_row_once(edges, spark, tmp_path):
     assert got == sorted(EDGES, key=str)
 
 
+@pytest.mark.parametrize("text, ids", [(None, True), (None, False), ("", True), ("same", False)])
+def test_rows_without_weight_are_subdivided(table, monkeypatch, text, ids):
+    seen = []
+    kept = S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, label: seen.append((label, kept(df, label))) or seen[-1][1])
+    rows = [(i, f"text {i} " * 12) for i in range(4000)] + [(9000 + i if ids else None, text) for i in range(2000)]
+    got = placed(table(rows))
+    check(rows, got)
+    units = dict(seen)["shard-units"].groupBy("unit").count().toPandas()["count"]
+    assert units.max() <= 3 * 6000 / S.MIN_RANGES
+    key = lambda r: str(sorted(r.items()))
+    assert sorted(got, key=key) == sorted(placed(table(rows[::-1]).repartition(7)), key=key)
+
+
+def test_written_files_follow_the_plan(table, spark, tmp_path):
+    rows = [(i, f"text {i % 90} " * 3) for i in range(500)] + [(None, "the same text")] * 700
+    df, path = table(rows), str(tmp_path / "shards")
+    plan = S.write_shards(df, path, 4)
+    back = spark.read.parquet(path)
+    assert set(back.columns) == {*df.columns, "shard_"}
+    assert {r["shard"] for r in back.select("shard").distinct().collect()} == {"?"}
+    count = lambda d, *c: sorted((tuple(r) for r in d.groupBy(*c).count().collect()), key=str)
+    assert count(back, "doc_id", "shard_") == count(plan, "doc_id", "shard")
+    assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=str) == sorted(rows, key=str)
+
+
 def test_empty_table(edges):
     assert S.shard(edges.where("false")).count() == 0
