@@ -96,7 +96,7 @@ FROM doc LEFT JOIN kept USING (r)
 
 
 def _secret_sql() -> str:
-    """Base and weak finds by pattern; the linking rule pair by pair."""
+    """Base and weak finds by pattern; the linking rule pair by pair, by the gap between two parts."""
     strong = {
         "assign": (r"""(?i:(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)""", 2, 6),
         "access": ("AKIA[A-Z0-9]+", 0, 20),
@@ -144,7 +144,7 @@ WITH doc AS (
   FROM (SELECT * FROM base UNION ALL SELECT * FROM loose)
 ), linked AS (
   SELECT DISTINCT x.r, x.rank, x.kind, x.a, x.b FROM role AS x JOIN role AS y
-  ON x.r = y.r AND abs(x.a - y.a) <= 200 AND (x.part = 's') <> (y.part = 's') WHERE x.rank >= 3
+  ON x.r = y.r AND y.a - x.b <= 200 AND x.a - y.b <= 200 AND (x.part = 's') <> (y.part = 's') WHERE x.rank >= 3
 ), every AS (
   SELECT r, rank, kind, a, b FROM base UNION ALL SELECT * FROM linked
 ), found AS (

@@ -19,21 +19,19 @@ def base(text):
 
 
 def weak(text):
-    """The linking rule, pair by pair."""
+    """The linking rule by the gap between two parts, pair by pair."""
     text = text or ""
     strong = base(text)
-    parts = [(a, S.ROLE[k], b, k) for a, _, k, b in strong]
+    parts = [(a, b, k) for a, _, k, b in strong]
     for kind, pattern, _, least in S.WEAK:
         for m in re.finditer(pattern, text, re.A):
             ok = kind != "key" or all(re.search(c, m[0]) for c in ("[A-Z]", "[a-z]", "[0-9]"))
-            inside = any(a <= m.start() and m.end() <= b for a, _, _, b in strong)
-            if ok and len(m[0]) >= least and not inside:
-                parts.append((m.start(), S.ROLE[kind], m.end(), kind))
+            if ok and len(m[0]) >= least and not any(a <= m.start() and m.end() <= b for a, _, _, b in strong):
+                parts.append((m.start(), m.end(), kind))
     out = set()
-    for a, role, b, kind in parts:
-        if kind not in S.BASE_KINDS and any(
-            other in S.COMPLEMENTS[role] and abs(x - a) <= S.SCOPE for x, other, _, _ in parts
-        ):
+    for a, b, kind in parts:
+        near = {S.ROLE[k] for x, y, k in parts if x - b <= S.SCOPE and a - y <= S.SCOPE}
+        if kind not in S.BASE_KINDS and near & set(S.COMPLEMENTS[S.ROLE[kind]]):
             out.add((a, S.KINDS.index(kind), kind, b))
     return sorted(out)
 
@@ -80,23 +78,6 @@ def test_matches_brute_force_on_the_test_table(sf_docs):
         assert spans(r["finds"]) == sorted(base(rows[r["doc_id"]]) + weak(rows[r["doc_id"]]))
 
 
-def weak_by_gap(text):
-    """The linking rule by the gap between two parts, pair by pair."""
-    strong = base(text)
-    parts = [(a, b, k) for a, _, k, b in strong]
-    for kind, pattern, _, least in S.WEAK:
-        for m in re.finditer(pattern, text, re.A):
-            ok = kind != "key" or all(re.search(c, m[0]) for c in ("[A-Z]", "[a-z]", "[0-9]"))
-            if ok and len(m[0]) >= least and not any(a <= m.start() and m.end() <= b for a, _, _, b in strong):
-                parts.append((m.start(), m.end(), kind))
-    out = set()
-    for a, b, kind in parts:
-        near = {S.ROLE[k] for x, y, k in parts if x - b <= S.SCOPE and a - y <= S.SCOPE}
-        if kind not in S.BASE_KINDS and near & set(S.COMPLEMENTS[S.ROLE[kind]]):
-            out.add((a, S.KINDS.index(kind), kind, b))
-    return sorted(out)
-
-
 def test_long_parts_are_linked_by_the_gap_between_them(table):
     key, url, ident = "aB3" * 83 + "x", "https://host.example/" + "p/" * 150 + "?sig=1", "client_id = my.name"
     texts = [f"{key} {ident}", f"{ident} {key}", f"{url} {KEY}", f"{KEY} {url}", f"{'aB3' * 4000} {ident} {'.' * 300} {KEY}"]
@@ -107,12 +88,32 @@ def test_long_parts_are_linked_by_the_gap_between_them(table):
     df = table(list(enumerate(texts)))
     got = {r["doc_id"]: spans(r["finds"]) for r in S.secret_report(df).collect()}
     for i, t in enumerate(texts):
-        assert got[i] == sorted(base(t) + weak_by_gap(t)), t
+        assert got[i] == sorted(base(t) + weak(t)), t
     assert all(len(got[i]) == 2 for i in range(linked)) and not any(got[i] for i in range(linked, linked + 4))
     masked = {r["doc_id"]: r["text"] for r in S.redact_secrets(df).collect()}
     assert masked[0] == masked[1] == masked[2] == masked[3] == f"{S.MASK} {S.MASK}"
 
 
+def test_sql_states_the_same_links(table, spark, tmp_path):
+    import duckdb
+
+    from mktlens.llm.queries import ORACLE, QUERIES
+
+    key = "aB3" * 83 + "x"
+    texts = [f"{key} client_id = my.name", f"client_id = my.name{'. ' * 101}{key}", f"{KEY} https://host.example/{'p' * 300}"]
+    df = table([*ROWS, *enumerate(texts, 300)], extra=()).coalesce(1)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    out = QUERIES["op9_secret_scans"](spark, str(tmp_path))
+    want = con.execute(ORACLE["op9_secret_scans"])
+    names = [c[0] for c in want.description]
+    rows = want.fetchall()
+    assert sorted((tuple(r) for r in out.select(*names).collect()), key=str) == sorted(rows, key=str)
+    linked = {r[0] for r in rows if any(f"{k}:" in r[names.index("spans")] for k, *_ in S.WEAK)}
+    assert {109, 111, 300, 302} <= linked and 301 not in linked
+
+
 def test_redaction_keeps_rows_and_the_rest_of_texts(table):
     df = table(ROWS)
     out = S.redact_secrets(df)
