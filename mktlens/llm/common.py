@@ -66,6 +66,14 @@ def shifted(a: Column, by: int) -> Column:
     return F.slice(a, by + 1, F.greatest(F.size(a) - by, F.lit(0)))
 
 
+def row_name(id_col: Column, text: Column) -> Column:
+    """``row_key`` beside a second hash with another seed: 128 bits, so that no
+    two of some 10^10 rows are taken for one another."""
+    t = F.coalesce(text, F.lit(""))
+    other = F.xxhash64(F.lit("row"), F.octet_length(t), t, text.isNull(), id_col.cast("string"), id_col.isNull())
+    return F.struct(row_key(id_col, text).alias("a"), other.alias("b"))
+
+
 def row_key(id_col: Column, text: Column) -> Column:
     """Names a row for joining results back: id and text, so that rows that
     repeat an id with another text stay apart. Null-safe."""

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mktlens.llm.common import row_key
+from mktlens.llm.common import row_name
 from mktlens.sources.sinks import materialize
 
 # Kind, pattern, least length of the last group (or of the match).
@@ -87,7 +87,7 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ]
     rows = (
         docs.select(
-            row_key(F.col(id_col), F.col(text_col)).alias("row_key"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")
+            row_name(F.col(id_col), F.col(text_col)).alias("row_key"), F.coalesce(F.col(text_col), F.lit("")).alias("_t")
         )
         .select("row_key", F.array(*found).alias("kinds"))
         .select("row_key", F.filter("kinds", lambda k: F.size(k["found"]) > 0).alias("kinds"))
@@ -168,7 +168,7 @@ def spans_text(finds: Column) -> Column:
 
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, finds) of every row; an empty array where nothing was found."""
-    every = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("row_key"))
+    every = docs.select(F.col(id_col).alias("doc_id"), row_name(F.col(id_col), F.col(text_col)).alias("row_key"))
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
     found = find_secrets(docs, id_col, text_col)
     return every.join(found, "row_key", "left").select("doc_id", F.coalesce("finds", none).alias("finds"))
@@ -199,7 +199,7 @@ def redact_secrets(
     found = find_secrets(docs, id_col, text_col).select(
         F.col("row_key").alias("_sec_key"), _merged(F.col("finds")).alias("_sec_spans")
     )
-    left = docs.withColumn("_sec_key", row_key(F.col(id_col), F.col(text_col)))
+    left = docs.withColumn("_sec_key", row_name(F.col(id_col), F.col(text_col)))
     both = left.join(found, "_sec_key", "left")
     text, spans = F.col(text_col), F.col("_sec_spans")
     # Texts are cut by code points: a span's piece is what precedes it and the mask.

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mktlens.llm.common import row_key
+from mktlens.llm.common import row_name
 from mktlens.llm.components import components
 from mktlens.sources.sinks import materialize
 
@@ -127,7 +127,7 @@ def _grouped_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, r
     rows = materialize(
         docs.select(
             F.col(id_col).alias("doc_id"),
-            row_key(F.col(id_col), F.col(text_col)).alias("row_key"),
+            row_name(F.col(id_col), F.col(text_col)).alias("row_key"),
             fingerprint_udf(shingle)(F.col(text_col)).alias("fp"),
         ),
         "fingerprints",
@@ -178,6 +178,6 @@ def drop_near_duplicates(
     where rows do; of rows that repeat id and text one stays."""
     _, named, alone = _grouped_prints(docs, id_col, text_col, shingle, radius)
     keep = named.unionAll(alone).select(F.col("keep.row_key").alias("_nd_key")).distinct()
-    keyed = docs.withColumn("_nd_key", row_key(F.col(id_col), F.col(text_col)))
+    keyed = docs.withColumn("_nd_key", row_name(F.col(id_col), F.col(text_col)))
     kept = keyed.join(keep, "_nd_key", "left_semi")
     return kept.dropDuplicates(["_nd_key"]).select(*docs.columns)
