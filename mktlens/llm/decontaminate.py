@@ -2,16 +2,19 @@
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the lower-cased (A-Z) text.
 A window is ``WINDOW`` consecutive words of a benchmark item; an item of fewer
-words is one window. The hashes of all windows go out with the tasks as a hash
-set; every document forms the hashes of all its own windows (pair by pair, four
-steps for ten words) and probes the set within its row. Only the windows found
-leave the row, with their words, and are verified word for word against the
-benchmark's. Verified hits are narrow rows that meet per document.
-
-The set goes out whole when its counted windows are at most ``SET_WINDOWS``
-(8 bytes each), and the windows' words are broadcast when they measure at most
-``BROADCAST_BYTES``. Beyond that the same probes run as shuffled joins on the
-hash; the results are the same.
+words is one window. The hashes of all windows are broadcast as a hash set;
+every document forms the hashes of all its own windows (pair by pair, four
+steps for ten words), and each probes the set in the task that reads the
+document. Only the windows found travel, with their words, and are verified word
+for word against the benchmark's. Verified hits are narrow rows that meet per
+document.
+
+A broadcast set holds at most ``SET_BYTES`` (counted before, ``HASH_BYTES`` a
+hash: six million windows). A larger set is cut into slices, which are broadcast
+one after the other against the hashes of the documents, written once. So the
+windows of the corpus are never exchanged. The windows' words are broadcast when
+they measure at most ``BROADCAST_BYTES``, else they meet the windows found in a
+shuffled join. The results are the same.
 
 Defined results: null or blank texts have no words and no hits; items without
 words have no window; repeated documents are judged alike; repeated item ids
@@ -22,14 +25,18 @@ finds nothing; other columns of either table are ignored, or kept by
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mktlens.llm.common import ascii_lower, gram_hashes, row_key, word_hashes
+from mktlens.llm.common import ascii_lower, gram_hashes, row_name, word_hashes
 from mktlens.sources.sinks import materialize
 
 WINDOW = 10
-SET_WINDOWS = 100_000
+HASH_BYTES = 64  # a hash in a broadcast set, with its place in the table
+SET_BYTES = 384 << 20
 BROADCAST_BYTES = 64 << 20
 SEPARATORS_RE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -76,7 +83,7 @@ def _with_grams(docs: DataFrame, id_col: str, text_col: str, widths: list[int])
     windows, those of one width after those of the widths before it."""
     df = docs.select(
         F.col(id_col).alias("doc_id"),
-        row_key(F.col(id_col), F.col(text_col)).alias("row_key"),
+        row_name(F.col(id_col), F.col(text_col)).alias("row_key"),
         item_words(F.col(text_col)).alias("words"),
     )
     df = df.withColumn("h", word_hashes(F.col("words")))
@@ -87,30 +94,29 @@ def _with_grams(docs: DataFrame, id_col: str, text_col: str, widths: list[int])
     return df.select("doc_id", "row_key", "words", every.alias("grams"))
 
 
-def _candidates(grams: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
-    """(doc_id, row_key, words, place, hash): windows whose hash is in the set."""
-    if small:
-        # The hash set goes out with the tasks; a document is scanned in its
-        # own row, and only the windows found leave it.
-        held = ",".join(f"{r['hash']}L" for r in windows.select("hash").distinct().collect())
-        among = F.expr(f"array_compact(transform(grams, (x, i) -> CASE WHEN x IN ({held or 'NULL'}) THEN i END))")
-        found = grams.withColumn("places", among)
-    else:
-        narrow = grams.select("row_key", F.posexplode_outer("grams").alias("place", "hash"))
-        places = (
-            narrow.join(windows.select("hash").distinct(), "hash", "left_semi")
-            .groupBy("row_key")
-            .agg(F.sort_array(F.collect_set("place")).alias("places"))
-        )
-        found = grams.join(places, "row_key")
-    picked = F.transform("places", lambda p: F.struct(p.alias("place"), F.get("grams", p).alias("hash")))
-    # An outer explode and a filter above it: a filter below would be moved under
-    # the columns that make the hashes and evaluate each of them again and again.
-    return (
-        found.select("doc_id", "row_key", "words", F.explode_outer(picked).alias("x"))
-        .where(F.col("x.place").isNotNull())
-        .select("doc_id", "row_key", "words", "x.place", "x.hash")
-    )
+def _probed(grams: DataFrame, held: DataFrame) -> DataFrame:
+    """(doc_id, row_key, words, place, hash): windows whose hash is in the
+    broadcast set, probed where the document stands."""
+    # An outer explode: the inner one would put a filter under the columns that
+    # make the hashes, which evaluates each of them again and again.
+    each = grams.select("doc_id", "row_key", "words", F.posexplode_outer("grams").alias("place", "hash"))
+    return each.join(F.broadcast(held), "hash", "left_semi").select("doc_id", "row_key", "words", "place", "hash")
+
+
+def _candidates(docs: DataFrame, windows: DataFrame, widths: list[int], id_col: str, text_col: str) -> DataFrame:
+    """``_probed`` for the whole set: one pass with one broadcast while it is
+    within ``SET_BYTES``, else the hashes are written once and probed slice by
+    slice, each slice within the bound."""
+    held = materialize(windows.select("hash").distinct(), "bench-hashes")
+    slices = max(1, math.ceil(held.count() * HASH_BYTES / SET_BYTES))
+    grams = _with_grams(docs, id_col, text_col, widths)
+    if slices == 1:
+        return _probed(grams, held)
+    grams = materialize(grams, "doc-windows")
+    passes = [
+        materialize(_probed(grams, held.where(F.pmod("hash", F.lit(slices)) == k)), "bench-found") for k in range(slices)
+    ]
+    return reduce(DataFrame.unionByName, passes)
 
 
 def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -118,11 +124,10 @@ def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_co
     windows = materialize(benchmark_windows(bench), "bench-windows")
     seen = windows.agg(
         F.sort_array(F.collect_set("width")).alias("widths"),
-        F.count("*").alias("n"),
         F.sum(F.length("gram") + 64 + 16 * F.size("items")).alias("bytes"),
     ).first()
     widths = list(seen["widths"]) or [WINDOW]
-    found = _candidates(_with_grams(docs, id_col, text_col, widths), windows, seen["n"] <= SET_WINDOWS)
+    found = _candidates(docs, windows, widths, id_col, text_col)
 
     # A place among all widths to (width, start).
     n = F.size("words")
@@ -156,6 +161,20 @@ def _covered(spans: Column) -> Column:
     )
 
 
+def _disjoint(spans: Column) -> Column:
+    """Sorted (start, width) spans to (start, end) that neither overlap nor touch."""
+    new = lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["width"]).alias("end"))
+
+    def step(acc, x):
+        last = F.element_at(acc, -1)
+        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["start"] + x["width"]).alias("end"))
+        return F.when((F.size(acc) == 0) | (last["end"] < x["start"]), F.concat(acc, F.array(new(x)))).otherwise(
+            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown))
+        )
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), step)
+
+
 def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: (doc_id, n_words, n_hit, items, spans, contaminated)."""
     hits = (
@@ -168,7 +187,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     )
     every = docs.select(
         F.col(id_col).alias("doc_id"),
-        row_key(F.col(id_col), F.col(text_col)).alias("row_key"),
+        row_name(F.col(id_col), F.col(text_col)).alias("row_key"),
         F.size(item_words(F.col(text_col))).cast("bigint").alias("n_words"),
     )
     none = F.array().cast("array<struct<start:int,width:int>>")
@@ -195,7 +214,7 @@ def remove_contaminated(
     if mode not in ("documents", "spans"):
         raise ValueError(f"mode: {mode}")
     hits = find_hits(docs, bench, id_col, text_col)
-    left = docs.withColumn("_dc_key", row_key(F.col(id_col), F.col(text_col)))
+    left = docs.withColumn("_dc_key", row_name(F.col(id_col), F.col(text_col)))
     if mode == "documents":
         bad = hits.select(F.col("row_key").alias("_dc_key")).distinct()
         return left.join(bad, "_dc_key", "left_anti").select(*docs.columns)
@@ -207,25 +226,20 @@ def remove_contaminated(
     both = left.join(spans, "_dc_key", "left")
     words = F.regexp_extract_all(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), 0)
     gaps = F.split(text, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1)
-    both = both.withColumn("_dc_words", words).withColumn("_dc_gaps", gaps)
-    hit = F.flatten(
-        F.transform("_dc_spans", lambda s: F.sequence(s["start"], s["start"] + s["width"] - 1))
+    # Word and gap as one piece; what is kept lies between the merged hits.
+    pieces = F.zip_with(words, F.slice(gaps, 2, F.size(words)), lambda w, g: F.concat(w, g))
+    both = (
+        both.withColumn("_dc_gaps", gaps)
+        .withColumn("_dc_pieces", F.when(F.col("_dc_spans").isNotNull(), pieces))
+        .withColumn("_dc_spans", _disjoint(F.col("_dc_spans")))
     )
-    both = both.withColumn("_dc_hit", F.array_distinct(hit))
-    cut = F.concat(
-        F.get("_dc_gaps", F.lit(0)),
-        F.array_join(
-            F.transform(
-                "_dc_words",
-                lambda w, i: F.when(
-                    F.array_contains("_dc_hit", i),
-                    F.when(F.array_contains("_dc_hit", i + 1), F.lit("")).otherwise(
-                        F.concat(F.lit(" "), F.get("_dc_gaps", i + 1))
-                    ),
-                ).otherwise(F.concat(w, F.get("_dc_gaps", i + 1))),
-            ),
-            "",
-        ),
+    run = lambda a, b: F.array_join(F.slice("_dc_pieces", a + 1, b - a), "")
+    upto = lambda i: F.coalesce(F.when(i > 0, F.get("_dc_spans", i - 1)["end"]), F.lit(0))
+    kept = F.transform(
+        "_dc_spans",
+        lambda x, i: F.concat(run(upto(i), x["start"]), F.lit(" "), F.get("_dc_gaps", x["end"])),
     )
+    last = F.element_at("_dc_spans", -1)["end"]
+    cut = F.concat(F.get("_dc_gaps", F.lit(0)), F.array_join(kept, ""), run(last, F.size("_dc_pieces")))
     new = F.when(F.col("_dc_spans").isNull(), F.col(text_col)).otherwise(cut)
     return both.withColumn(text_col, new).select(*docs.columns)

@@ -57,8 +57,8 @@ DOCS += [(50, "alpha-beta gamma alpha beta gamma"), (51, "Solo? solo"), (52, ITE
 
 @pytest.mark.parametrize("small", [True, False])
 def test_matches_brute_force(table, bench, monkeypatch, small):
-    if not small:  # the shuffled way beyond the set's and the broadcast's bounds
-        monkeypatch.setattr(D, "SET_WINDOWS", 0)
+    if not small:  # slices of five hashes, and the shuffled join beyond the broadcast's bound
+        monkeypatch.setattr(D, "SET_BYTES", 5 * D.HASH_BYTES)
         monkeypatch.setattr(D, "BROADCAST_BYTES", 0)
     assert got(table(DOCS), bench(ITEMS)) == brute(DOCS, ITEMS)
 
@@ -87,6 +87,20 @@ def test_documents_and_spans_are_removed(table, bench):
             assert len(words(texts[i])) == len(w) - n_hit, (t, texts[i])
 
 
+def test_windows_of_documents_stay_where_they_are_read(table, bench, capsys):
+    D.find_hits(table(DOCS), bench(ITEMS)).explain("formatted")
+    plan = capsys.readouterr().out
+    assert plan.count("BroadcastExchange") and "Generate" in plan
+    assert not any(x in plan for x in ("SortMergeJoin", "hashpartitioning", "ArrowEval", "BatchEval", "MapIn"))
+
+
+def test_spans_cut_from_a_long_text_that_is_hit_all_over(table, bench):
+    item = ITEMS[0][1]
+    text = f"({item}; keep) " * 800
+    (row,) = D.remove_contaminated(table([(1, text)]), bench(ITEMS[:1]), mode="spans").collect()
+    assert words(row["text"]) == ["keep"] * 800
+
+
 def test_empty_tables(edges, bench):
     assert got(edges.where("false"), bench(ITEMS)) == []
     assert all(not r[4] for r in got(edges, bench([])))
