@@ -138,13 +138,16 @@ def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_co
         offset = F.when(F.col("place") >= upto, upto).otherwise(offset)
         below = upto
     start = F.col("place") - offset
+    # Join keys that cannot be null: a null check of them would join the words of
+    # every window, before the probe.
+    width = F.coalesce(width, F.lit(0))
     found = found.select(
         "doc_id",
         "row_key",
         "hash",
         start.alias("start"),
         width.alias("width"),
-        F.array_join(F.slice("words", start + 1, width), " ").alias("gram"),
+        F.coalesce(F.array_join(F.slice("words", start + 1, width), " "), F.lit("")).alias("gram"),
     )
     set_side = F.broadcast(windows) if (seen["bytes"] or 0) <= BROADCAST_BYTES else windows
     return found.join(set_side, ["hash", "width", "gram"]).select("doc_id", "row_key", "start", "width", "items")
