@@ -243,15 +243,19 @@ def mart_order_seller(
     reviews: DataFrame,
 ) -> DataFrame:
     """Grain: (order_id, seller_id) (20 columns). Reviews repeat across the
-    sellers of one order, so seller review figures are associations."""
+    sellers of one order, so seller review figures are associations.
+
+    Pairs meet their seller first and lie by order in the end: sums by seller
+    over the mart are combined before they travel, and a seller with a third of
+    all orders is in no single task."""
     os_ = order_seller_summary(stg_items, products, translation).alias("os")
     o = stg_orders.alias("o")
     s = sellers.select(F.col("seller_id").alias("s_seller_id"), "seller_city", "seller_state")
     r = review_summary(reviews, rounded=True).alias("r")
     j = (
-        os_.join(o, F.col("os.order_id") == F.col("o.order_id"), "left")
+        os_.join(s, F.col("os.seller_id") == F.col("s_seller_id"), "left")
+        .join(o, F.col("os.order_id") == F.col("o.order_id"), "left")
         .join(r, F.col("os.order_id") == F.col("r.order_id"), "left")
-        .join(s, F.col("os.seller_id") == F.col("s_seller_id"), "left")
     )
     return j.select(
         F.col("os.order_id").alias("order_id"),
@@ -336,6 +340,37 @@ def post_win_join(won_leads: DataFrame, daily: DataFrame) -> DataFrame:
     return w.join(d, cond, "left")
 
 
+def post_win_days(won_leads: DataFrame, daily: DataFrame) -> DataFrame:
+    """Per (mql_id, purchase_date) of ``post_win_join``: orders and product value.
+
+    ``daily`` has at most one row per seller and day, so a lead whose deals are
+    all alike meets a day once, and its rows leave the join as they are,
+    weighted by the number of those deals. Only the pairs of a lead won by
+    several sellers or on several days are summed."""
+    win = F.struct("seller_id", "won_day")
+    leads = won_leads.groupBy("mql_id").agg(F.count("*").alias("m"), F.min(win).alias("least"), F.max(win).alias("most"))
+    alike = F.col("least").eqNullSafe(F.col("most"))
+    one = leads.where(alike).select("mql_id", "least.seller_id", "least.won_day", "m")
+    several = leads.where(~alike).select(F.col("mql_id").alias("of_lead"))
+    many = won_leads.join(several, F.col("mql_id").eqNullSafe(F.col("of_lead")), "left_semi")
+    zero = F.lit(0).cast("bigint")
+    once = post_win_join(one, daily).select(
+        F.col("w.mql_id").alias("mql_id"),
+        F.col("d.purchase_date").alias("purchase_date"),
+        F.coalesce(F.col("d.orders") * F.col("w.m"), zero).alias("orders"),
+        (F.col("d.product_value") * F.col("w.m")).cast("decimal(38,2)").alias("product_value"),
+    )
+    summed = (
+        post_win_join(many, daily)
+        .groupBy(F.col("w.mql_id").alias("mql_id"), F.col("d.purchase_date").alias("purchase_date"))
+        .agg(
+            F.coalesce(F.sum("d.orders"), zero).alias("orders"),
+            F.sum("d.product_value").cast("decimal(38,2)").alias("product_value"),
+        )
+    )
+    return once.unionByName(summed)
+
+
 def seller_activity(funnel: DataFrame, order_seller: DataFrame) -> DataFrame:
     """Per won lead (mql_id, seller_id): post-win sales, reviews, delivery.
 

@@ -973,11 +973,7 @@ def q_post_win_join(spark, sf):
     """Won leads joined to the per-(seller, day) activity on seller and date."""
     w = wh(spark, sf)
     won = w.stg_marketing_funnel.where(F.col("is_won")).select("mql_id", "seller_id", F.to_date("won_date").alias("won_day"))
-    j = marts.post_win_join(won, marts.seller_daily_activity(w.mart_order_seller))
-    return j.groupBy(F.col("w.mql_id").alias("mql_id"), F.col("d.purchase_date").alias("purchase_date")).agg(
-        F.coalesce(F.sum("d.orders"), F.lit(0)).cast("bigint").alias("orders"),
-        F.sum("d.product_value").alias("product_value"),
-    )
+    return marts.post_win_days(won, marts.seller_daily_activity(w.mart_order_seller))
 
 
 @register(
