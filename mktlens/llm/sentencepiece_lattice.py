@@ -42,9 +42,10 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -63,6 +64,7 @@ MOST_CHARS = 16  # longest piece
 BLOCK_CHARS = 1_000_000  # characters of texts, and of chunks, worked on together
 NOTED_CHARS = 8_000_000
 KEPT_CHARS = 900_000
+DECODED = 10_000  # pieces decoded at a time
 SPACE = 0x2581
 LITERAL = 0x110000  # stands for a U+2581 of the text itself
 CHUNKS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
@@ -153,9 +155,10 @@ class Pieces:
                 raise ValueError("two pieces in one slot; choose other hash constants")
         # By piece id; the last place, id -1, is "no piece".
         self.weight = np.append(np.where(self.log_weight < 0, np.exp(self.log_weight), 0.0), 0.0)
-        size = np.array([len(b) for b in self.bytes], dtype=np.int64)
-        self.size, self.start = size.astype(np.int32), (np.cumsum(size) - size).astype(np.int32)
+        self.size = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
+        self.places = np.arange(DECODED * int(self.size.max()))
 
     @staticmethod
     def _print(text: str) -> int:
@@ -173,22 +176,27 @@ class Pieces:
         """(piece or -1, whether some longer piece may start so) of each
         substring hash. Starts of pieces that are no pieces have ids past the
         vocabulary; "may" is never wrongly false."""
-        a, b = self.slots(h)
-        i = self.first[a]
-        i = np.where(self.prints[i] == h, i, self.second[b])
-        i = np.where(self.prints[i] == h, i, -1)
-        return np.where(i < len(self.size), i, -1), self.goes_on[i]
+        with np.errstate(over="ignore"):
+            i = self.first.take((h * _G1) >> np.uint64(64 - _SLOT))
+            other = np.flatnonzero(self.prints[i] != h)
+            h = h[other]
+            j = self.second.take((h * _G2) >> np.uint64(64 - _SLOT))
+        j[self.prints[j] != h] = -1
+        i[other] = j
+        return np.where(i < len(self.bytes), i, -1), self.goes_on[i]
 
     def decode(self, ids) -> str:
-        if not len(ids):
-            return ""
         ids = np.asarray(ids)
-        size = self.size[ids]
-        upto = np.cumsum(size)
-        kind = np.int32 if upto[-1] < 1 << 30 else np.int64
-        shift = (self.start[ids] - (upto - size)).astype(kind)
-        out = self.flat[np.repeat(shift, size) + np.arange(upto[-1], dtype=kind)].tobytes()
-        return out[1:].decode("utf-8", "surrogatepass")  # without the space put before the text
+        # Some at a time: whole 64-bit indices, which are the fastest, take 8 bytes for each of the text.
+        parts = [self._bytes_of(ids[at : at + DECODED]) for at in range(0, len(ids), DECODED)]
+        return b"".join(parts)[1:].decode("utf-8", "surrogatepass")  # without the space put before the text
+
+    def _bytes_of(self, ids: np.ndarray) -> bytes:
+        size = self.size.take(ids)
+        upto = size.cumsum()
+        index = (self.start.take(ids) - upto + size).repeat(size)
+        index += self.places[: len(index)]
+        return self.flat.take(index).tobytes()
 
 
 @lru_cache(maxsize=4)
@@ -208,7 +216,7 @@ class Lattices:
     it. The row of a chunk's j-th character is ``level[j] + rank``."""
 
     def __init__(self, vocab: Pieces, chunks: list[str]):
-        lens = np.array([len(c) for c in chunks], dtype=np.int64)
+        lens = np.fromiter(map(len, chunks), np.int64, len(chunks))
         codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int32)
         codes[codes == SPACE] = LITERAL
         codes[codes == 32] = SPACE
@@ -216,6 +224,7 @@ class Lattices:
         begin = np.cumsum(lens) - lens
         n = len(codes)
         inside = np.arange(n, dtype=np.int32) - np.repeat(begin, lens).astype(np.int32)  # place in the chunk
+        upcoming = np.append(inside, np.int32(-1))
         # Tables hold all first characters, then all second ones, and so on, the
         # longest chunks first, so that a step of the filter is one slice.
         order = np.argsort(-lens, kind="stable")
@@ -226,25 +235,29 @@ class Lattices:
         self.rank[order] = np.arange(len(lens))
         row = self.level[inside] + np.repeat(self.rank, lens)
         width = min(MOST_CHARS, int(lens.max())) if len(lens) else 1
-        piece = np.full((n, width), -1, dtype=np.int32)  # ending here, by length
         h = np.zeros(n, dtype=np.uint64)
         plus = codes.astype(np.uint64) + np.uint64(1)
-        start = np.arange(n)  # of the substrings that are still the start of a piece
+        end = np.arange(n)  # of the substrings whose start is that of a piece
+        places, names = [], []  # pieces by length: the row of their end, their ids
         for size in range(1, width + 1):
-            # h: hash of the substring of this size from each start
-            keep = start + size <= n
-            keep[keep] = inside[start[keep] + size - 1] >= size - 1
-            start, h = start[keep], h[keep]
-            if not len(start):
-                break
-            h = h * _HASH + plus[start + size - 1]
+            # h: hash of the substring of this size to each end
+            h = h * _HASH + plus[end]
             found, more = vocab.find(h)
-            piece[row[start + size - 1], size - 1] = found
-            start, h = start[more], h[more]
-        used = np.flatnonzero((piece >= 0).any(axis=0))
-        width = int(used[-1]) + 1 if len(used) else 1
-        self.piece = np.ascontiguousarray(piece[:, :width])
-        weight = vocab.weight[self.piece]
+            hit = np.flatnonzero(found >= 0)
+            places.append(row[end[hit]])
+            names.append(found[hit])
+            longer = np.flatnonzero(more)
+            end, h = end[longer] + 1, h[longer]
+            keep = np.flatnonzero(upcoming[end] >= size)
+            end, h = end[keep], h[keep]
+            if not len(end):
+                break
+        width = max((i for i, ids in enumerate(names, 1) if len(ids)), default=1)
+        self.piece = np.full((n, width), -1, dtype=np.int32)  # ending here, by length
+        weight = np.zeros((n, width))
+        for i in range(min(width, len(names))):
+            self.piece[places[i], i] = names[i]
+            weight[places[i], i] = vocab.weight[names[i]]
         # A character outside the vocabulary is an edge named by its code point.
         odd = np.flatnonzero(self.piece[:, 0] < 0)
         weight[odd, 0] = math.exp(vocab.fallback)
@@ -268,7 +281,7 @@ class Lattices:
 
     def edges(self, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Piece ids, or -1 - code point for a character outside the vocabulary."""
-        return self.piece[rows, size - 1]
+        return self.piece.reshape(-1).take(rows * self.piece.shape[1] + (size - 1))
 
     def sample(self, chunk: np.ndarray, seed: np.ndarray):
         """Draw a segmentation of each of ``chunk``. Returns (log_prob, count,
@@ -355,7 +368,7 @@ class Lattices:
             row = int(self.level[end]) + rank
             u = _unit_of(seed + step * int(_G2))
             if tree is None:
-                tree = [(int(s), float(self.prob[row, s - 1]), None) for s in np.flatnonzero(self.prob[row] > 0) + 1]
+                tree = [(s, p, None) for s, p in enumerate(self.prob[row].tolist(), 1) if p > 0]
             u *= sum(x[1] for x in tree)
             for size, p, inner in tree:
                 u -= p
@@ -387,23 +400,20 @@ class _Drawn:
         return tuple(self.sizes[self.offsets[i] : self.offsets[i + 1]][::-1].tolist())
 
 
-class _Known(dict):
-    """Chunk -> number; one asked for first gets the next number and is noted."""
-
-    def __init__(self, items=()):
-        super().__init__(items)
-        self.new: list[str] = []
+class _Known(defaultdict):
+    """Chunk -> number; one asked for first gets the next number."""
 
-    def __missing__(self, chunk):
-        n = self[chunk] = len(self)
-        self.new.append(chunk)
-        return n
+    def __init__(self, chunks=()):
+        super().__init__(None, zip(chunks, count()))
+        self.kept = len(self)
+        self.default_factory = count(self.kept).__next__
 
     def take_new(self) -> list[str]:
-        """The chunks noted since the last call, which are forgotten."""
-        new, self.new = self.new, []
+        """The chunks asked for first since the last call, which are forgotten."""
+        new = list(islice(self, self.kept, None))  # in the order of their numbers
         for c in new:
             del self[c]
+        self.default_factory = count(self.kept).__next__
         return new
 
 
@@ -432,7 +442,7 @@ class Frequent:
                     names.append(c)
                 self.seen.clear()
                 self.lattice = Lattices(self.vocab, names)
-                self.index = _Known((c, i) for i, c in enumerate(names))
+                self.index = _Known(names)
 
 
 @lru_cache(maxsize=4)
@@ -562,7 +572,8 @@ def sample_block(
                 ticket += 1
                 i = chunks_from + j
                 left = -math.expm1(float(drawn.log_prob[i]))
-                heapq.heappush(heap, (-float(values[j]), ticket, base, i, [drawn.path(i)], left))
+                # None: what the node avoids is just the choice of ``drawn``
+                heapq.heappush(heap, (-float(values[j]), ticket, base, i, None, left))
 
     for d in range(len(texts)):
         lo, hi = block.first[d], block.first[d + 1]
@@ -589,6 +600,7 @@ def sample_block(
         for x, (d, (minus, _, base, i, taken, left)) in enumerate(popped):
             lo, hi = at[x], at[x + 1]
             before, cap = samples[d][base], -minus
+            taken = taken or [before.path(i)]
             lattice, chunk = block.lattice_of(int(block.chunk[block.first[d] + i]))
             lp, edge, size = lattice.sample_rest(chunk, taken, block.key_of(d, i, r, 3))
             cut = before.offsets[i]
